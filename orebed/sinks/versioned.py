@@ -1,0 +1,151 @@
+"""A keyed table of immutable version folders.
+
+Rows are spread over key buckets. A version rewrites only the buckets it touches
+and never a folder that is being read; a commit record per bucket makes it
+visible. Committing the same version again replaces it, computed from the state
+before it, so a retried batch changes nothing.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orebed.operators.latest import keep_latest, latest_order
+
+_BUCKET = "_bucket"
+_COMMIT = "version bigint, bucket int, path string"
+
+
+class VersionedTable:
+    """Latest row per key, kept up to date by upserts.
+
+    ``buckets`` fixes the layout for the life of the table: choose it so that a
+    bucket is a few hundred megabytes at the expected size.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        keys: Sequence[str],
+        order: Callable[[DataFrame], Sequence[Column]] = latest_order,
+        buckets: int = 16,
+        format: str = "parquet",
+    ):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.keys = list(keys)
+        self.order = order
+        self.buckets = buckets
+        self.format = format
+
+    def _commits(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _COMMIT)
+
+    def _paths(self, before: int | None = None) -> dict[int, str]:
+        """Newest folder per bucket: at most one entry per bucket."""
+        commits = self._commits()
+        if before is not None:
+            commits = commits.where(F.col("version") < before)
+        rows = commits.groupBy("bucket").agg(F.max_by("path", "version").alias("path")).collect()
+        return {r.bucket: r.path for r in rows}
+
+    def next_version(self) -> int:
+        last = self._commits().agg(F.max("version")).first()[0]
+        return 0 if last is None else last + 1
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """Current rows, or those before a version; None while nothing is committed."""
+        paths = self._paths(before)
+        if not paths:
+            return None
+        return self.spark.read.format(self.format).load([paths[b] for b in sorted(paths)])
+
+    def view(self, name: str) -> None:
+        """Point a temporary view at the current version."""
+        current = self.read()
+        if current is None:
+            raise FileNotFoundError(f"nothing committed under {self.root}")
+        current.createOrReplaceTempView(name)
+
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(
+            _BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        )
+
+    def _save(self, clustered: DataFrame, version: int) -> str:
+        folder = f"{self.root}/data/v={version:012d}"
+        clustered.write.mode("overwrite").partitionBy(_BUCKET).format(self.format).save(folder)
+        return folder
+
+    def _commit(self, folder: str, buckets: Sequence[int], version: int) -> None:
+        rows = [(version, b, f"{folder}/{_BUCKET}={b}") for b in buckets]
+        self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("append").json(
+            f"{self.root}/commits"
+        )
+
+    def _written(self, folder: str) -> list[int]:
+        """Buckets a version holds, from its folder names."""
+        try:
+            saved = self.spark.read.format(self.format).load(folder)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return []
+        return sorted(r[0] for r in saved.select(_BUCKET).distinct().collect())
+
+    def overwrite(self, df: DataFrame, version: int | None = None) -> int:
+        """Full rebuild from ``df``, deduplicated."""
+        version = self.next_version() if version is None else version
+        old = set(self._paths(version))
+        latest = self._bucketed(keep_latest(df, self.keys, self.order(df)))
+        folder = self._save(latest.repartition(self.buckets, _BUCKET), version)
+        new = self._written(folder)
+        if new:
+            self._commit(folder, new, version)
+        gone = sorted(old - set(new))
+        if gone:
+            self._truncate(latest, gone, version)
+        return version
+
+    def _truncate(self, like: DataFrame, buckets: Sequence[int], version: int) -> None:
+        folder = f"{self.root}/data/v={version:012d}-empty"
+        like.drop(_BUCKET).limit(0).write.mode("overwrite").format(self.format).save(folder)
+        rows = [(version, b, folder) for b in buckets]
+        self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("append").json(
+            f"{self.root}/commits"
+        )
+
+    def upsert(self, df: DataFrame, version: int | None = None) -> int:
+        """Merge new rows: the latest row per key of the old and the new ones stays."""
+        version = self.next_version() if version is None else version
+        fresh = self._bucketed(keep_latest(df, self.keys, self.order(df))).persist()
+        try:
+            touched = sorted(r[0] for r in fresh.select(_BUCKET).distinct().collect())
+            if not touched:
+                return version
+            old_paths = self._paths(version)
+            paths = sorted({old_paths[b] for b in touched if b in old_paths})
+            parts = len(touched)
+            if paths:
+                # Untouched buckets are not read. One shuffle serves the merge and the layout.
+                old = self._bucketed(self.spark.read.format(self.format).load(paths))
+                both = old.unionByName(fresh, allowMissingColumns=True)
+                merged = keep_latest(
+                    both.repartition(parts, _BUCKET), [_BUCKET, *self.keys], self.order(fresh)
+                )
+            else:
+                merged = fresh.repartition(parts, _BUCKET)
+            self._commit(self._save(merged, version), touched, version)
+        finally:
+            fresh.unpersist()
+        return version
