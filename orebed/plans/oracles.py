@@ -8,6 +8,10 @@ from __future__ import annotations
 
 import re
 
+from orebed.catalog import ENTITIES
+from orebed.operators.quality import GOLD_TESTS, STAGING_TESTS, DataTest
+from orebed.sources.texts import BROKEN
+
 _CTE: dict[str, str] = {}
 
 
@@ -30,7 +34,10 @@ def query(body: str) -> str:
                 needed.add(name)
                 texts.append(definition)
     parts = [f"{name} AS ({sql})" for name, sql in _CTE.items() if name in needed]
-    return f"WITH {', '.join(parts)} {body}" if parts else body
+    own = body.strip()
+    if own.startswith("WITH RECURSIVE"):
+        return ", ".join(["WITH RECURSIVE " + ", ".join(parts), own.removeprefix("WITH RECURSIVE")])
+    return f"WITH {', '.join(parts)} {own}" if parts else own
 
 
 _CTE["f_place"] = """
@@ -153,6 +160,127 @@ _ORDERS = f"""
   delivery_time_days, delta_delivery_vs_estimated_days"""
 
 
+# Envelopes of reviews
+_REVIEW_JSON = " || ', ' || ".join(
+    f"""'"{c}": "' || {expression} || '"'"""
+    for c, expression in {
+        "order_id": "order_id",
+        "review_answer_timestamp": "strftime(review_answer_timestamp, '%Y-%m-%d %H:%M:%S')",
+        "review_comment_message": """replace(review_comment_message, '"', '\\"')""",
+        "review_comment_title": "review_comment_title",
+        "review_creation_date": "strftime(review_creation_date, '%Y-%m-%d %H:%M:%S')",
+        "review_id": "review_id",
+        "review_score": "CAST(review_score AS VARCHAR)",
+    }.items()
+)
+_CTE["g_digest"] = f"""
+  SELECT *, sha256('{{' || {_REVIEW_JSON} || '}}') AS checksum FROM f_review"""
+_CTE["g_envelope"] = """
+  SELECT *, sha256('review' || chr(31) || review_id || chr(31) || checksum) AS event_id,
+    strftime(review_creation_date, '%Y-%m-%dT%H:%M:%S.%fZ') AS ingested_at FROM g_digest"""
+_REVIEW_TEXT = """
+  review_id, order_id, CAST(review_score AS VARCHAR) AS review_score, review_comment_title,
+  review_comment_message, strftime(review_creation_date, '%Y-%m-%d %H:%M:%S') AS review_creation_date,
+  strftime(review_answer_timestamp, '%Y-%m-%d %H:%M:%S') AS review_answer_timestamp"""
+
+# Orders with broken rules
+_CTE["f_order_text"] = """
+  SELECT order_id, CASE WHEN RIGHT(order_id, 1) <> '3' THEN customer_id END AS customer_id,
+    CASE WHEN order_approved_at IS NULL THEN 'lost' ELSE order_status END AS order_status,
+    CASE WHEN RIGHT(order_id, 1) = '5' THEN 'yesterday'
+      ELSE strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') END AS order_purchase_timestamp,
+    strftime(order_approved_at, '%Y-%m-%d %H:%M:%S') AS order_approved_at,
+    strftime(order_delivered_carrier_date, '%Y-%m-%d %H:%M:%S') AS order_delivered_carrier_date,
+    strftime(order_delivered_customer_date, '%Y-%m-%d %H:%M:%S') AS order_delivered_customer_date,
+    strftime(order_estimated_delivery_date, '%Y-%m-%d %H:%M:%S') AS order_estimated_delivery_date
+  FROM f_order"""
+
+# Silver
+_CTE["g_items_latest"] = """
+  SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id, order_item_id
+    ORDER BY shipping_limit_date DESC, product_id, seller_id, price, quantity) AS rn FROM f_order_item)
+  WHERE rn = 1"""
+_ITEM = f"""
+  order_id, CAST(order_item_id AS BIGINT) AS order_item_id, product_id, seller_id,
+  CAST(shipping_limit_date AS VARCHAR) AS shipping_limit_date, {money('price')} AS price,
+  {money('freight_value')} AS freight_value, quantity"""
+
+# Lag
+_CTE["g_lag"] = """
+  SELECT date_trunc('hour', ts) AS ts, consumergroup, topic, SUM(lag) AS lag FROM f_lag GROUP BY 1, 2, 3"""
+
+
+def _islands(source: str) -> str:
+    """Hourly samples above 1000, numbered by unbroken hour-to-hour stretches."""
+    return f"""
+      SELECT *, MIN(ts) OVER (PARTITION BY topic, island) AS since FROM (
+        SELECT *, SUM(begins) OVER (PARTITION BY topic ORDER BY ts) AS island FROM (
+          SELECT *, CASE WHEN LAG(lag) OVER w > 1000 AND LAG(ts) OVER w >= ts - INTERVAL 1 HOUR
+              THEN 0 ELSE 1 END AS begins
+          FROM {source} WINDOW w AS (PARTITION BY topic ORDER BY ts))
+      ) WHERE lag > 1000"""
+
+
+def _staged(entity: str) -> str:
+    """Text columns, some broken, cast back where they parse."""
+    spec = ENTITIES[entity]
+    columns = []
+    for f in spec.fields:
+        name = "order_item_id" if f.name == "order_item_sequence" else f.name
+        text = {
+            "timestamp": f"strftime({name}, '%Y-%m-%d %H:%M:%S')",
+            "numeric": f"CAST(CAST({name} AS DECIMAL(28,4)) AS VARCHAR)",
+        }.get(f.type, f"CAST({name} AS VARCHAR)")
+        if (entity, f.source) in BROKEN:
+            condition, broken = BROKEN[entity, f.source]
+            text = f"CASE WHEN {condition} THEN '{broken}' ELSE {text} END"
+        columns.append(
+            {
+                "timestamp": stamp(f"TRY_CAST({text} AS TIMESTAMP)"),
+                "numeric": f"CAST(CAST(TRY_CAST({text} AS DECIMAL(28,9)) AS DECIMAL(38,4)) AS DOUBLE)",
+                "integer": f"CAST(TRY_CAST({text} AS INT) AS BIGINT)",
+            }.get(f.type, text)
+            + f" AS {f.name}"
+        )
+    key = " || '|' || ".join(
+        money_key(k) if k in ("geolocation_lat", "geolocation_lng") else f"CAST({k} AS VARCHAR)"
+        for k in spec.key
+    )
+    return f"""
+      SELECT {', '.join(columns)}, sha256('{entity}|' || {key}) AS event_id,
+        '2024-01-31 12:30:00.000000' AS ingested_at, '1.0.0' AS schema_version,
+        '2024-02-01 00:00:00.000000' AS silver_loaded_at
+      FROM f_{entity}"""
+
+
+def money_key(c: str) -> str:
+    return f"CAST(CAST({c} AS DECIMAL(28,9)) AS VARCHAR)"
+
+
+def _test_sql(test: DataTest, tables: dict[str, str]) -> str:
+    def name(c: str) -> str:
+        return "order_item_id" if c == "order_item_sequence" else c
+
+    table, c = tables[test.table], name(test.column)
+    if test.kind == "not_null":
+        count = f"SELECT COUNT(*) FROM {table} WHERE {c} IS NULL"
+    elif test.kind == "accepted_values":
+        values = ", ".join(f"'{v}'" for v in test.values)
+        count = f"SELECT COUNT(*) FROM {table} WHERE {c} NOT IN ({values})"
+    elif test.kind == "unique":
+        count = f"SELECT COUNT(*) FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"
+    else:
+        parent = tables[test.parent]
+        count = f"""SELECT COUNT(*) FROM {table} t WHERE {c} IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{test.parent_column} = t.{c})"""
+    return f"""SELECT '{test.table}' AS "table", '{test.kind}' AS test, '{test.column}' AS "column", ({count}) AS failures"""
+
+
+def _tests_sql(tests: tuple[DataTest, ...], tables: dict[str, str]) -> str:
+    union = " UNION ALL ".join(_test_sql(t, tables) for t in tests)
+    return f"SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({union})"
+
+
 def _mask(c: str) -> str:
     return f"SUBSTR({c}, 1, 4) || '****-PII-MASKED-****'"
 
@@ -288,4 +416,258 @@ def oracles() -> dict[str, str]:
         ROUND(quantile_cont(CAST(o.delivery_time_days AS DOUBLE), 0.9), 6) AS p90_delivery_time
       FROM g_orders o JOIN g_places c ON o.customer_unique_id = c.customer_unique_id
       GROUP BY 1 ORDER BY median_payment DESC, 1 LIMIT 100"""
+
+    # Staging
+    for name, entity in STAGED.items():
+        out[name] = _staged(entity)
+    out["stg_payments_variant"] = out["stg_payments"]
+
+    # Silver
+    out["silver_keep_latest"] = f"SELECT {_ITEM} FROM g_items_latest"
+    out["silver_keep_latest_compat"] = f"""
+      SELECT {_ITEM} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_item_id
+        ORDER BY shipping_limit_date DESC, product_id, seller_id, price, quantity) AS rn FROM f_order_item)
+      WHERE rn = 1"""
+    out["silver_upsert"] = out["silver_keep_latest"]
+    out["silver_refine"] = """
+      SELECT review_id, order_id, CAST(review_score AS VARCHAR) AS review_score, review_comment_title,
+        review_comment_message, strftime(review_creation_date, '%Y-%m-%d %H:%M:%S.000000') AS review_creation_date,
+        strftime(review_answer_timestamp, '%Y-%m-%d %H:%M:%S.000000') AS review_answer_timestamp,
+        'review' AS entity_type, checksum, '2024-02-01 00:00:00.000000' AS _silver_loaded_at
+      FROM g_envelope"""
+    out["silver_table_diff"] = f"""
+      SELECT {_ITEM}, CAST(SUM(n) AS BIGINT) AS surplus FROM (
+        SELECT *, 1 AS n FROM f_order_item UNION ALL SELECT *, -1 AS n FROM g_items_latest)
+      GROUP BY ALL HAVING SUM(n) <> 0"""
+    out["reconcile"] = """
+      SELECT CAST(order_item_id AS BIGINT) AS order_item_id, raw_count, silver_count,
+        raw_count - silver_count AS duplicates_dropped
+      FROM (SELECT order_item_id, COUNT(*) AS raw_count, COUNT(DISTINCT order_id) AS silver_count
+            FROM f_order_item GROUP BY 1)"""
+
+    # Envelopes
+    out["envelope_roundtrip"] = f"""
+      SELECT {_REVIEW_TEXT}, event_id, 'olist.review.created' AS event_type, 'review' AS entity_type,
+        'olist-csv-producer' AS source_system, 'ecommerce.olist.reviews.v1' AS source_topic,
+        '1.0.0' AS schema_version, ingested_at, 'dev' AS ingestion_env, 'run-1' AS pipeline_run_id,
+        'bronze' AS data_layer, checksum FROM g_envelope"""
+    out["envelope_unpack"] = f"SELECT {_REVIEW_TEXT} FROM f_review"
+    out["kafka_key"] = """
+      SELECT order_id, CAST(order_item_id AS VARCHAR) AS order_item_id,
+        order_id || '|' || CAST(order_item_id AS VARCHAR) AS message_key,
+        CAST(order_item_id AS VARCHAR) AS compat_key FROM f_order_item"""
+    customer_json = " || ', ' || ".join(
+        f"""'"{c}": "' || {c} || '"'""" for c in sorted(ENTITIES["customer"].columns)
+    )
+    out["checksum"] = f"""
+      SELECT customer_id, sha256('{{' || {customer_json} || '}}') AS checksum FROM f_customer"""
+    out["checksum_verify"] = """
+      SELECT customer_id, CASE WHEN customer_state = 'ASIA' THEN 'EUROPE' ELSE customer_state END AS customer_state,
+        CASE WHEN customer_state = 'ASIA' THEN 0 ELSE 1 END AS checksum_ok FROM f_customer"""
+    out["field_mapping"] = f"""
+      SELECT user_id AS id, CAST(NULL AS VARCHAR) AS product_id, value AS amount,
+        {stamp('CAST(ts AS TIMESTAMP)')} AS created_at FROM events"""
+    out["typed_event"] = """
+      SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS product_id,
+        CASE WHEN event_type <> 'error' THEN CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) END AS amount,
+        strftime(ts, '%Y-%m-%d %H:%M:%S.000000') AS created_at,
+        CASE WHEN event_type = 'purchase' THEN 'PAID' ELSE 'NEW' END AS status,
+        CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS is_valid FROM events"""
+    out["contract_split"] = """
+      SELECT order_id, CASE WHEN reason = '' THEN 'pass' ELSE 'reject' END AS outcome, reason FROM (
+        SELECT order_id, concat_ws('; ',
+          CASE WHEN customer_id IS NULL THEN 'customer_id: missing' END,
+          CASE WHEN order_status = 'lost' THEN 'order_status: value not accepted' END,
+          CASE WHEN order_purchase_timestamp = 'yesterday' THEN 'order_purchase_timestamp: not a timestamp' END
+        ) AS reason FROM f_order_text)"""
+    out["dlq_split"] = """
+      SELECT event_id, CASE WHEN event_type = 'error' THEN 'dead_letter' ELSE 'bronze' END AS sink,
+        CASE WHEN event_type <> 'error' THEN event_type END AS event_type FROM events"""
+
+    # Text and money functions
+    blank = "^[\\s\\x0b\\x1c-\\x1f\\p{Z}]+|[\\s\\x0b\\x1c-\\x1f\\p{Z}]+$"
+    out["clean_string"] = """
+      SELECT conv_id, turn,
+        regexp_replace(text, '[^\\p{L}\\p{N}\\s\\x0b\\x1c-\\x1f\\p{Z}]', '', 'g') AS cleaned
+      FROM conversations"""
+    out["strip_values"] = f"""
+      SELECT doc_id, sha256(regexp_replace(text, '{blank}', '', 'g')) AS stripped FROM documents"""
+    out["format_date"] = """
+      SELECT event_id, CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+        || CASE WHEN strftime(ts, '.%f') = '.000000' THEN '' ELSE strftime(ts, '.%f') END END AS iso
+      FROM events"""
+    out["cents_to_dollars"] = f"""
+      SELECT l_orderkey, l_linenumber, l_partkey, {money(
+          "ROUND(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(28,4)), 2)"
+      )} AS dollars FROM lineitem"""
+    out["sql_functions"] = f"""
+      SELECT o_orderkey, {_mask('o_orderpriority')} AS masked, {money(
+          "ROUND(CAST(CAST(o_totalprice AS DECIMAL(14,2)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(28,4)), 2)"
+      )} AS dollars, TRY_CAST(SUBSTR(o_orderpriority, 1, 1) AS BIGINT) AS priority,
+        CAST(NULL AS BIGINT) AS not_a_number FROM orders"""
+    out["csv_scan"] = f"""
+      SELECT conv_id, turn, role, sha256(regexp_replace(text, '{blank}', '', 'g')) AS text_hash,
+        CAST(NULL AS VARCHAR) AS _error FROM conversations"""
+
+    # Quality
+    out["dq_unique"] = """
+      SELECT order_id, CAST(order_item_id AS BIGINT) AS order_item_id, COUNT(*) AS n FROM f_order_item
+      GROUP BY 1, 2 HAVING COUNT(*) > 1"""
+    out["dq_not_null"] = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", COUNT(*) - COUNT({c}) AS failures FROM f_order"""
+        for c in ENTITIES["order"].columns
+    )
+    out["dq_accepted_values"] = """
+      SELECT review_comment_title AS value, COUNT(*) AS n FROM f_review
+      WHERE review_comment_title NOT IN ('view', 'click', 'purchase') GROUP BY 1"""
+    out["dq_relationships"] = """
+      SELECT order_id AS value, COUNT(*) AS n FROM f_order
+      WHERE order_id NOT IN (SELECT order_id FROM f_order_item) GROUP BY 1"""
+    out["dq_staging_tests"] = _tests_sql(
+        STAGING_TESTS, {name: f"f_{entity}" for name, entity in STAGED.items()}
+    )
+    out["dq_gold_tests"] = _tests_sql(
+        GOLD_TESTS,
+        {
+            "fct_orders": "g_orders",
+            "dim_customers": "g_places",
+            "dim_products": "f_product",
+            "dim_sellers": "f_seller",
+            "fct_order_items": "f_order_item",
+            "mart_category_performance": f"({out['mart_category_performance']})",
+            "mart_seller_performance": f"({out['mart_seller_performance']})",
+        },
+    )
+
+    # Observability
+    status = """CASE WHEN rows_failed = 0 THEN 'success' WHEN rows_processed > 0 THEN 'partial' ELSE 'failed' END"""
+    out["audit_status"] = f"""
+      SELECT *, {status} AS status FROM (
+        SELECT run_id, pipeline_stage, CAST(SUM(rows_processed) AS BIGINT) AS rows_processed,
+          CAST(SUM(rows_failed) AS BIGINT) AS rows_failed FROM f_audit GROUP BY 1, 2)"""
+    hourly = f"""
+      SELECT {stamp("date_trunc('hour', finished_at)")} AS hour, entity_type,
+        CAST(SUM(rows_processed) AS BIGINT) AS total_rows FROM f_audit"""
+    out["audit_throughput"] = f"{hourly} GROUP BY 1, 2"
+    out["audit_throughput_range"] = f"""{hourly}
+      WHERE finished_at >= TIMESTAMP '2024-01-10' AND finished_at < TIMESTAMP '2024-01-20' GROUP BY 1, 2"""
+    out["audit_error_rate"] = f"""
+      SELECT pipeline_stage, status, COUNT(*) AS total_runs,
+        ROUND(CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER (PARTITION BY pipeline_stage), 9) AS share
+      FROM (SELECT *, {status} AS status FROM f_audit) GROUP BY 1, 2"""
+    out["audit_run_history"] = f"""
+      SELECT run_id, entity_type, date_sub('second', started_at, finished_at) AS duration_seconds,
+        {status} AS status, {stamp('started_at')} AS started_at FROM f_audit WHERE pipeline_stage = 'dbt'"""
+    out["ingest_summary"] = """
+      SELECT COALESCE(entity_type, 'TOTAL') AS file_name, CAST(SUM(rows_processed) AS BIGINT) AS produced,
+        CAST(SUM(rows_failed) AS BIGINT) AS failed
+      FROM f_audit WHERE pipeline_stage = 'ingestion' GROUP BY ROLLUP (entity_type)"""
+    out["lag_sum"] = f"""
+      SELECT {stamp('ts')} AS ts, consumergroup, topic, CAST(lag AS BIGINT) AS lag FROM g_lag"""
+    out["lag_alert"] = f"""
+      SELECT consumergroup, topic, {stamp('MIN(ts)')} AS started_at, {stamp('MAX(ts)')} AS ended_at,
+        COUNT(*) AS samples, CAST(MAX(lag) AS BIGINT) AS peak
+      FROM ({_islands('g_lag')}) GROUP BY consumergroup, topic, island
+      HAVING MAX(ts) - MIN(ts) >= INTERVAL 3 HOURS"""
+    out["volume_anomaly"] = """
+      SELECT entity_type, CAST(day AS VARCHAR) AS day, n, ROUND(z, 6) AS z_score FROM (
+        SELECT *, (k * n - s) / sqrt(k * (k * ss - s * s) / (k - 1)) AS z FROM (
+          SELECT *, COUNT(n) OVER w AS k, SUM(CAST(n AS DOUBLE)) OVER w AS s,
+            SUM(CAST(n AS DOUBLE) * n) OVER w AS ss FROM (
+              SELECT entity_type, CAST(started_at AS DATE) AS day, CAST(SUM(rows_processed) AS BIGINT) AS n
+              FROM f_audit GROUP BY 1, 2)
+          WINDOW w AS (PARTITION BY entity_type ORDER BY day ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))
+        WHERE k >= 7 AND k * ss > s * s)
+      WHERE abs(z) > 2"""
+    out["freshness"] = f"""
+      SELECT pipeline_stage, entity_type, {stamp('t')} AS last_loaded_at, age AS age_seconds,
+        CASE WHEN age <= 25500 THEN 1 ELSE 0 END AS is_fresh
+      FROM (SELECT *, date_sub('second', t, TIMESTAMP '2024-01-31 07:00:00') AS age FROM (
+        SELECT pipeline_stage, entity_type, MAX(finished_at) AS t FROM f_audit GROUP BY 1, 2))"""
+    fields = " UNION ALL ".join(
+        f"""SELECT order_status, '{c}' AS "column",
+          CASE WHEN bool_and(TRY_CAST({c} AS BIGINT) IS NOT NULL) THEN 'integer'
+            WHEN bool_and(TRY_CAST({c} AS DOUBLE) IS NOT NULL) THEN 'numeric'
+            WHEN bool_and(TRY_CAST({c} AS TIMESTAMP) IS NOT NULL) THEN 'timestamp' ELSE 'string' END AS type
+          FROM f_order_text WHERE {c} IS NOT NULL GROUP BY 1"""
+        for c in ENTITIES["order"].columns
+    )
+    out["schema_diff"] = f"""
+      SELECT * FROM (SELECT "column", a.type AS old_type, b.type AS new_type,
+        CASE WHEN a.type IS NULL THEN 'added' WHEN b.type IS NULL THEN 'removed'
+          WHEN a.type <> b.type THEN 'retyped' END AS change
+        FROM (SELECT * FROM ({fields}) WHERE order_status = 'processing') a
+        FULL JOIN (SELECT * FROM ({fields}) WHERE order_status = 'delivered') b USING ("column"))
+      WHERE change IS NOT NULL"""
+    out["test_history"] = f"""
+      SELECT test, COUNT(*) AS runs, COUNT(*) FILTER (status = 'fail') AS failed_runs,
+        arg_max(status, started_at) AS last_status, {stamp('MAX(started_at)')} AS last_run_at,
+        COUNT(*) FILTER (status = 'fail' AND passes = total) AS failure_streak
+      FROM (SELECT *, SUM(CASE WHEN status = 'pass' THEN 1 ELSE 0 END) OVER (PARTITION BY test ORDER BY started_at) AS passes,
+          SUM(CASE WHEN status = 'pass' THEN 1 ELSE 0 END) OVER (PARTITION BY test) AS total
+        FROM (SELECT pipeline_stage || '.' || entity_type AS test, started_at,
+          CASE WHEN rows_failed > 0 THEN 'fail' ELSE 'pass' END AS status FROM f_audit))
+      GROUP BY test"""
+    out["e2e_latency"] = """
+      SELECT entity_type, ROUND(quantile_cont(s, 0.5), 6) AS p50_seconds, ROUND(quantile_cont(s, 0.95), 6) AS p95_seconds
+      FROM (SELECT entity_type, CAST(date_sub('second', started_at, finished_at) AS DOUBLE) AS s FROM f_audit)
+      GROUP BY 1"""
+    out["lineage_ancestors"] = """
+      WITH RECURSIVE edge AS (
+        SELECT DISTINCT run_id, pipeline_stage || '.' || entity_type AS output,
+          CASE pipeline_stage WHEN 'dbt' THEN 'spark' WHEN 'spark' THEN 'ingestion' ELSE 'file' END
+            || '.' || entity_type AS input FROM f_audit),
+      walk AS (
+        SELECT run_id, output, input, 1 AS depth FROM edge
+        UNION ALL
+        SELECT w.run_id, w.output, e.input, w.depth + 1 FROM walk w
+          JOIN edge e ON e.run_id = w.run_id AND e.output = w.input)
+      SELECT run_id, output, input, MIN(depth) AS depth FROM walk GROUP BY 1, 2, 3"""
+    _log = """
+      SELECT event_type AS query, CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END AS platform,
+        CASE WHEN event_id % 2 = 0 THEN 'cold' ELSE 'warm' END AS run,
+        CAST(value AS DECIMAL(12,2)) AS seconds, user_id * 1000000 AS bytes, event_id FROM events"""
+    out["query_log_compare"] = f"""
+      SELECT query, platform, {', '.join(
+          f"ROUND({money(f'SUM(seconds) FILTER (run = {r!r})')} / COUNT(seconds) FILTER (run = {r!r}), 9) AS {r}_seconds"
+          for r in ('cold', 'warm')
+      )}, MAX(bytes) AS bytes_scanned FROM ({_log}) GROUP BY 1, 2"""
+    out["cost_estimate"] = f"""
+      SELECT event_id, ROUND(scan, 9) AS scan_usd, ROUND(compute, 9) AS compute_usd,
+        ROUND(scan * 1e6, 9) AS scan_usd_per_million, ROUND(compute * 1e6, 9) AS compute_usd_per_million
+      FROM (SELECT event_id, CAST(bytes AS DOUBLE) / CAST(1e12 AS DOUBLE) * CAST(5 AS DOUBLE) AS scan,
+        CAST(seconds AS DOUBLE) / CAST(3600 AS DOUBLE) * CAST(3 AS DOUBLE) AS compute FROM ({_log}))"""
+
+    # Streams
+    out["stream_bronze"] = """
+      SELECT review_id, order_id, review_comment_message, ingested_at, checksum FROM g_envelope
+      WHERE review_comment_title <> 'error' AND review_creation_date >= TIMESTAMP '2024-01-05'"""
+    out["stream_quarantine"] = """
+      SELECT review_id || '|' || order_id AS key, 'not a readable envelope' AS error FROM f_review
+      WHERE review_comment_title = 'error'"""
+    out["stream_dedup"] = "SELECT review_id || '|' || order_id AS key, event_id FROM g_envelope"
+    out["stream_hourly_throughput"] = out["audit_throughput"]
+    out["stream_silver"] = """
+      SELECT order_id, customer_id, order_status,
+        strftime(TRY_CAST(order_purchase_timestamp AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') AS order_purchase_timestamp,
+        '2024-01-02T00:00:00.000000Z' AS ingested_at FROM f_order_text"""
+    closed = """(SELECT * FROM g_lag WHERE ts + INTERVAL 2 HOURS <= (SELECT MAX(ts) FROM f_lag))"""
+    out["stream_lag_alert"] = f"""
+      SELECT consumergroup, topic, {stamp('since')} AS started_at, {stamp('MIN(ts)')} AS fired_at,
+        CAST(arg_min(lag, ts) AS BIGINT) AS lag
+      FROM ({_islands(closed)}) WHERE ts - since >= INTERVAL 3 HOURS GROUP BY consumergroup, topic, island, since"""
     return {name: query(body) for name, body in out.items()}
+
+
+# Staging tables and their entities.
+STAGED = {
+    "stg_orders": "order",
+    "stg_order_items": "order_item",
+    "stg_payments": "payment",
+    "stg_reviews": "review",
+    "stg_customers": "customer",
+    "stg_products": "product",
+    "stg_sellers": "seller",
+    "stg_product_categories": "product_category",
+    "stg_geolocation": "geolocation",
+}
