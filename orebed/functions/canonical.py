@@ -31,14 +31,9 @@ def _lower_escapes(part: Column) -> Column:
 
 
 def _json_value(column: Column) -> Column:
-    wrapped = F.to_json(F.array(column.cast("string")), _JSON_OPTIONS)
-    text = F.substr(wrapped, F.lit(2), F.length(wrapped) - 2)
-    # An escaped backslash may stand before a plain "u": split on the pairs first.
-    lowered = F.array_join(F.transform(F.split(text, r"\\\\"), _lower_escapes), "\\\\")
-    text = F.when(text.contains("\\u"), lowered).otherwise(text)
-    return F.when(column.isNull(), F.lit("null")).otherwise(
-        F.replace(text, F.lit(_DEL), F.lit("\\u007f"))
-    )
+    # A one-element array keeps NULL and needs only its brackets removed: a JSON
+    # string starts and ends with a quote, so no bracket of the text is touched.
+    return F.btrim(F.to_json(F.array(column.cast("string")), _JSON_OPTIONS), F.lit("[]"))
 
 
 def canonical_json(columns: Mapping[str, Column | str] | Iterable[str]) -> Column:
@@ -49,7 +44,11 @@ def canonical_json(columns: Mapping[str, Column | str] | Iterable[str]) -> Colum
         value = named[name]
         value = F.col(value) if isinstance(value, str) else value
         members.append(F.concat(F.lit(f'"{name}": '), _json_value(value)))
-    return F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+    text = F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+    # An escaped backslash may stand before a plain "u": split on the pairs first.
+    lowered = F.array_join(F.transform(F.split(text, r"\\\\"), _lower_escapes), "\\\\")
+    escaped = F.when(F.contains(text, F.lit("\\u")), lowered).otherwise(text)
+    return F.replace(escaped, F.lit(_DEL), F.lit("\\u007f"))
 
 
 def checksum(columns: Mapping[str, Column | str] | Iterable[str]) -> Column:

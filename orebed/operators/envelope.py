@@ -41,7 +41,9 @@ def wrap(
     """
     topic = topic or ENTITIES[entity].topic
     columns = list(columns or ENTITIES[entity].columns)
-    digest = checksum(columns)
+    # A column of its own: event id and metadata use it, it is computed once.
+    df = df.withColumn("_checksum", checksum(columns))
+    digest = F.col("_checksum")
     if random_ids:
         event_id = F.uuid()
     else:
@@ -105,7 +107,10 @@ def parse(messages: DataFrame, entity: str | None = None) -> DataFrame:
     """Add ``metadata`` and ``payload`` parsed from ``value``, and ``error`` for bad messages."""
     schema = envelope_schema(entity).add(_CORRUPT, "string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = messages.withColumn("_parsed", F.from_json(F.col("value"), schema, options))
+    # One row in, one row out. The generator keeps filters on the parsed fields above
+    # the parser; through a plain projection they would parse the text a second time.
+    record = F.from_json(F.col("value"), schema, options)
+    parsed = messages.select("*", F.explode_outer(F.array(record)).alias("_parsed"))
     bad = F.col("_parsed").isNull() | F.col(f"_parsed.{_CORRUPT}").isNotNull()
     return (
         parsed.withColumn("error", F.when(bad, F.lit("not a readable envelope")))

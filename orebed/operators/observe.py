@@ -221,7 +221,8 @@ def schema_snapshot(df: DataFrame) -> DataFrame:
 
 def observed_fields(payloads: DataFrame, payload: str, *by: str) -> DataFrame:
     """Fields that occur with a value in map payloads, and the narrowest type that fits them all."""
-    pairs = payloads.select(*by, F.explode(payload).alias("column", "_text")).where(
+    # The outer form adds no size filter that would compute the payload twice.
+    pairs = payloads.select(*by, F.explode_outer(payload).alias("column", "_text")).where(
         F.col("_text").isNotNull()
     )
     text = F.col("_text")

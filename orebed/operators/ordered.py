@@ -27,7 +27,7 @@ def scan_bytes(df: DataFrame) -> int:
     It bounds the rows of filters, aggregates and many-to-one joins over them.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes().longValue()) for i in range(leaves.size()))
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def _fits(df: DataFrame, limit: int) -> bool:

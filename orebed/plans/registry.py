@@ -33,7 +33,7 @@ from orebed.sources.csv import read_csv
 from orebed.sources.silver import as_variant
 from orebed.sources.texts import silver_text
 from orebed.sources.topics import read_topics
-from orebed.streaming.alerts import ALERT, lag_alerts, start_alerts
+from orebed.streaming.alerts import ALERT, TOTAL, append_stream, lag_alerts, lag_totals
 from orebed.streaming.bronze import BACKFILL, land_bronze
 from orebed.streaming.events import dedup_events, hourly_totals, publish_totals, read_totals
 from orebed.streaming.silver import maintain_silver
@@ -677,11 +677,10 @@ def _(lake):
 @register("schema_diff")
 def _(lake):
     """Fields seen in delivered orders against those seen in orders being processed."""
-    enveloped = envelope.wrap(_order_rows(lake), "order")
-    payloads = envelope.parse(envelope.serialise(enveloped)).select("payload")
-    fields = observe.observed_fields(
-        payloads.withColumn("status", F.col("payload").getItem("order_status")), "payload", "status"
-    )
+    orders = _order_rows(lake)
+    pairs = [x for c in orders.columns for x in (F.lit(c), F.col(c))]
+    payloads = orders.select(F.col("order_status").alias("status"), F.create_map(*pairs).alias("payload"))
+    fields = observe.observed_fields(payloads, "payload", "status")
     return observe.schema_changes(
         fields.where("status = 'processing'"), fields.where("status = 'delivered'")
     )
@@ -850,13 +849,17 @@ def _(lake):
 
 @register("stream_lag_alert")
 def _(lake):
-    """Alerts raised while hourly lag is high, from samples arriving in order of time."""
-    source, out = work_dir(lake.spark, "lag"), work_dir(lake.spark, "alerts")
+    """Alerts raised while hourly lag is high: one stream closes the totals, one watches them."""
+    source, totals, out = (work_dir(lake.spark, p) for p in ("lag", "totals", "alerts"))
     samples = lake.view("lag")
     samples.repartitionByRange(4, "ts").write.parquet(source)
     stream = lake.spark.readStream.schema(samples.schema).parquet(source)
-    alerts = lag_alerts(
-        stream, hold_seconds=3 * 3600, max_gap_seconds=3600, delay="1 hour", bucket="1 hour"
-    )
-    start_alerts(alerts, out, work_dir(lake.spark, "offsets")).awaitTermination()
+    closed = lag_totals(stream, delay="1 hour", bucket="1 hour")
+    append_stream(closed, totals, work_dir(lake.spark, "offsets")).awaitTermination()
+    watched = lag_alerts(
+        lake.spark.readStream.schema(TOTAL).parquet(totals),
+        hold_seconds=3 * 3600,
+        max_gap_seconds=3600,
+    )
+    append_stream(watched, out, work_dir(lake.spark, "offsets")).awaitTermination()
     return lake.spark.read.schema(ALERT).parquet(out)

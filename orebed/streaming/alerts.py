@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from orebed.operators.observe import LAG_HOLD_SECONDS, LAG_THRESHOLD
 from orebed.streaming.bronze import BACKFILL
@@ -15,89 +16,81 @@ from orebed.streaming.bronze import BACKFILL
 ALERT = (
     "consumergroup string, topic string, started_at timestamp, fired_at timestamp, lag bigint"
 )
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+TOTAL = "ts timestamp, consumergroup string, topic string, lag bigint"
+_STATE = "since bigint, last bigint, fired boolean"
 
 
-class SustainedBreach(StatefulProcessor):
-    """One small state per series: when the breach began, the last sample, whether it fired."""
+def _breach(threshold: float, hold_seconds: int, max_gap_seconds: int):
+    """State per series: when the breach began, the last sample, whether the alert is out."""
+    hold, max_gap = hold_seconds * 10**6, max_gap_seconds * 10**6
 
-    def __init__(self, threshold: float, hold_seconds: int, max_gap_seconds: int):
-        self.threshold = threshold
-        self.hold = hold_seconds * 10**6
-        self.max_gap = max_gap_seconds * 10**6
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("breach", "since bigint, last bigint, fired boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        # Samples of one series in one batch, already summed per time.
+    def update(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        # One total per interval; a batch closes a few intervals of a series.
         samples = pd.concat(list(rows)).sort_values("micros")
-        since, last, fired = self.state.get() if self.state.exists() else (None, None, False)
+        since, last, fired = state.get if state.exists else (None, None, False)
         alerts = []
         for micros, lag in zip(samples["micros"].tolist(), samples["lag"].tolist()):
-            if lag <= self.threshold:
+            if lag <= threshold:
                 since, fired = None, False
             else:
-                if since is None or micros - last > self.max_gap:
+                if since is None or micros - last > max_gap:
                     since, fired = micros, False
-                if not fired and micros - since >= self.hold:
+                if not fired and micros - since >= hold:
                     fired = True
                     alerts.append((*key, since, micros, lag))
             last = micros
-        self.state.update((since, last, fired))
-        frame = pd.DataFrame(
-            alerts, columns=["consumergroup", "topic", "started_at", "fired_at", "lag"]
-        )
+        state.update((since, last, fired))
+        columns = ["consumergroup", "topic", "started_at", "fired_at", "lag"]
+        frame = pd.DataFrame(alerts, columns=columns)
         for c in ("started_at", "fired_at"):
             frame[c] = pd.to_datetime(frame[c], unit="us", utc=True)
         yield frame
 
-    def close(self) -> None:
-        pass
+    return update
 
 
-def lag_alerts(
-    samples: DataFrame,
-    threshold: float = LAG_THRESHOLD,
-    hold_seconds: int = LAG_HOLD_SECONDS,
-    max_gap_seconds: int = 60,
-    delay: str = "30 seconds",
-    bucket: str = "15 seconds",
+def lag_totals(
+    samples: DataFrame, delay: str = "30 seconds", bucket: str = "15 seconds"
 ) -> DataFrame:
-    """Alerts of a stream of partition lags ``(ts, consumergroup, topic, partition, lag)``.
-
-    Lags are summed over partitions per scrape interval by a windowed aggregation;
-    a closed interval updates the state of its series.
-    """
-    totals = (
+    """Lag over all partitions per scrape interval, once the interval is closed, of a
+    stream of ``(ts, consumergroup, topic, partition, lag)``."""
+    return (
         samples.withWatermark("ts", delay)
         .groupBy(F.window("ts", bucket).alias("w"), "consumergroup", "topic")
         .agg(F.sum("lag").alias("lag"))
-        .select("consumergroup", "topic", F.unix_micros("w.start").alias("micros"), "lag")
+        .select(F.col("w.start").alias("ts"), "consumergroup", "topic", "lag")
     )
-    return totals.groupBy("consumergroup", "topic").transformWithStateInPandas(
-        statefulProcessor=SustainedBreach(threshold, hold_seconds, max_gap_seconds),
-        outputStructType=ALERT,
-        outputMode="Append",
-        timeMode="None",
+
+
+def lag_alerts(
+    totals: DataFrame,
+    threshold: float = LAG_THRESHOLD,
+    hold_seconds: int = LAG_HOLD_SECONDS,
+    max_gap_seconds: int = 60,
+) -> DataFrame:
+    """Alerts of a stream of closed totals, fired at the first total that reaches the
+    hold time and not again before the lag was low."""
+    return (
+        totals.select("consumergroup", "topic", F.unix_micros("ts").alias("micros"), "lag")
+        .groupBy("consumergroup", "topic")
+        .applyInPandasWithState(
+            _breach(threshold, hold_seconds, max_gap_seconds),
+            ALERT,
+            _STATE,
+            "append",
+            GroupStateTimeout.NoTimeout,
+        )
     )
 
 
-def start_alerts(
-    alerts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+def append_stream(
+    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Append alerts to a table. This kind of state needs the RocksDB store."""
-    spark = alerts.sparkSession
-    provider = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        return (
-            alerts.writeStream.outputMode("append")
-            .format("parquet")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or BACKFILL))
-            .start(path)
-        )
-    finally:
-        spark.conf.set(_PROVIDER, provider)
+    """Append a stream to a Parquet table; its log makes every row appear once."""
+    return (
+        stream.writeStream.outputMode("append")
+        .format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or BACKFILL))
+        .start(path)
+    )
