@@ -121,9 +121,11 @@ def main() -> None:
     steps = {"silver_write": silver_seconds, "gold_build": gold_seconds}
     named = registry.queries()
     for name in STEPS:
-        steps[name], _ = timed(
-            lambda: named[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
-        )
+        # The second run counts: the first also loads and compiles code.
+        for _ in range(2):
+            steps[name], _ = timed(
+                lambda: named[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
+            )
 
     def short(values: dict) -> dict:
         return {k: round(v, 3) for k, v in values.items()}

@@ -1,8 +1,9 @@
 """The ten analytical queries over Gold.
 
 Each function takes the tables it reads, so it runs on materialised Gold or on
-lazily derived frames. Measures are summed on the join key before a join where
-the sums allow it; what is joined afterwards is one row per key.
+lazily derived frames. Where a result is grouped on the join key, measures are
+summed on it before the join: AQE cannot split a hot key there, because the group
+needs its rows together, while a map-side sum shrinks it to one row per task.
 """
 
 from __future__ import annotations
@@ -143,12 +144,7 @@ def product_search(
     for part in parts[1:]:
         hit = hit | category.contains(part)
     found = products.where(hit).select("product_id", "product_category_name")
-    # The product filter is applied to the items before they are grouped.
-    sold = (
-        items.join(found.select("product_id"), "product_id", "left_semi")
-        .groupBy("product_id")
-        .agg(F.count("order_id").alias("_sales"))
-    )
+    sold = items.groupBy("product_id").agg(F.count("order_id").alias("_sales"))
     return (
         found.join(sold, "product_id")
         .groupBy("product_id", "product_category_name")
@@ -164,6 +160,16 @@ def product_search(
     )
 
 
+def _state_per_order(orders: DataFrame, customers: DataFrame, key: str) -> DataFrame:
+    """Narrow bridge from order to customer state, joined before the wide item rows.
+
+    Only the orders are shuffled on the customer, who may be hot; AQE splits that
+    join. The items meet the bridge on the order and go into map-side sums.
+    """
+    places = customers.select(F.col("customer_unique_id").alias(key), "customer_state")
+    return orders.select("order_id", key).join(places, key).select("order_id", "customer_state")
+
+
 def category_pivot(
     items: DataFrame,
     products: DataFrame,
@@ -173,32 +179,18 @@ def category_pivot(
     n: int = 100,
     key: str = "customer_unique_id",
 ) -> DataFrame:
-    """Revenue of chosen categories per customer state: ``{result column: category}``.
-
-    The sums are rolled up per order, then per customer, then per state, so each
-    join sees one row per key and no key is hot.
-    """
+    """Revenue of chosen categories per customer state: ``{result column: category}``."""
     price = F.col("price")
     zero = F.lit(0).cast("decimal(28,9)")
     revenue = [
         F.sum(F.when(F.col("product_category_name") == c, price).otherwise(zero)).alias(name)
         for name, c in categories.items()
     ]
-    again = [F.sum(name).alias(name) for name in categories]
-    total = F.sum("total_items").alias("total_items")
-    per_order = (
-        items.join(products.select("product_id", "product_category_name"), "product_id")
-        .groupBy("order_id")
-        .agg(*revenue, F.count("order_id").alias("total_items"))
-    )
-    per_customer = (
-        per_order.join(orders.select("order_id", key), "order_id").groupBy(key).agg(*again, total)
-    )
-    places = customers.select(F.col("customer_unique_id").alias(key), "customer_state")
     return (
-        per_customer.join(places, key)
+        items.join(products.select("product_id", "product_category_name"), "product_id")
+        .join(_state_per_order(orders, customers, key), "order_id")
         .groupBy("customer_state")
-        .agg(*again, total)
+        .agg(*revenue, F.count("order_id").alias("total_items"))
         .orderBy(F.desc("total_items"), "customer_state")
         .limit(n)
     )
@@ -214,20 +206,14 @@ def star_join(
     key: str = "customer_unique_id",
 ) -> DataFrame:
     """Distinct orders and merchandise value by customer state, seller state and category."""
-    per_order = (
+    return (
         items.join(products.select("product_id", "product_category_name"), "product_id")
         .join(sellers.select("seller_id", "seller_state"), "seller_id")
-        .groupBy("order_id", "seller_state", "product_category_name")
-        .agg(F.sum("price").alias("_value"))
-    )
-    places = customers.select(F.col("customer_unique_id").alias(key), "customer_state")
-    return (
-        per_order.join(orders.select("order_id", key), "order_id")
-        .join(places, key)
+        .join(_state_per_order(orders, customers, key), "order_id")
         .groupBy("customer_state", "seller_state", "product_category_name")
         .agg(
             F.countDistinct("order_id").alias("unique_orders"),
-            F.sum("_value").alias("gross_merchandise_value"),
+            F.sum("price").alias("gross_merchandise_value"),
         )
         .orderBy(
             F.desc("gross_merchandise_value"),
