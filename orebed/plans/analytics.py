@@ -180,17 +180,23 @@ def category_pivot(
     key: str = "customer_unique_id",
 ) -> DataFrame:
     """Revenue of chosen categories per customer state: ``{result column: category}``."""
-    price = F.col("price")
-    zero = F.lit(0).cast("decimal(28,9)")
+    zero = F.lit(0).cast("decimal(38,9)")
     revenue = [
-        F.sum(F.when(F.col("product_category_name") == c, price).otherwise(zero)).alias(name)
+        F.sum(F.when(F.col("product_category_name") == c, F.col("_revenue")).otherwise(zero)).alias(
+            name
+        )
         for name, c in categories.items()
     ]
-    return (
+    # One sum per row, then the pivot over one row per state and category.
+    per_category = (
         items.join(products.select("product_id", "product_category_name"), "product_id")
         .join(_state_per_order(orders, customers, key), "order_id")
-        .groupBy("customer_state")
-        .agg(*revenue, F.count("order_id").alias("total_items"))
+        .groupBy("customer_state", "product_category_name")
+        .agg(F.sum("price").alias("_revenue"), F.count("order_id").alias("_items"))
+    )
+    return (
+        per_category.groupBy("customer_state")
+        .agg(*revenue, F.sum("_items").alias("total_items"))
         .orderBy(F.desc("total_items"), "customer_state")
         .limit(n)
     )
