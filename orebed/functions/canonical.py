@@ -45,6 +45,11 @@ def canonical_json(columns: Mapping[str, Column | str] | Iterable[str]) -> Colum
         value = F.col(value) if isinstance(value, str) else value
         members.append(F.concat(F.lit(f'"{name}": '), _json_value(value)))
     text = F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+    # The one-element transform names the text, so it is built once per row.
+    return F.element_at(F.transform(F.array(text), _normal_escapes), 1)
+
+
+def _normal_escapes(text: Column) -> Column:
     # An escaped backslash may stand before a plain "u": split on the pairs first.
     lowered = F.array_join(F.transform(F.split(text, r"\\\\"), _lower_escapes), "\\\\")
     escaped = F.when(F.contains(text, F.lit("\\u")), lowered).otherwise(text)

@@ -254,33 +254,46 @@ def schema_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def result_history(results: DataFrame, by: Sequence[str], time: str = "run_at") -> DataFrame:
+def result_history(
+    results: DataFrame, by: Sequence[str], time: str = "run_at", chunk_seconds: int = 86_400
+) -> DataFrame:
     """Latest status per test, its runs and failures, and the current failure streak.
 
-    The streak is the failures after the last pass. Both steps are aggregations, so
-    the history of a test is never sorted in one task.
+    The streak is the failures after the last pass. It is counted within time chunks
+    first; a test then has one row per chunk, however often it ran.
     """
+    by = list(by)
     failed = F.col("status") == "fail"
-    summary = results.groupBy(*by).agg(
-        F.count("*").alias("runs"),
-        F.count_if(failed).alias("failed_runs"),
-        F.max_by("status", time).alias("last_status"),
-        F.max(time).alias("last_run_at"),
-        F.max(F.when(~failed, F.col(time))).alias("_last_pass"),
-    )
-    recent = (
-        results.where(failed)
-        .groupBy(*by, time)
-        .agg(F.count("*").alias("_n"))
-        .join(summary.select(*by, "_last_pass"), list(by))
-        .where(F.col("_last_pass").isNull() | (F.col(time) > F.col("_last_pass")))
-        .groupBy(*by)
-        .agg(F.sum("_n").alias("failure_streak"))
+    chunk = F.floor(F.unix_timestamp(time) / chunk_seconds)
+    within = Window.partitionBy(*by, "_chunk")
+    last_pass = F.max(F.when(~failed, F.col(time))).over(within)
+    trailing = failed & (F.col("_pass").isNull() | (F.col(time) > F.col("_pass")))
+    chunks = (
+        results.withColumn("_chunk", chunk)
+        .withColumn("_pass", last_pass)
+        .groupBy(*by, "_chunk")
+        .agg(
+            F.count("*").alias("_runs"),
+            F.count_if(failed).alias("_failed"),
+            F.max_by("status", time).alias("_status"),
+            F.max(time).alias("_time"),
+            F.count_if(trailing).alias("_trailing"),
+            F.max(F.when(F.col("_pass").isNotNull(), F.col("_chunk"))).alias("_pass_chunk"),
+        )
     )
+    # One row per test and chunk from here on.
+    whole = Window.partitionBy(*by)
+    after = F.col("_last").isNull() | (F.col("_chunk") >= F.col("_last"))
     return (
-        summary.drop("_last_pass")
-        .join(recent, list(by), "left")
-        .withColumn("failure_streak", F.coalesce("failure_streak", F.lit(0).cast("bigint")))
+        chunks.withColumn("_last", F.max("_pass_chunk").over(whole))
+        .groupBy(*by)
+        .agg(
+            F.sum("_runs").alias("runs"),
+            F.sum("_failed").alias("failed_runs"),
+            F.max_by("_status", "_time").alias("last_status"),
+            F.max("_time").alias("last_run_at"),
+            F.sum(F.when(after, F.col("_trailing")).otherwise(0)).alias("failure_streak"),
+        )
     )
 
 

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebed.catalog import PII_COLUMNS
-from orebed.functions import mask_pii
+from orebed.operators.governance import mask_tagged, tag_table
 from orebed.operators.latest import keep_latest
 
 _PAYMENT_METRICS = ("total_payment_sequences", "total_payment_value", "max_payment_installments")
@@ -226,8 +225,14 @@ def sales_aggregate(events: DataFrame) -> DataFrame:
     )
 
 
+def write_sales_aggregate(
+    spark: SparkSession, source: str, target: str, format: str = "parquet"
+) -> None:
+    """Read typed events, replace the aggregate table."""
+    totals = sales_aggregate(spark.read.format(format).load(source))
+    totals.write.mode("overwrite").format(format).save(target)
+
+
 def publish(df: DataFrame, table: str, mode: str = "prefix") -> DataFrame:
-    """The table as consumers see it: every catalogued personal column masked."""
-    types = dict(df.dtypes)
-    masked = {c: mask_pii(c, mode, types[c]) for c in PII_COLUMNS.get(table, {}) if c in types}
-    return df.withColumns(masked) if masked else df
+    """The table as consumers see it: every column flagged as personal is masked."""
+    return mask_tagged(tag_table(df, table), mode)

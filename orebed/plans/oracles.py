@@ -299,6 +299,15 @@ def oracles() -> dict[str, str]:
         sha256(customer_unique_id) AS by_sha256, CAST(NULL AS VARCHAR) AS by_null,
         customer_unique_id AS by_none, CAST(NULL AS VARCHAR) AS number_by_prefix
       FROM f_customer"""
+    out["pii_catalogue"] = " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", 'string' AS type, 'confidential' AS classification,
+          COUNT({c}) AS personal_values FROM {source}"""
+        for t, source, c in (
+            ("fct_orders", "g_orders", "customer_id"),
+            ("fct_orders", "g_orders", "customer_unique_id"),
+            ("dim_customers", "g_places", "customer_unique_id"),
+        )
+    )
     out["dim_customers"] = f"""
       SELECT customer_unique_id, customer_city, customer_state, total_orders,
         {money('total_lifetime_value')} AS total_lifetime_value,
@@ -656,6 +665,12 @@ def oracles() -> dict[str, str]:
       SELECT consumergroup, topic, {stamp('since')} AS started_at, {stamp('MIN(ts)')} AS fired_at,
         CAST(arg_min(lag, ts) AS BIGINT) AS lag
       FROM ({_islands(closed)}) WHERE ts - since >= INTERVAL 3 HOURS GROUP BY consumergroup, topic, island, since"""
+    # Groups of fewer rows than the sketch's accuracy are exact: a value at the rank.
+    out["q10_percentile_approx"] = f"""
+      SELECT c.customer_state, {money('quantile_disc(o.total_payment_value, 0.5)')} AS median_payment,
+        quantile_disc(o.delivery_time_days, 0.9) AS p90_delivery_time
+      FROM g_orders o JOIN g_places c ON o.customer_unique_id = c.customer_unique_id
+      GROUP BY 1 ORDER BY median_payment DESC, 1 LIMIT 100"""
     return {name: query(body) for name, body in out.items()}
 
 

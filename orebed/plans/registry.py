@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from orebed.functions import (
     register_sql_functions,
     strip,
 )
-from orebed.operators import contracts, envelope, observe, quality
+from orebed.operators import contracts, envelope, governance, observe, quality
 from orebed.operators.envelope import parse as parse_stream
 from orebed.operators.latest import keep_latest
 from orebed.plans import analytics, gold
@@ -98,6 +99,31 @@ def _(lake):
     )
 
 
+@register("pii_catalogue")
+def _(lake):
+    """How many values each flagged column of the published tables holds, by classification."""
+    tables = {
+        "fct_orders": lake.fct_orders("order_id", "customer_id", "customer_unique_id"),
+        "dim_customers": lake.customer_places(),
+    }
+    counts = []
+    for name, df in tables.items():
+        tagged = governance.tag_table(df, name)
+        columns = governance.personal_columns(tagged)
+        counted = tagged.agg(*[F.count(c).alias(c) for c in columns])
+        counts.append(
+            counted.unpivot([], list(columns), "column", "personal_values").withColumn("table", F.lit(name))
+        )
+    flags = governance.catalogue(
+        lake.spark, {n: governance.tag_table(df, n) for n, df in tables.items()}
+    ).where("pii")
+    return (
+        reduce(DataFrame.unionByName, counts)
+        .join(F.broadcast(flags), ["table", "column"])
+        .select("table", "column", "type", "classification", "personal_values")
+    )
+
+
 @register("dim_customers")
 def _(lake):
     return _rounded(lake.dim_customers(), "avg_lifetime_review_score", "avg_reviewed_score")
@@ -461,11 +487,10 @@ def _order_rows(lake):
 @register("contract_split")
 def _(lake):
     checked = contracts.check_rows(_order_rows(lake), ORDER_CONTRACT)
-    passed, rejected = contracts.split(checked)
-    return passed.select("order_id", F.lit("pass").alias("outcome"), F.lit("").alias("reason")).unionByName(
-        rejected.select(
-            "order_id", F.lit("reject").alias("outcome"), F.array_join("errors", "; ").alias("reason")
-        )
+    return checked.select(
+        "order_id",
+        F.when(F.size("errors") == 0, "pass").otherwise("reject").alias("outcome"),
+        F.array_join("errors", "; ").alias("reason"),
     )
 
 
@@ -481,14 +506,10 @@ def _(lake):
     )
     cut = F.when(F.col("event_type") == "error", F.substr(body, F.lit(1), F.length(body) - 1))
     messages = events.select("event_id", F.coalesce(cut, body).alias("value"))
-    parsed = envelope.parse(messages)
-    good, bad = envelope.split(parsed)
-    return good.select(
+    return envelope.parse(messages).select(
         "event_id",
-        F.lit("bronze").alias("sink"),
+        F.when(F.col("error").isNull(), "bronze").otherwise("dead_letter").alias("sink"),
         F.col("payload").getItem("event_type").alias("event_type"),
-    ).unionByName(
-        bad.select("event_id", F.lit("dead_letter").alias("sink"), F.lit(None).cast("string").alias("event_type"))
     )
 
 

@@ -205,6 +205,14 @@ def test_sales_aggregate(spark):
     assert (found["q"].total_sales, found["q"].transaction_count) == (None, 0)
 
 
+def test_sales_aggregate_job(spark, tmp_path):
+    source, target = str(tmp_path / "events"), str(tmp_path / "sales")
+    spark.sql("SELECT '1' id, 'p' product_id, 2.5D amount").write.parquet(source)
+    for _ in range(2):
+        gold.write_sales_aggregate(spark, source, target)
+    assert spark.read.parquet(target).collect()[0].total_sales == 2.5
+
+
 def test_literal_predicate_of_the_compat_mode(built):
     """Comparing the order's customer id with the person id finds nothing without a mask."""
     tables = built[0]

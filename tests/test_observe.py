@@ -101,11 +101,22 @@ def test_observed_fields(spark):
     assert found == {"a": "integer", "b": "numeric", "c": "string"}
 
 
-def test_result_history(spark):
-    rows = [("t1", s, i) for i, s in enumerate(["fail", "pass", "fail", "fail"])] + [("t2", "pass", 1), ("t3", "fail", 1)]
-    df = spark.createDataFrame(rows, "test string, status string, run_at int")
-    found = {r.test: (r.last_status, r.runs, r.failed_runs, r.failure_streak) for r in observe.result_history(df, ["test"]).collect()}
-    assert found == {"t1": ("fail", 4, 3, 2), "t2": ("pass", 1, 0, 0), "t3": ("fail", 1, 1, 1)}
+@pytest.mark.parametrize("chunk", [10, 25, 86_400])
+def test_result_history(spark, chunk):
+    rng = np.random.default_rng(5)
+    rows, expected = [], {}
+    for test in map(str, range(12)):
+        own = [str(rng.choice(["fail", "pass"], p=[0.7, 0.3])) for _ in range(int(rng.integers(1, 12)))]
+        if test == "0":
+            own = ["fail"] * 9
+        rows += [(test, s, T0 + timedelta(seconds=7 * i)) for i, s in enumerate(own)]
+        streak = len(own) if "pass" not in own else own[::-1].index("pass")
+        expected[test] = (own[-1], len(own), own.count("fail"), streak)
+    df = spark.createDataFrame(rows, "test string, status string, run_at timestamp")
+    found = observe.result_history(df, ["test"], chunk_seconds=chunk).collect()
+    assert {
+        r.test: (r.last_status, r.runs, r.failed_runs, r.failure_streak) for r in found
+    } == expected
 
 
 def test_ancestors(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from orebed.catalog import ORDER_CONTRACT
-from orebed.operators import contracts, quality
+from orebed.operators import contracts, governance, quality
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +93,18 @@ def test_contract(spark):
     ]
     lacking = contracts.check_rows(df.drop("customer_id").limit(1), ORDER_CONTRACT).first()
     assert lacking.errors == ["customer_id: missing"]
+
+
+def test_pii_flags_drive_the_masks(spark):
+    df = spark.createDataFrame([("o1", "customer", 5)], "order_id string, customer_id string, n int")
+    tagged = governance.tag_contract(df, ORDER_CONTRACT)
+    assert governance.personal_columns(tagged) == {"customer_id": "confidential"}
+    rows = {(r.table, r.column): (r.pii, r.classification) for r in governance.catalogue(spark, {"t": tagged}).collect()}
+    assert rows == {
+        ("t", "order_id"): (False, None),
+        ("t", "customer_id"): (True, "confidential"),
+        ("t", "n"): (False, None),
+    }
+    masked = governance.mask_tagged(tagged).first()
+    assert (masked.order_id, masked.customer_id, masked.n) == ("o1", "cust****-PII-MASKED-****", 5)
+    assert governance.personal_columns(governance.tag_entity(df, "customer")) == {"customer_id": "confidential"}
