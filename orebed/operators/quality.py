@@ -36,13 +36,14 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFr
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child keys without a parent. Keys are counted before the anti join."""
+    """Child keys without a parent. Both sides are one row per key before the anti join."""
     keys = (
         child.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("value"))
         .agg(F.count("*").alias("n"))
     )
-    return keys.join(parent.select(F.col(parent_column).alias("value")), "value", "left_anti")
+    known = parent.select(F.col(parent_column).alias("value")).distinct()
+    return keys.join(known, "value", "left_anti")
 
 
 def has_rows(df: DataFrame) -> bool:

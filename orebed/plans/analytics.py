@@ -115,7 +115,8 @@ def orders_by_state_and_category(
         F.col("customer_unique_id").alias(key)
     )
     matching = products.where(F.col("product_category_name") == category).select("product_id")
-    with_item = items.join(matching, "product_id", "left_semi").select("order_id")
+    # Distinct, so that an order with very many items is one row on the right side.
+    with_item = items.join(matching, "product_id", "left_semi").select("order_id").distinct()
     return (
         orders.join(with_item, "order_id", "left_semi")
         .join(chosen, key, "left_semi")

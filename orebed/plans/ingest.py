@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orebed.catalog import DEAD_LETTER_TOPIC, ENTITIES, SOURCE_SYSTEM, Contract
@@ -14,6 +14,7 @@ from orebed.operators import contracts, envelope
 from orebed.sinks.audit import append_audit, audit_row
 from orebed.sinks.topics import write_topics
 from orebed.sources.csv import (
+    BLOCK,
     BOOKKEEPING,
     ERROR,
     FILE,
@@ -74,6 +75,7 @@ def ingest_file(
     source_system: str = SOURCE_SYSTEM,
     contract: Contract | None = None,
     format: str = "json",
+    multiline: bool = True,
 ) -> tuple[str, str, int, int]:
     """Envelope and publish one file: ``(file, entity, produced, failed)``.
 
@@ -82,7 +84,7 @@ def ingest_file(
     """
     file_name = path.rstrip("/").rsplit("/", 1)[-1]
     topic, entity = route_file(file_name)
-    read_csv(spark, path).write.mode("overwrite").parquet(landing)
+    read_csv(spark, path, multiline=multiline).write.mode("overwrite").parquet(landing)
     landed = spark.read.parquet(landing)
     columns = [c for c in landed.columns if c not in BOOKKEEPING]
     good, bad = accept(landed, contract)
@@ -96,18 +98,20 @@ def ingest_file(
         env,
         source_system,
         F.lit(datetime.now(timezone.utc)),
-        identity=(FILE, ROW_ID),
+        identity=(FILE, BLOCK, ROW_ID),
     )
     stamp = F.current_timestamp().alias("timestamp")
+    # The rows are counted while they are written.
+    seen = Observation(), Observation()
+    total = F.count("*").alias("n")
     messages = envelope.serialise(enveloped, envelope.message_key(enveloped, entity))
-    write_topics(messages.select("*", stamp), topics, format)
+    write_topics(messages.select("*", stamp).observe(seen[0], total), topics, format)
 
-    letters = envelope.dead_letters_raw(row_numbers(landed, bad), topic, [*columns, RAW])
-    write_topics(
-        letters.select(F.lit(DEAD_LETTER_TOPIC).alias("topic"), "key", "value", stamp), topics, format
-    )
-    produced, failed = good.count(), bad.count()
-    return file_name, entity, produced, failed
+    bad = row_numbers(landed, bad).withColumn(FILE, F.lit(file_name))
+    letters = envelope.dead_letters_raw(bad, topic, [*columns, RAW])
+    letters = letters.select(F.lit(DEAD_LETTER_TOPIC).alias("topic"), "key", "value", stamp)
+    write_topics(letters.observe(seen[1], total), topics, format)
+    return file_name, entity, seen[0].get["n"], seen[1].get["n"]
 
 
 def ingest(

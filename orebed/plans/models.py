@@ -10,7 +10,8 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orebed.catalog import DIM_CUSTOMERS_CONTRACT, FCT_ORDERS_CONTRACT
@@ -109,9 +110,11 @@ def build(
                 enforce(df, model.contract, model.name)
             if model.kind == "table":
                 path = f"{target.rstrip('/')}/{run_id}/{model.name}"
-                df.write.mode("overwrite").format(format).save(path)
+                counted = Observation()
+                observed = df.observe(counted, F.count("*").alias("n"))
+                observed.write.mode("overwrite").format(format).save(path)
                 df = spark.read.format(format).load(path)
-                rows = df.count()
+                rows = counted.get["n"]
             elif model.kind == "view":
                 df.createOrReplaceTempView(model.name)
             built[model.name] = df

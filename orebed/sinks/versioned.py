@@ -1,9 +1,10 @@
-"""A keyed table of immutable version folders.
+"""A keyed table of immutable folders: latest row per key, updated by appends.
 
-Rows are spread over key buckets. A version rewrites only the buckets it touches
-and never a folder that is being read; a commit record per bucket makes it
-visible. Committing the same version again replaces it, computed from the state
-before it, so a retried batch changes nothing.
+Rows are spread over key buckets. An upsert writes only its own rows, as a delta
+per bucket; reading merges the newest base of a bucket with the deltas after it,
+and compaction turns both into a new base now and then. Nothing that is being read
+is ever rewritten. A folder belongs to one version, so a retried batch writes the
+same folder again and changes nothing.
 """
 
 from __future__ import annotations
@@ -11,20 +12,21 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orebed.operators.latest import keep_latest, latest_order
 
-_BUCKET = "_bucket"
-_COMMIT = "version bigint, bucket int, path string"
+_BUCKET, _SPLIT = "_bucket", "_split"
+_COMMIT = "version bigint, kind string, bucket int, path string"
 
 
 class VersionedTable:
-    """Latest row per key, kept up to date by upserts.
+    """Latest row per key.
 
-    ``buckets`` fixes the layout for the life of the table: choose it so that a
-    bucket is a few hundred megabytes at the expected size.
+    ``buckets`` fixes the layout for the life of the table; ``splits`` is the number
+    of files, and so of tasks, per bucket when it is written. ``max_deltas`` upserts
+    trigger a compaction.
     """
 
     def __init__(
@@ -34,6 +36,8 @@ class VersionedTable:
         keys: Sequence[str],
         order: Callable[[DataFrame], Sequence[Column]] = latest_order,
         buckets: int = 16,
+        splits: int = 1,
+        max_deltas: int = 8,
         format: str = "parquet",
     ):
         self.spark = spark
@@ -41,34 +45,96 @@ class VersionedTable:
         self.keys = list(keys)
         self.order = order
         self.buckets = buckets
+        self.splits = splits
+        self.max_deltas = max_deltas
         self.format = format
 
-    def _commits(self) -> DataFrame:
+    # Commits
+
+    def _commits(self, before: int | None = None) -> DataFrame:
         try:
-            return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
+            commits = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _COMMIT)
-
-    def _paths(self, before: int | None = None) -> dict[int, str]:
-        """Newest folder per bucket: at most one entry per bucket."""
-        commits = self._commits()
-        if before is not None:
-            commits = commits.where(F.col("version") < before)
-        rows = commits.groupBy("bucket").agg(F.max_by("path", "version").alias("path")).collect()
-        return {r.bucket: r.path for r in rows}
+            commits = self.spark.createDataFrame([], _COMMIT)
+        commits = commits.distinct()
+        return commits if before is None else commits.where(F.col("version") < before)
+
+    def _live(self, before: int | None = None):
+        """Folders in use: per bucket the newest base and the deltas after it."""
+        base = F.max(F.when(F.col("kind") == "base", F.col("version"))).over(
+            Window.partitionBy("bucket")
+        )
+        is_base = (F.col("kind") == "base") & (F.col("version") == F.col("_base"))
+        is_later = (F.col("kind") == "delta") & (
+            F.col("_base").isNull() | (F.col("version") > F.col("_base"))
+        )
+        # At most one base and max_deltas deltas per bucket.
+        return (
+            self._commits(before)
+            .withColumn("_base", base)
+            .where((is_base | is_later) & F.col("path").isNotNull())
+            .orderBy("bucket", "version")
+            .collect()
+        )
 
     def next_version(self) -> int:
         last = self._commits().agg(F.max("version")).first()[0]
         return 0 if last is None else last + 1
 
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """Current rows, or those before a version; None while nothing is committed."""
-        paths = self._paths(before)
+    def _commit(self, rows: Sequence[tuple]) -> None:
+        if rows:
+            self.spark.createDataFrame(list(rows), _COMMIT).coalesce(1).write.mode("append").json(
+                f"{self.root}/commits"
+            )
+
+    # Layout
+
+    def _clustered(self, df: DataFrame) -> DataFrame:
+        """One shuffle that serves the merge and the layout of the files."""
+        hashed = F.xxhash64(*self.keys)
+        return df.withColumns(
+            {
+                _BUCKET: F.pmod(hashed, F.lit(self.buckets)).cast("int"),
+                _SPLIT: F.pmod(F.floor(hashed / self.buckets), F.lit(self.splits)).cast("int"),
+            }
+        ).repartition(self.buckets * self.splits, _BUCKET, _SPLIT)
+
+    def _write(self, clustered: DataFrame, version: int, kind: str) -> dict[int, str]:
+        """Write one version and return its folder per bucket, read off the folder names."""
+        folder = f"{self.root}/data/{kind}={version:012d}"
+        (
+            clustered.drop(_SPLIT)
+            .write.mode("overwrite")
+            .partitionBy(_BUCKET)
+            .format(self.format)
+            .save(folder)
+        )
+        try:
+            saved = self.spark.read.format(self.format).load(folder)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return {}
+        buckets = sorted(r[0] for r in saved.select(_BUCKET).distinct().collect())
+        return {b: f"{folder}/{_BUCKET}={b}" for b in buckets}
+
+    def _load(self, live) -> DataFrame | None:
+        paths = [r.path for r in live]
         if not paths:
             return None
-        return self.spark.read.format(self.format).load([paths[b] for b in sorted(paths)])
+        return self.spark.read.format(self.format).option("mergeSchema", True).load(paths)
+
+    # Operations
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """Current rows, or those before a version; None while there are none."""
+        live = self._live(before)
+        rows = self._load(live)
+        if rows is None or all(r.kind == "base" for r in live):
+            return rows
+        return keep_latest(rows, self.keys, self.order(rows))
 
     def view(self, name: str) -> None:
         """Point a temporary view at the current version."""
@@ -77,75 +143,35 @@ class VersionedTable:
             raise FileNotFoundError(f"nothing committed under {self.root}")
         current.createOrReplaceTempView(name)
 
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(
-            _BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        )
-
-    def _save(self, clustered: DataFrame, version: int) -> str:
-        folder = f"{self.root}/data/v={version:012d}"
-        clustered.write.mode("overwrite").partitionBy(_BUCKET).format(self.format).save(folder)
-        return folder
-
-    def _commit(self, folder: str, buckets: Sequence[int], version: int) -> None:
-        rows = [(version, b, f"{folder}/{_BUCKET}={b}") for b in buckets]
-        self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("append").json(
-            f"{self.root}/commits"
-        )
-
-    def _written(self, folder: str) -> list[int]:
-        """Buckets a version holds, from its folder names."""
-        try:
-            saved = self.spark.read.format(self.format).load(folder)
-        except AnalysisException as error:
-            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-                raise
-            return []
-        return sorted(r[0] for r in saved.select(_BUCKET).distinct().collect())
-
     def overwrite(self, df: DataFrame, version: int | None = None) -> int:
-        """Full rebuild from ``df``, deduplicated."""
+        """Full rebuild from ``df``, deduplicated; buckets without rows become empty."""
         version = self.next_version() if version is None else version
-        old = set(self._paths(version))
-        latest = self._bucketed(keep_latest(df, self.keys, self.order(df)))
-        folder = self._save(latest.repartition(self.buckets, _BUCKET), version)
-        new = self._written(folder)
-        if new:
-            self._commit(folder, new, version)
-        gone = sorted(old - set(new))
-        if gone:
-            self._truncate(latest, gone, version)
+        latest = keep_latest(df, self.keys, self.order(df))
+        written = self._write(self._clustered(latest), version, "base")
+        self._commit([(version, "base", b, written.get(b)) for b in range(self.buckets)])
         return version
 
-    def _truncate(self, like: DataFrame, buckets: Sequence[int], version: int) -> None:
-        folder = f"{self.root}/data/v={version:012d}-empty"
-        like.drop(_BUCKET).limit(0).write.mode("overwrite").format(self.format).save(folder)
-        rows = [(version, b, folder) for b in buckets]
-        self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("append").json(
-            f"{self.root}/commits"
-        )
-
     def upsert(self, df: DataFrame, version: int | None = None) -> int:
-        """Merge new rows: the latest row per key of the old and the new ones stays."""
+        """Add new rows: of the old and the new ones the latest per key stays."""
         version = self.next_version() if version is None else version
-        fresh = self._bucketed(keep_latest(df, self.keys, self.order(df))).persist()
-        try:
-            touched = sorted(r[0] for r in fresh.select(_BUCKET).distinct().collect())
-            if not touched:
-                return version
-            old_paths = self._paths(version)
-            paths = sorted({old_paths[b] for b in touched if b in old_paths})
-            parts = len(touched)
-            if paths:
-                # Untouched buckets are not read. One shuffle serves the merge and the layout.
-                old = self._bucketed(self.spark.read.format(self.format).load(paths))
-                both = old.unionByName(fresh, allowMissingColumns=True)
-                merged = keep_latest(
-                    both.repartition(parts, _BUCKET), [_BUCKET, *self.keys], self.order(fresh)
-                )
-            else:
-                merged = fresh.repartition(parts, _BUCKET)
-            self._commit(self._save(merged, version), touched, version)
-        finally:
-            fresh.unpersist()
+        latest = keep_latest(df, self.keys, self.order(df))
+        written = self._write(self._clustered(latest), version, "delta")
+        self._commit([(version, "delta", b, path) for b, path in written.items()])
+        deltas = {r.version for r in self._live() if r.kind == "delta"}
+        if len(deltas) >= self.max_deltas:
+            self.compact()
         return version
+
+    def compact(self) -> None:
+        """Merge every bucket that has deltas into a new base; other buckets are not read."""
+        live = self._live()
+        touched = {r.bucket for r in live if r.kind == "delta"}
+        if not touched:
+            return
+        version = max(r.version for r in live)
+        rows = self._load([r for r in live if r.bucket in touched])
+        merged = keep_latest(
+            self._clustered(rows), [_BUCKET, _SPLIT, *self.keys], self.order(rows)
+        )
+        written = self._write(merged, version, "base")
+        self._commit([(version, "base", b, path) for b, path in written.items()])

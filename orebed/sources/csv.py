@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orebed.catalog import ENTITIES
 from orebed.functions import strip
 
-FILE, ROW_ID, ERROR, RAW = "_file", "_row_id", "_error", "_raw"
-BOOKKEEPING = (FILE, ROW_ID, ERROR, RAW)
+FILE, BLOCK, ROW_ID, ERROR, RAW = "_file", "_block", "_row_id", "_error", "_raw"
+BOOKKEEPING = (FILE, BLOCK, ROW_ID, ERROR, RAW)
 _END = "\x01end\x01"
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", multiline: bool = True
+) -> DataFrame:
     """Scan one CSV file, or a folder of part files, named ``*.csv``.
 
     Values are stripped and empty values stay empty text. A row with too few
     values has NULLs at its end; a row with too many is marked in ``_error`` and
-    kept as text in ``_raw``. Files with quoted line breaks cannot be split, so
+    kept as text in ``_raw``. A file with quoted line breaks cannot be split, so
     the parallelism is the number of part files: land the result once and go on
-    from there.
+    from there. Files known to have none are split with ``multiline=False``.
     """
     if not path.lower().rstrip("/").endswith(".csv"):
         raise ValueError(f"expected a .csv file, got {path}")
-    options = {"header": True, "multiLine": True, "escape": '"', "encoding": encoding}
+    options = {"header": True, "multiLine": multiline, "escape": '"', "encoding": encoding}
     names = spark.read.options(**options).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, RAW)])
     rows = (
@@ -42,7 +44,8 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFra
     ]
     return rows.select(
         *values,
-        F.col("_metadata.file_name").alias(FILE),
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_block_start").alias(BLOCK),
         F.monotonically_increasing_id().alias(ROW_ID),
         F.when(too_long, F.lit(f"row has more than {len(names)} values")).alias(ERROR),
         F.when(too_long, F.col(RAW)).alias(RAW),
@@ -67,13 +70,19 @@ def row_count(spark: SparkSession, path: str) -> int:
 def row_numbers(landed: DataFrame, rows: DataFrame) -> DataFrame:
     """Add ``row_num``, 1-based within its file, to some of the landed rows.
 
-    Row ids grow along a file without gaps, so the number is the distance to the
-    file's first id: one small row per file instead of numbering all rows.
+    Row ids grow along a block of a file without gaps, so the number is the rows of
+    the blocks before plus the distance to the block's first id. Only one small row
+    per block is numbered, not the rows themselves.
     """
-    first = landed.groupBy(FILE).agg(F.min(ROW_ID).alias("_first"))
-    return rows.join(first, FILE, "left").withColumn(
-        "row_num", (F.col(ROW_ID) - F.col("_first") + 1).cast("int")
+    before = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        landed.groupBy(FILE, BLOCK)
+        .agg(F.min(ROW_ID).alias("_first"), F.count("*").alias("_rows"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+        .drop("_rows")
     )
+    number = F.col("_before") + F.col(ROW_ID) - F.col("_first") + 1
+    return rows.join(blocks, [FILE, BLOCK], "left").withColumn("row_num", number)
 
 
 def routes(spark: SparkSession) -> DataFrame:

@@ -73,6 +73,21 @@ def test_row_numbers_over_part_files(spark, tmp_path):
     assert len(numbered) == 3 and {r.row_num for r in numbered} == {4}
 
 
+def test_row_numbers_of_a_split_file(spark, tmp_path):
+    path = write(tmp_path / "x.csv", "a,b\n" + "".join(f"{i},{'x' * (i % 40)}\n" for i in range(1, 4001)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        split = csv_source.read_csv(spark, path, multiline=False)
+        assert split.rdd.getNumPartitions() > 4
+        split.write.parquet(str(tmp_path / "landed"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    landed = spark.read.parquet(str(tmp_path / "landed"))
+    numbered = csv_source.row_numbers(landed, landed)
+    assert numbered.count() == 4000 and numbered.where("row_num <> CAST(a AS INT)").isEmpty()
+
+
 def test_ingest_publishes_rejects_and_audits(spark, tmp_path):
     data, topics = tmp_path / "data", str(tmp_path / "topics")
     data.mkdir()

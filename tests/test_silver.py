@@ -150,12 +150,31 @@ def test_a_repeated_version_changes_nothing(spark, tmp_path):
     assert table.read().count() == 3
 
 
-def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+def test_upsert_writes_only_its_own_rows(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=16)
-    table.upsert(rows(spark, *[(f"k{i}", "x", "1") for i in range(100)]))
+    table.overwrite(rows(spark, *[(f"k{i}", "x", "1") for i in range(100)]))
     table.upsert(rows(spark, ("k1", "y", "2")))
-    assert len(list((tmp_path / "data" / "v=000000000001").glob("_bucket=*"))) == 1
-    assert table.read().count() == 100
+    assert len(list((tmp_path / "data" / "delta=000000000001").glob("_bucket=*"))) == 1
+    assert table.read().count() == 100 and state(table)["k1"] == "y"
+
+
+@pytest.mark.parametrize("splits", [1, 3])
+def test_compaction_changes_no_rows(spark, tmp_path, splits):
+    table = VersionedTable(
+        spark, str(tmp_path), ["seller_id"], latest_order, buckets=4, splits=splits, max_deltas=3
+    )
+    table.overwrite(rows(spark, *[(f"k{i}", "x", "1") for i in range(50)]))
+    for v in range(2, 7):
+        table.upsert(rows(spark, (f"k{v}", f"v{v}", str(v)), ("all", f"v{v}", str(v))))
+    expected = {f"k{i}": "x" for i in range(50)} | {f"k{v}": f"v{v}" for v in range(2, 7)}
+    assert state(table) == expected | {"all": "v6"}
+    table.compact()
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert state(table) == expected | {"all": "v6"}
+    # A batch that is repeated after the compaction that took it in adds nothing.
+    table.upsert(rows(spark, ("k6", "v6", "6"), ("all", "v6", "6")), 5)
+    assert state(table) == expected | {"all": "v6"} and table.read().count() == 51
 
 
 def test_overwrite_drops_rows_that_are_gone(spark, tmp_path):
