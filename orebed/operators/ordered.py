@@ -110,9 +110,8 @@ def exact_percentiles(
     ranged = durable(
         counts.repartitionByRange(*keys, "_value").withColumn("_part", F.spark_partition_id())
     )
-    known = ranged.where(F.col("_value").isNotNull())
-
-    # One row per (group, metric, range): bounded by groups plus ranges.
+    # One row per (group, metric, range), written too: the optimizer then knows its
+    # size and broadcasts it where it is small instead of shuffling the counts again.
     series = Window.partitionBy(*keys)
     before = series.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     probability = reduce(
@@ -120,16 +119,17 @@ def exact_percentiles(
         metrics.items(),
         F,
     )
-    position = probability * (F.col("_total") - 1)
-    parts = (
-        known.groupBy(*keys, "_part")
-        .agg(F.sum("_n").alias("_size"))
+    filled = F.sum(F.when(F.col("_value").isNotNull(), F.col("_n")).otherwise(0))
+    parts = durable(
+        ranged.groupBy(*keys, "_part")
+        .agg(filled.alias("_size"))
         .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
         .withColumn("_total", F.sum("_size").over(series))
-        .withColumn("_position", position)
+        .withColumn("_position", probability * (F.col("_total") - 1))
         .withColumn("_low", F.floor("_position"))
         .withColumn("_high", F.ceil("_position"))
     )
+
     end = F.col("_start") + F.col("_size")
     holds = [(F.col("_start") <= F.col(c)) & (F.col(c) < end) for c in ("_low", "_high")]
     targets = parts.where(holds[0] | holds[1]).select(
@@ -137,7 +137,11 @@ def exact_percentiles(
     )
     same = [F.col(c).eqNullSafe(F.col(f"_t{c}")) for c in (*keys, "_part")]
     running = Window.partitionBy(*keys, "_part").orderBy("_value")
-    rows = known.join(targets, same).withColumn("_end", F.col("_start") + F.sum("_n").over(running))
+    rows = (
+        ranged.where(F.col("_value").isNotNull())
+        .join(targets, same)
+        .withColumn("_end", F.col("_start") + F.sum("_n").over(running))
+    )
 
     def at(rank: str) -> Column:
         inside = (F.col("_end") - F.col("_n") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
@@ -152,7 +156,7 @@ def exact_percentiles(
         )
     )
     # Groups whose values are all NULL keep a row.
-    empty = ranged.select(*groups).distinct().select(
+    empty = parts.select(
         *groups, F.lit(None).cast("string").alias("_metric"), F.lit(None).cast("double").alias("_result")
     )
     return picked.unionByName(empty).groupBy(*groups).agg(

@@ -50,9 +50,12 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage on shared storage, so lost executors do not force a recompute."""
+    """Write a frame to the shared folder once and go on from the files.
+
+    Lost executors then cost no recomputation, every later use sees the same rows,
+    and each reads only its columns.
+    """
     spark = df.sparkSession
-    root = _shared_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint()
+    path = work_dir(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
