@@ -23,6 +23,11 @@ from orebed.operators.ordered import (
 )
 
 
+def _top(df: DataFrame, n: int | None, *order) -> DataFrame:
+    """The first n rows in a total order; all rows, unsorted, without n."""
+    return df if n is None else df.orderBy(*order).limit(n)
+
+
 def full_scan(orders: DataFrame) -> DataFrame:
     return orders.agg(
         F.count("*").alias("cnt"),
@@ -31,13 +36,11 @@ def full_scan(orders: DataFrame) -> DataFrame:
     )
 
 
-def lifetime_value_by_state(customers: DataFrame, n: int = 10) -> DataFrame:
-    return (
-        customers.groupBy("customer_state")
-        .agg(F.count("*").alias("cnt"), F.sum("total_lifetime_value").alias("ltv"))
-        .orderBy(F.desc("ltv"), "customer_state")
-        .limit(n)
+def lifetime_value_by_state(customers: DataFrame, n: int | None = 10) -> DataFrame:
+    states = customers.groupBy("customer_state").agg(
+        F.count("*").alias("cnt"), F.sum("total_lifetime_value").alias("ltv")
     )
+    return _top(states, n, F.desc("ltv"), "customer_state")
 
 
 def _items_per_product(items: DataFrame) -> DataFrame:
@@ -46,15 +49,14 @@ def _items_per_product(items: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_category(items: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
-    return (
+def revenue_by_category(items: DataFrame, products: DataFrame, n: int | None = 10) -> DataFrame:
+    categories = (
         _items_per_product(items)
         .join(products.select("product_id", "product_category_name"), "product_id")
         .groupBy("product_category_name")
         .agg(F.sum("_items").alias("item_count"), F.sum("_revenue").alias("revenue"))
-        .orderBy(F.desc("revenue"), "product_category_name")
-        .limit(n)
     )
+    return _top(categories, n, F.desc("revenue"), "product_category_name")
 
 
 def _money_per_customer(orders: DataFrame, key: str) -> DataFrame:
@@ -104,7 +106,7 @@ def orders_by_state_and_category(
     products: DataFrame,
     states: Sequence[str],
     category: str,
-    n: int = 100,
+    n: int | None = 100,
     key: str = "customer_unique_id",
 ) -> DataFrame:
     """Orders of customers in given states that hold an item of one category.
@@ -117,27 +119,33 @@ def orders_by_state_and_category(
     matching = products.where(F.col("product_category_name") == category).select("product_id")
     # Distinct, so that an order with very many items is one row on the right side.
     with_item = items.join(matching, "product_id", "left_semi").select("order_id").distinct()
-    return (
+    found = (
         orders.join(with_item, "order_id", "left_semi")
         .join(chosen, key, "left_semi")
         .select("order_id", "customer_id", "total_payment_value", "order_status")
-        .orderBy("order_id")
-        .limit(n)
     )
+    return _top(found, n, "order_id")
 
 
 def rolling_revenue(
-    orders: DataFrame, rows: int | None = 30, days: int | None = None, n: int = 100
+    orders: DataFrame,
+    rows: int | None = 30,
+    days: int | None = None,
+    n: int | None = 100,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    daily = orders.groupBy(F.to_date("order_purchase_timestamp").alias("order_date")).agg(
+    """Daily revenue with its moving average, newest days first, optionally per group."""
+    daily = orders.groupBy(*by, F.to_date("order_purchase_timestamp").alias("order_date")).agg(
         F.sum("total_payment_value").alias("daily_revenue")
     )
-    averaged = moving_average(daily, "order_date", "daily_revenue", "rolling_30d_avg", rows, days)
-    return averaged.orderBy(F.desc("order_date")).limit(n)
+    averaged = moving_average(
+        daily, "order_date", "daily_revenue", "rolling_30d_avg", rows, days, by
+    )
+    return _top(averaged, n, F.desc("order_date"), *by)
 
 
 def product_search(
-    products: DataFrame, items: DataFrame, parts: Sequence[str], n: int = 100
+    products: DataFrame, items: DataFrame, parts: Sequence[str], n: int | None = 100
 ) -> DataFrame:
     """Best-selling products whose category contains any of the given parts."""
     category = F.col("product_category_name")
@@ -146,7 +154,7 @@ def product_search(
         hit = hit | category.contains(part)
     found = products.where(hit).select("product_id", "product_category_name")
     sold = items.groupBy("product_id").agg(F.count("order_id").alias("_sales"))
-    return (
+    result = (
         found.join(sold, "product_id")
         .groupBy("product_id", "product_category_name")
         .agg(F.sum("_sales").alias("sales_count"))
@@ -156,9 +164,8 @@ def product_search(
             F.concat(F.substring("product_id", 1, 8), F.lit("...")).alias("short_id"),
             "sales_count",
         )
-        .orderBy(F.desc("sales_count"), "product_id")
-        .limit(n)
     )
+    return _top(result, n, F.desc("sales_count"), "product_id")
 
 
 def _state_per_order(orders: DataFrame, customers: DataFrame, key: str) -> DataFrame:
@@ -177,7 +184,7 @@ def category_pivot(
     orders: DataFrame,
     customers: DataFrame,
     categories: Mapping[str, str],
-    n: int = 100,
+    n: int | None = 100,
     key: str = "customer_unique_id",
 ) -> DataFrame:
     """Revenue of chosen categories per customer state: ``{result column: category}``."""
@@ -195,12 +202,10 @@ def category_pivot(
         .groupBy("customer_state", "product_category_name")
         .agg(F.sum("price").alias("_revenue"), F.count("order_id").alias("_items"))
     )
-    return (
-        per_category.groupBy("customer_state")
-        .agg(*revenue, F.sum("_items").alias("total_items"))
-        .orderBy(F.desc("total_items"), "customer_state")
-        .limit(n)
+    states = per_category.groupBy("customer_state").agg(
+        *revenue, F.sum("_items").alias("total_items")
     )
+    return _top(states, n, F.desc("total_items"), "customer_state")
 
 
 def star_join(
@@ -209,26 +214,32 @@ def star_join(
     items: DataFrame,
     products: DataFrame,
     sellers: DataFrame,
-    n: int = 100,
+    n: int | None = 100,
     key: str = "customer_unique_id",
+    approximate: bool = False,
 ) -> DataFrame:
-    """Distinct orders and merchandise value by customer state, seller state and category."""
-    return (
+    """Distinct orders and merchandise value by customer state, seller state and category.
+
+    ``approximate`` counts the distinct orders with a sketch.
+    """
+    distinct = F.approx_count_distinct if approximate else F.countDistinct
+    groups = (
         items.join(products.select("product_id", "product_category_name"), "product_id")
         .join(sellers.select("seller_id", "seller_state"), "seller_id")
         .join(_state_per_order(orders, customers, key), "order_id")
         .groupBy("customer_state", "seller_state", "product_category_name")
         .agg(
-            F.countDistinct("order_id").alias("unique_orders"),
+            distinct("order_id").alias("unique_orders"),
             F.sum("price").alias("gross_merchandise_value"),
         )
-        .orderBy(
-            F.desc("gross_merchandise_value"),
-            "customer_state",
-            "seller_state",
-            "product_category_name",
-        )
-        .limit(n)
+    )
+    return _top(
+        groups,
+        n,
+        F.desc("gross_merchandise_value"),
+        "customer_state",
+        "seller_state",
+        "product_category_name",
     )
 
 
@@ -246,18 +257,18 @@ def _orders_with_state(orders: DataFrame, customers: DataFrame, key: str) -> Dat
 def percentiles_exact(
     orders: DataFrame,
     customers: DataFrame,
-    n: int = 100,
+    n: int | None = 100,
     key: str = "customer_unique_id",
     one_task_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     joined = _orders_with_state(orders, customers, key)
     result = exact_percentiles(joined, ["customer_state"], _PERCENTILES, one_task_bytes)
-    return result.orderBy(F.desc("median_payment"), "customer_state").limit(n)
+    return _top(result, n, F.desc("median_payment"), "customer_state")
 
 
 def percentiles_approximate(
-    orders: DataFrame, customers: DataFrame, n: int = 100, key: str = "customer_unique_id"
+    orders: DataFrame, customers: DataFrame, n: int | None = 100, key: str = "customer_unique_id"
 ) -> DataFrame:
     joined = _orders_with_state(orders, customers, key)
     result = approximate_percentiles(joined, ["customer_state"], _PERCENTILES)
-    return result.orderBy(F.desc("median_payment"), "customer_state").limit(n)
+    return _top(result, n, F.desc("median_payment"), "customer_state")

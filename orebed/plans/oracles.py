@@ -379,8 +379,8 @@ def oracles() -> dict[str, str]:
       SELECT order_id, customer_id, {money('total_payment_value')} AS total_payment_value, order_status
       FROM (SELECT order_id, {_mask('customer_id')} AS customer_id, total_payment_value, order_status FROM g_orders)
       WHERE customer_id IN (SELECT {_mask('customer_unique_id')} FROM g_places
-          WHERE customer_state IN ('ASIA', 'EUROPE', 'AFRICA'))
-      ORDER BY order_id LIMIT 100"""
+          WHERE customer_state IN ('ASIA', 'EUROPE', 'AFRICA'))"""
+    out["q5_semi_join_all"] = out["q5_semi_join"].replace("ORDER BY order_id LIMIT 100", "")
     daily = """
       SELECT CAST(order_purchase_timestamp AS DATE) AS d, SUM(total_payment_value) AS revenue
       FROM g_orders GROUP BY 1"""
@@ -393,6 +393,12 @@ def oracles() -> dict[str, str]:
             {money(f'SUM(revenue) OVER (ORDER BY d {frame})')} / COUNT(revenue) OVER (ORDER BY d {frame})
               AS rolling_30d_avg
           FROM ({daily}) ORDER BY d DESC LIMIT 100"""
+    frame = "PARTITION BY customer_state ORDER BY d ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
+    out["q6_rolling_by_state"] = f"""
+      SELECT customer_state, CAST(d AS VARCHAR) AS order_date, {money('revenue')} AS daily_revenue,
+        {money(f'SUM(revenue) OVER ({frame})')} / COUNT(revenue) OVER ({frame}) AS rolling_30d_avg
+      FROM (SELECT customer_state, CAST(order_purchase_timestamp AS DATE) AS d,
+        SUM(total_payment_value) AS revenue FROM g_orders GROUP BY 1, 2)"""
     out["q7_string_ops"] = """
       SELECT product_id, UPPER(product_category_name) AS cat_upper,
         SUBSTR(product_id, 1, 8) || '...' AS short_id, COUNT(order_id) AS sales_count
@@ -419,6 +425,7 @@ def oracles() -> dict[str, str]:
         JOIN f_seller s ON i.seller_id = s.seller_id
       GROUP BY 1, 2, 3
       ORDER BY gross_merchandise_value DESC, 1, 2, 3 NULLS FIRST LIMIT 100"""
+    out["q9_star_join_all"] = out["q9_star_join"].split("ORDER BY")[0]
     out["q10_percentile_exact"] = """
       SELECT c.customer_state, ROUND(quantile_cont(CAST(CAST(o.total_payment_value AS DECIMAL(38,4)) AS DOUBLE), 0.5), 6)
           AS median_payment,

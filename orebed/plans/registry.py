@@ -220,6 +220,19 @@ def _(lake):
     )
 
 
+@register("q5_semi_join_all")
+def _(lake):
+    return analytics.orders_by_state_and_category(
+        lake.fct_orders(*_Q5),
+        lake.customer_places(),
+        lake.staged("order_item"),
+        lake.staged("product"),
+        STATES,
+        CATEGORY,
+        n=None,
+    )
+
+
 @register("q5_semi_join_compat")
 def _(lake):
     """Masked order customers looked up among masked persons: matches by collision only."""
@@ -231,8 +244,6 @@ def _(lake):
     return (
         orders.join(chosen, "customer_id", "left_semi")
         .select("order_id", "customer_id", "total_payment_value", "order_status")
-        .orderBy("order_id")
-        .limit(100)
     )
 
 
@@ -250,6 +261,13 @@ def _(lake):
     )
 
 
+@register("q6_rolling_by_state")
+def _(lake):
+    """Whole series, one moving average per customer state."""
+    orders = lake.fct_orders("order_purchase_timestamp", "total_payment_value", "customer_state")
+    return analytics.rolling_revenue(orders, rows=30, n=None, by=["customer_state"])
+
+
 @register("q7_string_ops")
 def _(lake):
     return analytics.product_search(lake.staged("product"), lake.staged("order_item"), SEARCH)
@@ -277,6 +295,18 @@ def _(lake):
     )
 
 
+@register("q9_star_join_all")
+def _(lake):
+    return analytics.star_join(
+        lake.fct_orders("order_id", "customer_unique_id"),
+        lake.customer_places(),
+        lake.staged("order_item"),
+        lake.staged("product"),
+        lake.staged("seller"),
+        n=None,
+    )
+
+
 _Q10 = ("customer_unique_id", "total_payment_value", "delivery_time_days")
 
 
