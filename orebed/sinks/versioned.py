@@ -9,16 +9,18 @@ same folder again and changes nothing.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orebed.operators.latest import keep_latest, latest_order
 
 _BUCKET, _SPLIT = "_bucket", "_split"
-_COMMIT = "version bigint, kind string, bucket int, path string"
+_COMMIT = "version bigint, kind string, bucket int, path string, columns string"
 
 
 class VersionedTable:
@@ -94,8 +96,9 @@ class VersionedTable:
                     F.lit(kind).alias("kind"),
                     F.lit(bucket).alias("bucket"),
                     F.lit(path).cast("string").alias("path"),
+                    F.lit(columns).alias("columns"),
                 )
-                for version, kind, bucket, path in rows
+                for version, kind, bucket, path, columns in rows
             ]
         )
         one = self.spark.range(0, 1, 1, 1)
@@ -113,30 +116,31 @@ class VersionedTable:
             }
         ).repartition(self.buckets * self.splits, _BUCKET, _SPLIT)
 
-    def _write(self, clustered: DataFrame, version: int, kind: str) -> dict[int, str]:
-        """Write one version and return its folder per bucket, read off the folder names."""
+    def _write(self, clustered: DataFrame, version: int, kind: str) -> tuple[dict[int, str], str]:
+        """Write one version; return its folder per bucket and its schema.
+
+        The buckets are read off the folder names. Schemas travel with the commits,
+        so no read has to open files to find them.
+        """
         folder = f"{self.root}/data/{kind}={version:012d}"
-        (
-            clustered.drop(_SPLIT)
-            .write.mode("overwrite")
-            .partitionBy(_BUCKET)
-            .format(self.format)
-            .save(folder)
-        )
-        try:
-            saved = self.spark.read.format(self.format).load(folder)
-        except AnalysisException as error:
-            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-                raise
-            return {}
+        rows = clustered.drop(_SPLIT)
+        writer = rows.write.mode("overwrite").partitionBy(_BUCKET).format(self.format)
+        writer.save(folder)
+        saved = self.spark.read.schema(rows.schema).format(self.format).load(folder)
         buckets = sorted(r[0] for r in saved.select(_BUCKET).distinct().collect())
-        return {b: f"{folder}/{_BUCKET}={b}" for b in buckets}
+        columns = rows.drop(_BUCKET).schema.json()
+        return {b: f"{folder}/{_BUCKET}={b}" for b in buckets}, columns
 
     def _load(self, live) -> DataFrame | None:
-        paths = [r.path for r in live]
-        if not paths:
+        """Folders as one frame; columns added over time are NULL in older rows."""
+        if not live:
             return None
-        return self.spark.read.format(self.format).option("mergeSchema", True).load(paths)
+        fields = {}
+        for commit in sorted(live, key=lambda r: r.version):
+            for field in T.StructType.fromJson(json.loads(commit.columns)).fields:
+                fields[field.name] = T.StructField(field.name, field.dataType)
+        schema = T.StructType(list(fields.values()))
+        return self.spark.read.schema(schema).format(self.format).load([r.path for r in live])
 
     # Operations
 
@@ -159,16 +163,16 @@ class VersionedTable:
         """Full rebuild from ``df``, deduplicated; buckets without rows become empty."""
         version = self.next_version() if version is None else version
         latest = keep_latest(df, self.keys, self.order(df))
-        written = self._write(self._clustered(latest), version, "base")
-        self._commit([(version, "base", b, written.get(b)) for b in range(self.buckets)])
+        written, columns = self._write(self._clustered(latest), version, "base")
+        self._commit([(version, "base", b, written.get(b), columns) for b in range(self.buckets)])
         return version
 
     def upsert(self, df: DataFrame, version: int | None = None) -> int:
         """Add new rows: of the old and the new ones the latest per key stays."""
         version = self.next_version() if version is None else version
         latest = keep_latest(df, self.keys, self.order(df))
-        written = self._write(self._clustered(latest), version, "delta")
-        self._commit([(version, "delta", b, path) for b, path in written.items()])
+        written, columns = self._write(self._clustered(latest), version, "delta")
+        self._commit([(version, "delta", b, path, columns) for b, path in written.items()])
         deltas = {r.version for r in self._live() if r.kind == "delta"}
         if len(deltas) >= self.max_deltas:
             self.compact()
@@ -185,5 +189,5 @@ class VersionedTable:
         merged = keep_latest(
             self._clustered(rows), [_BUCKET, _SPLIT, *self.keys], self.order(rows)
         )
-        written = self._write(merged, version, "base")
-        self._commit([(version, "base", b, path) for b, path in written.items()])
+        written, columns = self._write(merged, version, "base")
+        self._commit([(version, "base", b, path, columns) for b, path in written.items()])

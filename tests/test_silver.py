@@ -177,6 +177,25 @@ def test_compaction_changes_no_rows(spark, tmp_path, splits):
     assert state(table) == expected | {"all": "v6"} and table.read().count() == 51
 
 
+def test_columns_may_be_added(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=2, max_deltas=2)
+    table.upsert(rows(spark, ("a", "a1", "1"), ("b", "b1", "1")))
+    wider = rows(spark, ("a", "a2", "2")).withColumn("seller_state", F.lit("RJ"))
+    table.upsert(wider)
+    for _ in range(2):
+        found = {r.seller_id: (r.seller_city, r.seller_state) for r in table.read().collect()}
+        assert found == {"a": ("a2", "RJ"), "b": ("b1", None)}
+        table.compact()
+
+
+def test_overwrite_with_nothing_empties_the_table(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=2)
+    full = rows(spark, ("a", "a1", "1"))
+    table.overwrite(full)
+    table.overwrite(full.limit(0))
+    assert table.read() is None
+
+
 def test_overwrite_drops_rows_that_are_gone(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=8)
     table.overwrite(rows(spark, *[(f"k{i}", "x", "1") for i in range(40)]))
