@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +26,20 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+@lru_cache(maxsize=1)
+def _ship(context) -> None:
+    """Send the package to Python workers that would not find it by their own path."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if root not in map(os.path.abspath, filter(None, known)):
+        folder = tempfile.mkdtemp()
+        context.addPyFile(shutil.make_archive(f"{folder}/orebed", "zip", root, "orebed"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; bounds the session's Arrow batches."""
     bounded_batches(spark)
+    _ship(spark.sparkContext)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orebed.llm import arrow_ids, heavy_dedup, min_slack, secret_tokens
+from orebed.llm import arrow_ids, heavy_dedup, min_slack, secret_tokens, word_table
 from orebed.llm.common import table
 
 WORD_BPE, BYTE_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -27,6 +27,10 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heavy_dedup.find_copies(table(spark, sf_dir, "documents"))
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_table.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_tokens.scan(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS))
 
@@ -36,6 +40,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_min_bin_slack": packing,
         "op3_arrow_token_files": token_files,
         "op4_heavy_hitter_dedup": exact_dedup,
+        "op5_distinct_word_bpe": byte_bpe,
         "op10_token_efficiency": secrets,
     }
 
