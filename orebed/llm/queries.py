@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orebed.llm import arrow_ids, heavy_dedup, min_slack, secret_tokens, word_table
+from orebed.llm import arrow_ids, boosted_quality, heavy_dedup, hyper_lang, min_slack, secret_tokens, word_table
 from orebed.llm.common import table
 
 WORD_BPE, BYTE_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -31,6 +31,14 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_table.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyper_lang.identify(table(spark, sf_dir, "documents"))
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boosted_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_tokens.scan(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS))
 
@@ -41,6 +49,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_arrow_token_files": token_files,
         "op4_heavy_hitter_dedup": exact_dedup,
         "op5_distinct_word_bpe": byte_bpe,
+        "op8_hyperdimensional_language": languages,
+        "op9_boosted_quality": quality,
         "op10_token_efficiency": secrets,
     }
 
