@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orebed.llm import arrow_ids, boosted_quality, heavy_dedup, hyper_lang, min_slack, secret_tokens, word_table
+from orebed.llm import (
+    arrow_ids,
+    boosted_quality,
+    heavy_dedup,
+    hyper_lang,
+    lsh_forest,
+    min_slack,
+    secret_tokens,
+    word_table,
+)
 from orebed.llm.common import table
 
 WORD_BPE, BYTE_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -31,6 +40,10 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_table.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_groups(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyper_lang.identify(table(spark, sf_dir, "documents"))
 
@@ -49,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_arrow_token_files": token_files,
         "op4_heavy_hitter_dedup": exact_dedup,
         "op5_distinct_word_bpe": byte_bpe,
+        "op7_lsh_forest": near_dedup,
         "op8_hyperdimensional_language": languages,
         "op9_boosted_quality": quality,
         "op10_token_efficiency": secrets,
