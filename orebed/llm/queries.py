@@ -14,6 +14,7 @@ from orebed.llm import (
     hyper_lang,
     lsh_forest,
     min_slack,
+    projection_dedup,
     secret_tokens,
     word_table,
 )
@@ -40,6 +41,10 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_table.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_dedup.near_vectors(table(spark, sf_dir, "embeddings"), similarity=0.95)
+
+
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_groups(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_arrow_token_files": token_files,
         "op4_heavy_hitter_dedup": exact_dedup,
         "op5_distinct_word_bpe": byte_bpe,
+        "op6_sorted_projections": near_embeddings,
         "op7_lsh_forest": near_dedup,
         "op8_hyperdimensional_language": languages,
         "op9_boosted_quality": quality,
