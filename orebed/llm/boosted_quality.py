@@ -11,6 +11,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -212,8 +213,6 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0,
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents, with all their columns, whose score reaches the threshold."""
-    import pandas as pd
-
     held = F.coalesce(crc32_mod("doc_id", 5) == 0, F.lit(False))
     model = learn(docs.where(~held), labels)
 

@@ -36,10 +36,15 @@ def _ship(context) -> None:
         context.addPyFile(shutil.make_archive(f"{folder}/orebed", "zip", root, "orebed"))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; bounds the session's Arrow batches."""
+def ready(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches, and see that its workers find this package."""
     bounded_batches(spark)
     _ship(spark.sparkContext)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables, in a session made ready for the operators."""
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,8 +130,6 @@ def scan(docs: DataFrame, path: str) -> DataFrame:
 
 
 def _redact(path: str, mark: str):
-    import pandas as pd
-
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoding = ranks(path)
         for batch in texts:
