@@ -11,6 +11,7 @@ from orebed.llm import (
     arrow_ids,
     boosted_quality,
     heavy_dedup,
+    html_lstm,
     hyper_lang,
     lsh_forest,
     min_slack,
@@ -23,6 +24,10 @@ from orebed.llm.common import table
 WORD_BPE, BYTE_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_lstm.main_text(table(spark, sf_dir, "pages"))
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return min_slack.pack_documents(docs, public_tokenizers.path(WORD_BPE), limit=2048, end=0)
@@ -63,6 +68,7 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_block_lstm": page_text,
         "op2_min_bin_slack": packing,
         "op3_arrow_token_files": token_files,
         "op4_heavy_hitter_dedup": exact_dedup,
