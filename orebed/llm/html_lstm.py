@@ -182,12 +182,13 @@ def features(found: list[Block]) -> np.ndarray:
         out[k, :PATH] = _path_vector(b.path)
         places = np.fromiter(map(_place, words), np.int64, len(words))
         signed = np.bincount(places, minlength=2 * WORDS)
-        out[k, PATH : PATH + WORDS] = (signed[:WORDS] - signed[WORDS:]) / (np.sqrt(len(words)) * 2)
+        hashed = signed[:WORDS] - signed[WORDS:]
+        out[k, PATH : PATH + WORDS] = hashed / max(1.0, np.sqrt(hashed @ hashed))
         n = len(b.text)
         kinds = np.bincount(_KIND[np.minimum(np.frombuffer(b.text.encode("utf-32-le", "surrogatepass"), "<u4"), 1023)], minlength=4)
         out[k, -MEASURES:] = (
-            np.log1p(n) / 6,
-            np.log1p(len(words)) / 5,
+            np.log1p(min(n, 1000)) / 6,  # beyond that, length says no more
+            np.log1p(min(len(words), 200)) / 5,
             min(1.0, b.linked / n),
             b.path[-1][0] in ("h1", "h2", "h3") if b.path else 0,
             b.text[-1] in ".!?\"'”»",
