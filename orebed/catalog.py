@@ -46,6 +46,8 @@ class Entity:
     key: tuple[str, ...]
     # Key used when results of the narrower, lossy deduplication are wanted.
     compat_key: tuple[str, ...]
+    # Whether values of the CSV file hold line breaks, so that it cannot be split.
+    multiline: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -144,6 +146,7 @@ _ENTITIES = [
         ),
         key=("review_id", "order_id"),
         compat_key=("review_id",),
+        multiline=True,
     ),
     Entity(
         "customer",

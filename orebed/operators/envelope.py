@@ -84,6 +84,7 @@ def message_key(enveloped: DataFrame, entity: str, compat: bool = False) -> Colu
         return F.nullif(F.col(f"payload.{c}"), F.lit(""))
 
     if compat:
+        # The columns that are tried in turn.
         candidates = [f"{entity}_id", "id", "order_id", "customer_id"]
         return F.coalesce(*[value(c) for c in candidates if c in present], event_id)
     keys = [c for c in ENTITIES[entity].key if c in present]
@@ -103,6 +104,13 @@ def serialise(enveloped: DataFrame, key: Column | None = None) -> DataFrame:
     )
 
 
+def deliverable(enveloped: DataFrame, max_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Envelopes that fit one message of the broker, and those that do not."""
+    body = F.to_json(F.struct("metadata", "payload"), {"ignoreNullFields": "false"})
+    fits = F.octet_length(body) <= max_bytes
+    return enveloped.where(fits), enveloped.where(~fits)
+
+
 def parse(messages: DataFrame, entity: str | None = None) -> DataFrame:
     """Add ``metadata`` and ``payload`` parsed from ``value``, and ``error`` for bad messages."""
     schema = envelope_schema(entity).add(_CORRUPT, "string")

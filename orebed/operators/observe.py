@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -185,19 +186,18 @@ def volume_anomalies(
 ) -> DataFrame:
     """Days whose volume is more than ``limit`` standard deviations from the days before.
 
-    Needs one row per series and day. Variance comes from sums and sums of squares.
+    Needs one row per series and day.
     """
     before = Window.partitionBy(*by).orderBy(day).rowsBetween(-window, -1)
     x = F.col(value).cast("double")
-    k, s, ss = F.count(value).over(before), F.sum(x).over(before), F.sum(x * x).over(before)
-    # k * stddev, from k, the sum and the sum of squares.
-    spread = F.sqrt(F.col("_k") * (F.col("_k") * F.col("_ss") - F.col("_s") * F.col("_s")) / (F.col("_k") - 1))
+    # Spark updates mean and deviation value by value: large volumes do not cancel.
+    seen = {"_k": F.count(value), "_mean": F.avg(x), "_spread": F.stddev_samp(x)}
     scored = (
-        daily.withColumns({"_k": k, "_s": s, "_ss": ss})
-        .where((F.col("_k") >= minimum) & (F.col("_k") * F.col("_ss") > F.col("_s") * F.col("_s")))
-        .withColumn("z_score", (F.col("_k") * x - F.col("_s")) / spread)
+        daily.withColumns({name: f.over(before) for name, f in seen.items()})
+        .where((F.col("_k") >= minimum) & (F.col("_spread") > 0))
+        .withColumn("z_score", (x - F.col("_mean")) / F.col("_spread"))
     )
-    return scored.where(F.abs("z_score") > limit).drop("_k", "_s", "_ss")
+    return scored.where(F.abs("z_score") > limit).drop(*seen)
 
 
 def freshness(
@@ -297,23 +297,19 @@ def result_history(
     )
 
 
-def end_to_end_latency(
-    df: DataFrame, ingested: str, loaded: str, *by: str, **options
-) -> DataFrame:
+def end_to_end_latency(df: DataFrame, ingested: str, loaded: str, *by: str) -> DataFrame:
     """Median and 95th percentile of the seconds from ingest to Gold."""
     seconds = F.timestamp_diff("SECOND", F.col(ingested), F.col(loaded))
     metrics = {"p50_seconds": ("_seconds", 0.5), "p95_seconds": ("_seconds", 0.95)}
-    return exact_percentiles(
-        df.select(*by, seconds.alias("_seconds")), by, metrics, **options
-    )
+    return exact_percentiles(df.select(*by, seconds.alias("_seconds")), by, metrics)
 
 
-def ancestors(edges: DataFrame, by: Sequence[str] = (), max_depth: int = 100) -> DataFrame:
+def ancestors(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """All inputs an output depends on, directly or not, with the shortest distance.
 
     ``edges`` has ``output`` and ``input`` (and the ``by`` columns). Each round joins
-    only the pairs found last; rounds are as many as the longest chain. The frontier
-    is written to shared storage, so plans do not grow with the rounds.
+    only the pairs found last, until there are none; a cycle ends too, as no pair is
+    found twice. Rounds are as many as the longest chain. The frontier is written to shared storage, so plans do not grow with the rounds.
     """
     by = list(by)
     pair = [*by, "output", "input"]
@@ -321,7 +317,7 @@ def ancestors(edges: DataFrame, by: Sequence[str] = (), max_depth: int = 100) ->
     step = edges.select(*by, F.col("output").alias("input"), F.col("input").alias("_next"))
     frontier = durable(edges.withColumn("depth", F.lit(1)))
     found = [frontier]
-    for depth in range(2, max_depth + 1):
+    for depth in count(2):
         known = reduce(DataFrame.unionByName, found).select(*pair)
         frontier = durable(
             frontier.join(step, [*by, "input"])
@@ -333,8 +329,6 @@ def ancestors(edges: DataFrame, by: Sequence[str] = (), max_depth: int = 100) ->
         if frontier.isEmpty():
             break
         found.append(frontier)
-    else:
-        raise ValueError(f"lineage deeper than {max_depth} levels")
     return reduce(DataFrame.unionByName, found)
 
 

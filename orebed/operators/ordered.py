@@ -3,9 +3,7 @@
 A global rank or an exact quantile of a large group needs the total order of the
 values. Here the values are reduced to distinct ones, range-partitioned, and each
 range's position is found from the small table of range sizes.
-
-Inputs whose scanned bytes are known to fit one task use Spark's own window and
-``percentile``; that is a speed choice, both ways return the same rows.
+There is one path, whatever the size: a small input is one small range.
 """
 
 from __future__ import annotations
@@ -18,28 +16,9 @@ from pyspark.sql import functions as F
 
 from orebed.session import durable
 
-ONE_TASK_BYTES = 64 * 1024 * 1024
-
-
-def scan_bytes(df: DataFrame) -> int:
-    """Bytes the leaves of the plan read, as the optimizer knows them.
-
-    It bounds the rows of filters, aggregates and many-to-one joins over them.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def _fits(df: DataFrame, limit: int) -> bool:
-    return limit > 0 and scan_bytes(df) <= limit
-
 
-def dense_rank_all(
-    df: DataFrame, value: str, rank: str = "rank", one_task_bytes: int = ONE_TASK_BYTES
-) -> DataFrame:
+def dense_rank_all(df: DataFrame, value: str, rank: str = "rank") -> DataFrame:
     """Dense rank of every row by ``value``, highest first."""
-    if _fits(df, one_task_bytes):
-        return df.withColumn(rank, F.dense_rank().over(Window.orderBy(F.col(value).desc())))
     df = durable(df)
     position = F.monotonically_increasing_id()
     values = durable(
@@ -77,38 +56,41 @@ def top_by_rank(df: DataFrame, value: str, tie: str, n: int, rank: str = "rank")
 
 
 def exact_percentiles(
-    df: DataFrame,
-    groups: Sequence[str],
-    metrics: Mapping[str, tuple[str, float]],
-    one_task_bytes: int = ONE_TASK_BYTES,
+    df: DataFrame, groups: Sequence[str], metrics: Mapping[str, tuple[str, float]]
 ) -> DataFrame:
     """Exact interpolated percentiles per group: ``{alias: (column, p)}``.
 
     All metrics are read in one pass, reduced to counts of distinct values before
     the shuffle and range-partitioned on (group, metric, value), so a large group
-    is spread over as many partitions as its values need.
+    is spread over as many partitions as its values need. Values keep their type:
+    there is one value column per type, of which a row fills one.
     """
-    if _fits(df, one_task_bytes):
-        return df.groupBy(*groups).agg(
-            *[F.percentile(c, F.lit(p)).alias(alias) for alias, (c, p) in metrics.items()]
-        )
+    types = {alias: df.select(c).schema[0].dataType.simpleString() for alias, (c, _) in metrics.items()}
+    kinds = list(dict.fromkeys(types.values()))
+    values = [f"_value{i}" for i in range(len(kinds))]
     pairs = F.explode(
         F.array(
             *[
-                F.struct(F.lit(alias).alias("_metric"), F.col(c).cast("decimal(38,9)").alias("_value"))
+                F.struct(
+                    F.lit(alias).alias("_metric"),
+                    *[
+                        (F.col(c) if types[alias] == kind else F.lit(None)).cast(kind).alias(value)
+                        for kind, value in zip(kinds, values, strict=True)
+                    ],
+                )
                 for alias, (c, _) in metrics.items()
             ]
         )
     )
+    keys = [*groups, "_metric"]
     counts = (
         df.select(*groups, pairs.alias("_pair"))
-        .select(*groups, "_pair._metric", "_pair._value")
-        .groupBy(*groups, "_metric", "_value")
+        .select(*groups, "_pair.*")
+        .groupBy(*keys, *values)
         .agg(F.count("*").alias("_n"))
     )
-    keys = [*groups, "_metric"]
     ranged = durable(
-        counts.repartitionByRange(*keys, "_value").withColumn("_part", F.spark_partition_id())
+        counts.repartitionByRange(*keys, *values).withColumn("_part", F.spark_partition_id())
     )
     # One row per (group, metric, range), written too: the optimizer then knows its
     # size and broadcasts it where it is small instead of shuffling the counts again.
@@ -119,10 +101,10 @@ def exact_percentiles(
         metrics.items(),
         F,
     )
-    filled = F.sum(F.when(F.col("_value").isNotNull(), F.col("_n")).otherwise(0))
+    known = reduce(Column.__or__, [F.col(v).isNotNull() for v in values])
     parts = durable(
         ranged.groupBy(*keys, "_part")
-        .agg(filled.alias("_size"))
+        .agg(F.sum(F.when(known, F.col("_n")).otherwise(0)).alias("_size"))
         .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
         .withColumn("_total", F.sum("_size").over(series))
         .withColumn("_position", probability * (F.col("_total") - 1))
@@ -136,24 +118,25 @@ def exact_percentiles(
         *[F.col(c).alias(f"_t{c}") for c in (*keys, "_part")], "_start", "_position", "_low", "_high"
     )
     same = [F.col(c).eqNullSafe(F.col(f"_t{c}")) for c in (*keys, "_part")]
-    running = Window.partitionBy(*keys, "_part").orderBy("_value")
+    running = Window.partitionBy(*keys, "_part").orderBy(*values)
     rows = (
-        ranged.where(F.col("_value").isNotNull())
+        ranged.where(known)
         .join(targets, same)
         .withColumn("_end", F.col("_start") + F.sum("_n").over(running))
     )
+    number = F.coalesce(*[F.col(v).cast("double") for v in values])
 
     def at(rank: str) -> Column:
         inside = (F.col("_end") - F.col("_n") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
-        return F.max(F.when(inside, F.col("_value"))).cast("double")
+        return F.max(F.when(inside, number))
 
     weight = F.col("_position") - F.col("_low")
+    low, high = F.col("_at_low"), F.col("_at_high")
     picked = (
         rows.groupBy(*keys, "_position", "_low")
         .agg(at("_low").alias("_at_low"), at("_high").alias("_at_high"))
-        .select(
-            *keys, (F.col("_at_low") * (1 - weight) + F.col("_at_high") * weight).alias("_result")
-        )
+        # A value met exactly is taken as it is, so that infinite ones stay.
+        .select(*keys, F.when(weight == 0, low).otherwise(low * (1 - weight) + high * weight).alias("_result"))
     )
     # Groups whose values are all NULL keep a row.
     empty = parts.select(

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orebed.operators.ordered import (
-    ONE_TASK_BYTES,
     approximate_percentiles,
     dense_rank_all,
     exact_percentiles,
@@ -70,13 +69,9 @@ def rfm_top(orders: DataFrame, key: str = "customer_unique_id", n: int = 100) ->
     return top_by_rank(_money_per_customer(orders, key), "monetary_value", key, n, "monetary_rank")
 
 
-def rfm_all(
-    orders: DataFrame, key: str = "customer_unique_id", one_task_bytes: int = ONE_TASK_BYTES
-) -> DataFrame:
+def rfm_all(orders: DataFrame, key: str = "customer_unique_id") -> DataFrame:
     """Every customer with its monetary rank."""
-    return dense_rank_all(
-        _money_per_customer(orders, key), "monetary_value", "monetary_rank", one_task_bytes
-    )
+    return dense_rank_all(_money_per_customer(orders, key), "monetary_value", "monetary_rank")
 
 
 def rfm_recency(orders: DataFrame, key: str = "customer_unique_id") -> DataFrame:
@@ -259,10 +254,9 @@ def percentiles_exact(
     customers: DataFrame,
     n: int | None = 100,
     key: str = "customer_unique_id",
-    one_task_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     joined = _orders_with_state(orders, customers, key)
-    result = exact_percentiles(joined, ["customer_state"], _PERCENTILES, one_task_bytes)
+    result = exact_percentiles(joined, ["customer_state"], _PERCENTILES)
     return _top(result, n, F.desc("median_payment"), "customer_state")
 
 

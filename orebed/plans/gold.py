@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from orebed.operators.governance import mask_tagged, tag_table
 from orebed.operators.latest import keep_latest
 
+# Column names of the published tables.
 _PAYMENT_METRICS = ("total_payment_sequences", "total_payment_value", "max_payment_installments")
 _REVIEW_METRICS = ("avg_review_score", "total_reviews")
 _CUSTOMER_COLUMNS = ("customer_unique_id", "customer_city", "customer_state")

@@ -14,12 +14,10 @@ from orebed.operators import contracts, envelope
 from orebed.sinks.audit import append_audit, audit_row
 from orebed.sinks.topics import write_topics
 from orebed.sources.csv import (
-    BLOCK,
     BOOKKEEPING,
     ERROR,
     FILE,
     RAW,
-    ROW_ID,
     read_csv,
     route_file,
     route_files,
@@ -27,6 +25,11 @@ from orebed.sources.csv import (
 )
 
 
+# Fixed value: what a broker takes as one message by default, less some room for headers.
+MAX_MESSAGE_BYTES = 1_000_000
+_NAME = "_name"
+
+
 @dataclass
 class Ingestion:
     """What one run did: rows per file, and the files no route is known for."""
@@ -75,19 +78,23 @@ def ingest_file(
     source_system: str = SOURCE_SYSTEM,
     contract: Contract | None = None,
     format: str = "json",
-    multiline: bool = True,
+    max_message_bytes: int = MAX_MESSAGE_BYTES,
 ) -> tuple[str, str, int, int]:
     """Envelope and publish one file: ``(file, entity, produced, failed)``.
 
     The CSV is parsed once and landed as Parquet; everything after reads the
-    landed rows, which can be split and hold row identities that do not change.
+    landed rows, which can be split. Event ids come from the file's name, the row's number in
+    it and the content, so they do not change with the place of the file or its splits.
+    Rejected rows go to the dead letters as they are, messages too large to be delivered in
+    their envelope.
     """
     file_name = path.rstrip("/").rsplit("/", 1)[-1]
     topic, entity = route_file(file_name)
-    read_csv(spark, path, multiline=multiline).write.mode("overwrite").parquet(landing)
+    read_csv(spark, path, multiline=ENTITIES[entity].multiline).write.mode("overwrite").parquet(landing)
     landed = spark.read.parquet(landing)
     columns = [c for c in landed.columns if c not in BOOKKEEPING]
-    good, bad = accept(landed, contract)
+    part = F.element_at(F.split(FILE, "/"), -1)
+    good, bad = accept(row_numbers(landed, landed).withColumn(_NAME, part), contract)
 
     enveloped = envelope.wrap(
         good,
@@ -98,17 +105,19 @@ def ingest_file(
         env,
         source_system,
         F.lit(datetime.now(timezone.utc)),
-        identity=(FILE, BLOCK, ROW_ID),
+        identity=(_NAME, "row_num"),
     )
     stamp = F.current_timestamp().alias("timestamp")
     # The rows are counted while they are written.
     seen = Observation(), Observation()
     total = F.count("*").alias("n")
-    messages = envelope.serialise(enveloped, envelope.message_key(enveloped, entity))
+    fits, large = envelope.deliverable(enveloped, max_message_bytes)
+    messages = envelope.serialise(fits, envelope.message_key(fits, entity))
     write_topics(messages.select("*", stamp).observe(seen[0], total), topics, format)
 
-    bad = row_numbers(landed, bad).withColumn(FILE, F.lit(file_name))
-    letters = envelope.dead_letters_raw(bad, topic, [*columns, RAW])
+    raw = envelope.dead_letters_raw(bad.withColumn(FILE, F.lit(file_name)), topic, [*columns, RAW])
+    size = F.lit(f"message of more than {max_message_bytes} bytes")
+    letters = raw.unionByName(envelope.dead_letters_enveloped(large, size))
     letters = letters.select(F.lit(DEAD_LETTER_TOPIC).alias("topic"), "key", "value", stamp)
     write_topics(letters.observe(seen[1], total), topics, format)
     return file_name, entity, seen[0].get["n"], seen[1].get["n"]
@@ -159,7 +168,7 @@ def ingest(
                 started,
                 datetime.now(timezone.utc),
                 ENTITIES[f.entity_type].topic,
-                error=f"Ingestion failed for {failed} rows." if failed else None,
+                error=f"{failed} of {failed + count[2]} rows went to the dead letters" if failed else None,
             )
         )
     if audit and log:

@@ -63,14 +63,15 @@ class Lake:
 def comparable(df: DataFrame) -> DataFrame:
     """Result columns in types every client reads alike.
 
-    Exact decimals end as doubles, integers as BIGINT, dates and timestamps as ISO
+    Decimals end as text with nine places, integers as BIGINT, dates and timestamps as ISO
     text in UTC.
     """
     columns = []
     for field in df.schema.fields:
         c, kind = F.col(f"`{field.name}`"), field.dataType
         if isinstance(kind, T.DecimalType):
-            c = c.cast("decimal(38,4)").cast("double")
+            # By way of another scale: a sketch returns decimals with fewer places than their type.
+            c = c.cast("decimal(38,10)").cast("decimal(38,9)").cast("string")
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(kind, T.DateType):

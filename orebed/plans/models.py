@@ -7,14 +7,20 @@ and the lineage edges.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orebed.catalog import DIM_CUSTOMERS_CONTRACT, FCT_ORDERS_CONTRACT
+from orebed.catalog import (
+    DIM_CUSTOMERS_CONTRACT,
+    ENTITIES,
+    FCT_ORDERS_CONTRACT,
+    PII_COLUMNS,
+    STAGED_METADATA,
+)
 from orebed.operators.contracts import enforce
 from orebed.plans import gold
 from orebed.plans.staging import stage
@@ -23,16 +29,23 @@ from orebed.sinks.audit import append_audit, audit_row
 
 @dataclass(frozen=True)
 class Model:
+    """One model. ``columns`` names the input columns of each output column that is derived or
+    renamed, as ``{output: ("input.column", ...)}``; all others keep the name they have in an input."""
+
     name: str
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     layer: str = "gold"
     kind: str = "table"  # table, view or inline
     contract: T.StructType | None = None
+    columns: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
 
 def _staging(name: str, entity: str) -> Model:
-    return Model(name, (f"silver.{entity}",), lambda df: stage(df, entity), "staging", "view")
+    source = f"silver.{entity}"
+    fields = (*ENTITIES[entity].fields, *STAGED_METADATA)
+    renamed = {f.name: (f"{source}.{f.source}",) for f in fields if f.name != f.source}
+    return Model(name, (source,), lambda df: stage(df, entity), "staging", "view", columns=renamed)
 
 
 def _dim_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
@@ -57,6 +70,21 @@ MODELS: tuple[Model, ...] = (
         gold.orders_enriched,
         "intermediate",
         "inline",
+        columns={
+            "total_payment_sequences": ("stg_payments.payment_sequential",),
+            "total_payment_value": ("stg_payments.payment_value",),
+            "max_payment_installments": ("stg_payments.payment_installments",),
+            "avg_review_score": ("stg_reviews.review_score",),
+            "total_reviews": ("stg_reviews.review_id",),
+            "delivery_time_days": (
+                "stg_orders.order_delivered_customer_date",
+                "stg_orders.order_purchase_timestamp",
+            ),
+            "delta_delivery_vs_estimated_days": (
+                "stg_orders.order_delivered_customer_date",
+                "stg_orders.order_estimated_delivery_date",
+            ),
+        },
     ),
     Model(
         "fct_orders", ("int_orders_enriched",), gold.fct_orders, contract=FCT_ORDERS_CONTRACT
@@ -66,19 +94,45 @@ MODELS: tuple[Model, ...] = (
         ("stg_customers", "fct_orders"),
         _dim_customers,
         contract=DIM_CUSTOMERS_CONTRACT,
+        columns={
+            "total_orders": ("fct_orders.order_id",),
+            "total_lifetime_value": ("fct_orders.total_payment_value",),
+            "avg_lifetime_review_score": ("fct_orders.avg_review_score",),
+        },
     ),
     Model("dim_products", ("stg_products",), gold.dim_products),
     Model("dim_sellers", ("stg_sellers",), gold.dim_sellers),
-    Model("fct_order_items", ("stg_order_items",), gold.fct_order_items),
+    Model(
+        "fct_order_items",
+        ("stg_order_items",),
+        gold.fct_order_items,
+        columns={
+            "order_item_id": ("stg_order_items.order_item_sequence",),
+            "total_item_value": ("stg_order_items.price", "stg_order_items.freight_value"),
+        },
+    ),
     Model(
         "mart_category_performance",
         ("dim_products", "fct_order_items"),
         gold.mart_category_performance,
+        columns={
+            "total_orders": ("fct_order_items.order_id",),
+            "total_items_sold": ("fct_order_items.order_item_id",),
+            "total_revenue": ("fct_order_items.price",),
+            "average_item_price": ("fct_order_items.price",),
+        },
     ),
     Model(
         "mart_seller_performance",
         ("dim_sellers", "fct_order_items"),
         gold.mart_seller_performance,
+        columns={
+            "total_orders_fulfilled": ("fct_order_items.order_id",),
+            "total_items_sold": ("fct_order_items.order_item_id",),
+            "total_revenue": ("fct_order_items.price",),
+            "total_freight_value": ("fct_order_items.freight_value",),
+            "average_item_price": ("fct_order_items.price",),
+        },
     ),
 )
 
@@ -95,7 +149,9 @@ def build(
 
     ``sources`` holds ``silver.{entity}`` frames, or staged frames under the names
     of staging models. Each table's contract is checked before it is written; the
-    run log gets one row per model, with the error text if it failed.
+    run log gets one row per model, with the error text if it failed. Tables with personal
+    columns are also published, masked, as the view ``published_{table}``; consumers read
+    that, and the frame is returned under the view's name.
     """
     built = dict(sources)
     log = []
@@ -115,6 +171,9 @@ def build(
                 observed.write.mode("overwrite").format(format).save(path)
                 df = spark.read.format(format).load(path)
                 rows = counted.get["n"]
+                if model.name in PII_COLUMNS:
+                    built[f"published_{model.name}"] = gold.publish(df, model.name)
+                    built[f"published_{model.name}"].createOrReplaceTempView(f"published_{model.name}")
             elif model.kind == "view":
                 df.createOrReplaceTempView(model.name)
             built[model.name] = df
@@ -142,16 +201,22 @@ def build(
     return built
 
 
-def lineage_edges(
-    spark: SparkSession, built: Mapping[str, DataFrame], run_id: str
-) -> DataFrame:
-    """``(run_id, output, input, column)``: one row per column an output takes over by
-    name from an input, and one without column per table-level edge."""
+def lineage_edges(spark: SparkSession, built: Mapping[str, DataFrame], run_id: str) -> DataFrame:
+    """``(run_id, output, output_column, input, input_column)``: one row per input column of an
+    output column, and one without columns per table-level edge."""
     rows = []
     for model in MODELS:
         for source in model.inputs:
-            rows.append((run_id, model.name, source, None))
-            if source in built and model.name in built:
-                shared = set(built[model.name].columns) & set(built[source].columns)
-                rows += [(run_id, model.name, source, c) for c in sorted(shared)]
-    return spark.createDataFrame(rows, "run_id string, output string, input string, column string")
+            rows.append((run_id, model.name, None, source, None))
+            if model.name not in built:
+                continue
+            present = set(built[source].columns) if source in built else set()
+            for column in built[model.name].columns:
+                if column in model.columns:
+                    names = [c.rpartition(".") for c in model.columns[column]]
+                    rows += [(run_id, model.name, column, source, c) for t, _, c in names if t == source]
+                elif column in present:
+                    rows.append((run_id, model.name, column, source, column))
+    return spark.createDataFrame(
+        rows, "run_id string, output string, output_column string, input string, input_column string"
+    )

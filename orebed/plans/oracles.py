@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from orebed.catalog import ENTITIES
+from orebed.catalog import DIM_CUSTOMERS_CONTRACT, ENTITIES, FCT_ORDERS_CONTRACT
 from orebed.operators.quality import GOLD_TESTS, STAGING_TESTS, DataTest
 from orebed.sources.texts import BROKEN
 
@@ -16,7 +16,12 @@ _CTE: dict[str, str] = {}
 
 
 def money(x: str) -> str:
-    return f"CAST(CAST({x} AS DECIMAL(38,4)) AS DOUBLE)"
+    return f"CAST(CAST({x} AS DECIMAL(38,9)) AS VARCHAR)"
+
+
+def ratio(x: str) -> str:
+    """A decimal as a double, to divide it."""
+    return f"CAST(CAST({x} AS DECIMAL(38,9)) AS DOUBLE)"
 
 
 def stamp(x: str) -> str:
@@ -237,7 +242,7 @@ def _staged(entity: str) -> str:
         columns.append(
             {
                 "timestamp": stamp(f"TRY_CAST({text} AS TIMESTAMP)"),
-                "numeric": f"CAST(CAST(TRY_CAST({text} AS DECIMAL(28,9)) AS DECIMAL(38,4)) AS DOUBLE)",
+                "numeric": money(f"TRY_CAST({text} AS DECIMAL(28,9))"),
                 "integer": f"CAST(TRY_CAST({text} AS INT) AS BIGINT)",
             }.get(f.type, text)
             + f" AS {f.name}"
@@ -299,14 +304,22 @@ def oracles() -> dict[str, str]:
         sha256(customer_unique_id) AS by_sha256, CAST(NULL AS VARCHAR) AS by_null,
         customer_unique_id AS by_none, CAST(NULL AS VARCHAR) AS number_by_prefix
       FROM f_customer"""
+    personal = {("fct_orders", "customer_id"), ("fct_orders", "customer_unique_id"), ("dim_customers", "customer_unique_id")}
+    published = {
+        "fct_orders": ("g_orders", FCT_ORDERS_CONTRACT.names),
+        "dim_customers": ("g_customers", DIM_CUSTOMERS_CONTRACT.names),
+        "dim_products": ("f_product", "product_id product_category_name product_weight_g product_length_cm product_height_cm product_width_cm".split()),
+        "dim_sellers": ("f_seller", "seller_id seller_zip_code_prefix seller_city seller_state".split()),
+        "fct_order_items": (
+            "(SELECT *, price + freight_value AS total_item_value FROM f_order_item)",
+            "order_id order_item_id product_id seller_id price freight_value total_item_value".split(),
+        ),
+    }
     out["pii_catalogue"] = " UNION ALL ".join(
-        f"""SELECT '{t}' AS "table", '{c}' AS "column", 'string' AS type, 'confidential' AS classification,
-          COUNT({c}) AS personal_values FROM {source}"""
-        for t, source, c in (
-            ("fct_orders", "g_orders", "customer_id"),
-            ("fct_orders", "g_orders", "customer_unique_id"),
-            ("dim_customers", "g_places", "customer_unique_id"),
-        )
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", {int((t, c) in personal)} AS pii,
+          {"'confidential'" if (t, c) in personal else "NULL"} AS classification, COUNT({c}) AS filled FROM {source}"""
+        for t, (source, columns) in published.items()
+        for c in columns
     )
     out["dim_customers"] = f"""
       SELECT customer_unique_id, customer_city, customer_state, total_orders,
@@ -325,14 +338,14 @@ def oracles() -> dict[str, str]:
     out["mart_category_performance"] = f"""
       SELECT p.product_category_name, COUNT(DISTINCT i.order_id) AS total_orders,
         COUNT(i.order_item_id) AS total_items_sold, {money('SUM(i.price)')} AS total_revenue,
-        {money('SUM(i.price)')} / COUNT(i.price) AS average_item_price
+        {ratio('SUM(i.price)')} / COUNT(i.price) AS average_item_price
       FROM f_product p LEFT JOIN f_order_item i ON p.product_id = i.product_id
       WHERE p.product_category_name IS NOT NULL GROUP BY 1"""
     out["mart_seller_performance"] = f"""
       SELECT s.seller_id, s.seller_city, s.seller_state, COUNT(DISTINCT i.order_id) AS total_orders_fulfilled,
         COUNT(i.order_item_id) AS total_items_sold, {money('SUM(i.price)')} AS total_revenue,
         {money('SUM(i.freight_value)')} AS total_freight_value,
-        {money('SUM(i.price)')} / COUNT(i.price) AS average_item_price
+        {ratio('SUM(i.price)')} / COUNT(i.price) AS average_item_price
       FROM f_seller s LEFT JOIN f_order_item i ON s.seller_id = i.seller_id GROUP BY 1, 2, 3"""
     out["sales_aggregate"] = f"""
       SELECT CAST(l_partkey AS VARCHAR) AS product_id,
@@ -346,10 +359,10 @@ def oracles() -> dict[str, str]:
         ROUND(CAST(SUM(delivery_time_days) AS DOUBLE) / COUNT(delivery_time_days), 9) AS avg_days FROM g_orders"""
     out["q2_state_ltv"] = f"""
       SELECT customer_state, COUNT(*) AS cnt, {money('SUM(total_lifetime_value)')} AS ltv
-      FROM g_customers GROUP BY 1 ORDER BY ltv DESC, 1 LIMIT 10"""
+      FROM g_customers GROUP BY 1 ORDER BY CAST(ltv AS DOUBLE) DESC, 1 LIMIT 10"""
     out["q3_category_revenue"] = f"""
       SELECT product_category_name, COUNT(order_id) AS item_count, {money('SUM(price)')} AS revenue
-      FROM f_order_item JOIN f_product USING (product_id) GROUP BY 1 ORDER BY revenue DESC, 1 LIMIT 10"""
+      FROM f_order_item JOIN f_product USING (product_id) GROUP BY 1 ORDER BY CAST(revenue AS DOUBLE) DESC, 1 LIMIT 10"""
     rfm = """
       SELECT customer_unique_id, COUNT(order_id) AS total_orders, SUM(total_payment_value) AS spent,
         DENSE_RANK() OVER (ORDER BY SUM(total_payment_value) DESC) AS monetary_rank
@@ -390,13 +403,13 @@ def oracles() -> dict[str, str]:
     }.items():
         out[name] = f"""
           SELECT CAST(d AS VARCHAR) AS order_date, {money('revenue')} AS daily_revenue,
-            {money(f'SUM(revenue) OVER (ORDER BY d {frame})')} / COUNT(revenue) OVER (ORDER BY d {frame})
+            {ratio(f'SUM(revenue) OVER (ORDER BY d {frame})')} / COUNT(revenue) OVER (ORDER BY d {frame})
               AS rolling_30d_avg
           FROM ({daily}) ORDER BY d DESC LIMIT 100"""
     frame = "PARTITION BY customer_state ORDER BY d ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
     out["q6_rolling_by_state"] = f"""
       SELECT customer_state, CAST(d AS VARCHAR) AS order_date, {money('revenue')} AS daily_revenue,
-        {money(f'SUM(revenue) OVER ({frame})')} / COUNT(revenue) OVER ({frame}) AS rolling_30d_avg
+        {ratio(f'SUM(revenue) OVER ({frame})')} / COUNT(revenue) OVER ({frame}) AS rolling_30d_avg
       FROM (SELECT customer_state, CAST(order_purchase_timestamp AS DATE) AS d,
         SUM(total_payment_value) AS revenue FROM g_orders GROUP BY 1, 2)"""
     out["q7_string_ops"] = """
@@ -424,10 +437,10 @@ def oracles() -> dict[str, str]:
         JOIN f_order_item i ON o.order_id = i.order_id JOIN f_product p ON i.product_id = p.product_id
         JOIN f_seller s ON i.seller_id = s.seller_id
       GROUP BY 1, 2, 3
-      ORDER BY gross_merchandise_value DESC, 1, 2, 3 NULLS FIRST LIMIT 100"""
+      ORDER BY CAST(gross_merchandise_value AS DOUBLE) DESC, 1, 2, 3 NULLS FIRST LIMIT 100"""
     out["q9_star_join_all"] = out["q9_star_join"].split("ORDER BY")[0]
     out["q10_percentile_exact"] = """
-      SELECT c.customer_state, ROUND(quantile_cont(CAST(CAST(o.total_payment_value AS DECIMAL(38,4)) AS DOUBLE), 0.5), 6)
+      SELECT c.customer_state, ROUND(quantile_cont(CAST(CAST(o.total_payment_value AS DECIMAL(38,9)) AS DOUBLE), 0.5), 6)
           AS median_payment,
         ROUND(quantile_cont(CAST(o.delivery_time_days AS DOUBLE), 0.9), 6) AS p90_delivery_time
       FROM g_orders o JOIN g_places c ON o.customer_unique_id = c.customer_unique_id
@@ -586,34 +599,39 @@ def oracles() -> dict[str, str]:
       FROM ({_islands('g_lag')}) GROUP BY consumergroup, topic, island
       HAVING MAX(ts) - MIN(ts) >= INTERVAL 3 HOURS"""
     out["volume_anomaly"] = """
-      SELECT entity_type, CAST(day AS VARCHAR) AS day, n, ROUND(z, 6) AS z_score FROM (
-        SELECT *, (k * n - s) / sqrt(k * (k * ss - s * s) / (k - 1)) AS z FROM (
-          SELECT *, COUNT(n) OVER w AS k, SUM(CAST(n AS DOUBLE)) OVER w AS s,
-            SUM(CAST(n AS DOUBLE) * n) OVER w AS ss FROM (
-              SELECT entity_type, CAST(started_at AS DATE) AS day, CAST(SUM(rows_processed) AS BIGINT) AS n
+      SELECT entity_type, CAST(day AS VARCHAR) AS day, n, ROUND(z, 3) AS z_score FROM (
+        SELECT *, (n - mean) / spread AS z FROM (
+          SELECT *, COUNT(n) OVER w AS k, AVG(CAST(n AS DOUBLE)) OVER w AS mean,
+            stddev_samp(CAST(n AS DOUBLE)) OVER w AS spread FROM (
+              SELECT entity_type, CAST(started_at AS DATE) AS day,
+                CAST(SUM(rows_processed) AS BIGINT) + 1000000000000 AS n
               FROM f_audit GROUP BY 1, 2)
           WINDOW w AS (PARTITION BY entity_type ORDER BY day ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))
-        WHERE k >= 7 AND k * ss > s * s)
+        WHERE k >= 7 AND spread > 0)
       WHERE abs(z) > 2"""
     out["freshness"] = f"""
       SELECT pipeline_stage, entity_type, {stamp('t')} AS last_loaded_at, age AS age_seconds,
         CASE WHEN age <= 25500 THEN 1 ELSE 0 END AS is_fresh
       FROM (SELECT *, date_sub('second', t, TIMESTAMP '2024-01-31 07:00:00') AS age FROM (
         SELECT pipeline_stage, entity_type, MAX(finished_at) AS t FROM f_audit GROUP BY 1, 2))"""
-    fields = " UNION ALL ".join(
-        f"""SELECT order_status, '{c}' AS "column",
-          CASE WHEN bool_and(TRY_CAST({c} AS BIGINT) IS NOT NULL) THEN 'integer'
-            WHEN bool_and(TRY_CAST({c} AS DOUBLE) IS NOT NULL) THEN 'numeric'
-            WHEN bool_and(TRY_CAST({c} AS TIMESTAMP) IS NOT NULL) THEN 'timestamp' ELSE 'string' END AS type
-          FROM f_order_text WHERE {c} IS NOT NULL GROUP BY 1"""
-        for c in ENTITIES["order"].columns
-    )
+    def fields(by: str) -> str:
+        return " UNION ALL ".join(
+            f"""SELECT {by}'{c}' AS "column",
+              CASE WHEN bool_and(TRY_CAST({c} AS BIGINT) IS NOT NULL) THEN 'integer'
+                WHEN bool_and(TRY_CAST({c} AS DOUBLE) IS NOT NULL) THEN 'numeric'
+                WHEN bool_and(TRY_CAST({c} AS TIMESTAMP) IS NOT NULL) THEN 'timestamp' ELSE 'string' END AS type
+              FROM f_order_text WHERE {c} IS NOT NULL GROUP BY ALL"""
+            for c in ENTITIES["order"].columns
+        )
+
     out["schema_diff"] = f"""
-      SELECT * FROM (SELECT "column", a.type AS old_type, b.type AS new_type,
+      SELECT * FROM (SELECT coalesce(a.status, b.order_status) AS status, coalesce(a."column", b."column") AS "column",
+        a.type AS old_type, b.type AS new_type,
         CASE WHEN a.type IS NULL THEN 'added' WHEN b.type IS NULL THEN 'removed'
           WHEN a.type <> b.type THEN 'retyped' END AS change
-        FROM (SELECT * FROM ({fields}) WHERE order_status = 'processing') a
-        FULL JOIN (SELECT * FROM ({fields}) WHERE order_status = 'delivered') b USING ("column"))
+        FROM (SELECT order_status AS status, w."column", w.type FROM ({fields("")}) w
+          CROSS JOIN (SELECT DISTINCT order_status FROM f_order_text)) a
+        FULL JOIN ({fields("order_status, ")}) b ON a.status = b.order_status AND a."column" = b."column")
       WHERE change IS NOT NULL"""
     out["test_history"] = f"""
       SELECT test, COUNT(*) AS runs, COUNT(*) FILTER (status = 'fail') AS failed_runs,
@@ -645,7 +663,7 @@ def oracles() -> dict[str, str]:
         CAST(value AS DECIMAL(12,2)) AS seconds, user_id * 1000000 AS bytes, event_id FROM events"""
     out["query_log_compare"] = f"""
       SELECT query, platform, {', '.join(
-          f"ROUND({money(f'SUM(seconds) FILTER (run = {r!r})')} / COUNT(seconds) FILTER (run = {r!r}), 9) AS {r}_seconds"
+          f"ROUND({ratio(f'SUM(seconds) FILTER (run = {r!r})')} / COUNT(seconds) FILTER (run = {r!r}), 9) AS {r}_seconds"
           for r in ('cold', 'warm')
       )}, MAX(bytes) AS bytes_scanned FROM ({_log}) GROUP BY 1, 2"""
     out["cost_estimate"] = f"""
@@ -657,7 +675,7 @@ def oracles() -> dict[str, str]:
     # Streams
     out["stream_bronze"] = """
       SELECT review_id, order_id, review_comment_message, ingested_at, checksum FROM g_envelope
-      WHERE review_comment_title <> 'error' AND review_creation_date >= TIMESTAMP '2024-01-05'"""
+      WHERE review_comment_title <> 'error'"""
     out["stream_quarantine"] = """
       SELECT review_id || '|' || order_id AS key, 'not a readable envelope' AS error FROM f_review
       WHERE review_comment_title = 'error'"""
@@ -677,10 +695,78 @@ def oracles() -> dict[str, str]:
       SELECT c.customer_state, {money('quantile_disc(o.total_payment_value, 0.5)')} AS median_payment,
         quantile_disc(o.delivery_time_days, 0.9) AS p90_delivery_time
       FROM g_orders o JOIN g_places c ON o.customer_unique_id = c.customer_unique_id
-      GROUP BY 1 ORDER BY median_payment DESC, 1 LIMIT 100"""
+      GROUP BY 1 ORDER BY CAST(median_payment AS DOUBLE) DESC, 1 LIMIT 100"""
+    for name in ("q2_state_ltv", "q3_category_revenue", "q7_string_ops", "q8_pivot", "q10_percentile_exact", "q10_percentile_approx"):
+        out[f"{name}_all"] = out[name].rpartition("ORDER BY")[0]
+    out |= _runs(out)
     return {name: query(body) for name, body in out.items()}
 
 
+def _runs(out: dict[str, str]) -> dict[str, str]:
+    """Counterparts of the queries of whole runs."""
+    reject = f"(SELECT * FROM ({out['contract_split']}) WHERE outcome = 'reject')"
+    review = ENTITIES["review"].topic
+    tables = {
+        "fct_orders": "g_orders",
+        "dim_customers": "g_customers",
+        "dim_products": "f_product",
+        "dim_sellers": "f_seller",
+        "fct_order_items": "f_order_item",
+        "mart_category_performance": "(SELECT DISTINCT product_category_name FROM f_product WHERE product_category_name IS NOT NULL)",
+        "mart_seller_performance": "f_seller",
+    }
+    gold_rows = " UNION ALL ".join(f"SELECT '{t}' AS model, COUNT(*) AS n FROM {source}" for t, source in tables.items())
+    kept = {
+        e.name: f"(SELECT DISTINCT {', '.join(k if k != 'order_item_sequence' else 'order_item_id' for k in e.key)} FROM f_{e.name})"
+        for e in ENTITIES.values()
+    }
+    done = "SELECT pipeline_stage, SUM(rows_processed) AS p, SUM(rows_failed) AS f FROM f_audit GROUP BY 1"
+    columns = " UNION ALL ".join(f"SELECT '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS type" for f in FCT_ORDERS_CONTRACT.fields)
+    silver = out["stream_silver"]
+    return {
+        "csv_row_count": "SELECT COUNT(*) AS n FROM conversations",
+        "csv_routes": f"""
+          SELECT 'olist_customers_dataset.csv' AS file_name, '{ENTITIES["customer"].topic}' AS topic, 'customer' AS entity_type, COUNT(*) AS n FROM f_customer
+          UNION ALL SELECT 'olist_sellers_dataset.csv', '{ENTITIES["seller"].topic}', 'seller', COUNT(*) FROM f_seller
+          UNION ALL SELECT 'unknown.csv', NULL, NULL, COUNT(*) FROM f_geolocation""",
+        "ingest_event_ids": "SELECT COUNT(*) AS n, COUNT(*) AS ids, COUNT(*) AS same FROM f_customer",
+        "silver_catalog": "SELECT seller_id, seller_zip_code_prefix, seller_city, seller_state FROM f_seller",
+        "sales_aggregate_table": out["sales_aggregate"],
+        "topic_sink": f"SELECT '{review}' AS topic, review_id || '|' || order_id AS key, event_id FROM g_envelope",
+        "dead_letters_raw": f"SELECT 'orders.csv:row:' || order_id AS key, order_id, reason AS error FROM {reject}",
+        "dead_letters_enveloped": f"""
+          SELECT event_id AS key, '{review}' AS original_topic, review_id FROM g_envelope
+          WHERE review_comment_title = 'error'""",
+        "gold_build": gold_rows,
+        "gold_published": out["fct_orders_masked"],
+        "audit_log": f"""
+          SELECT pipeline_stage, CAST(p AS BIGINT) AS rows_processed, CAST(f AS BIGINT) AS rows_failed,
+            CASE WHEN f = 0 THEN 'success' WHEN p > 0 THEN 'partial' ELSE 'failed' END AS status FROM ({done})""",
+        "model_run_log": f"""
+          SELECT model, n AS rows_processed, 'success' AS status FROM ({gold_rows})
+          UNION ALL SELECT 'int_orders_enriched', 0, 'success'""",
+        "silver_load_summary": """
+          SELECT 'customer' AS entity, 2 * COUNT(*) AS raw_count, COUNT(*) AS silver_count, COUNT(*) AS duplicates_dropped,
+            'SUCCESS' AS status FROM f_customer
+          UNION ALL SELECT 'seller', 2 * COUNT(*), COUNT(*), COUNT(*), 'SUCCESS' FROM f_seller""",
+        "dq_nonempty": """
+          SELECT 'customer' AS entity, 'DQ_FAIL' AS status, COUNT(*) AS n FROM customer
+          UNION ALL SELECT 'seller', 'SUCCESS', COUNT(*) FROM f_seller""",
+        "dq_null_keys": "SELECT entity, status, n FROM (SELECT 'customer' AS entity, 'DQ_FAIL' AS status, COUNT(*) FILTER (customer_state = 'ASIA') AS n FROM f_customer)",
+        "table_contract": f"SELECT \"column\", type, (SELECT COUNT(*) FROM g_orders) AS n FROM ({columns})",
+        "stream_flush": "SELECT COUNT(*) AS n, 1 AS batches FROM f_review WHERE review_comment_title <> 'error'",
+        "stream_all_topics": " UNION ALL ".join(f"SELECT '{name}' AS entity, COUNT(*) AS n FROM f_{name}" for name in kept),
+        "stream_replay": "SELECT review_id, order_id, 2 AS n FROM f_review WHERE review_comment_title <> 'error'",
+        "bronze_since": out["stream_bronze"] + " AND review_creation_date >= TIMESTAMP '2024-01-05'",
+        "stream_silver_after_rebuild": f"""
+          SELECT * FROM ({silver})""",
+        "stream_silver_replay": silver,
+        "stream_silver_quarantine": """
+          SELECT review_id || '|' || order_id AS key, 'not a readable envelope' AS error FROM f_review
+          WHERE review_comment_title = 'error'""",
+    }
+
+
 # Staging tables and their entities.
 STAGED = {
     "stg_orders": "order",

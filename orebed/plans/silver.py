@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orebed.catalog import ENTITIES
 from orebed.functions import coerce_timestamp
 from orebed.operators.latest import keep_latest_entity
-from orebed.sinks.versioned import VersionedTable
+from orebed.sinks.keyed import KeyedTable
 from orebed.sources.bronze import read_bronze
 
 
@@ -34,10 +34,22 @@ def refine(
     return keep_latest_entity(prepare(flat, entity, loaded_at), entity, compat)
 
 
-def silver_table(spark: SparkSession, root: str, entity: str, buckets: int = 16) -> VersionedTable:
-    return VersionedTable(
-        spark, f"{root.rstrip('/')}/{entity}", ENTITIES[entity].key, buckets=buckets
-    )
+def silver_table(spark: SparkSession, root: str, entity: str) -> KeyedTable:
+    return KeyedTable(spark, f"{root.rstrip('/')}/{entity}", ENTITIES[entity].key)
+
+
+def no_records(entity: str, raw: int) -> None:
+    """An input without rows breaks the load."""
+    if not raw:
+        raise QualityError(f"no records in Bronze for {entity!r}")
+
+
+def null_keys(df: DataFrame, entity: str) -> Column:
+    """Whether a row lacks a part of its entity's key."""
+    missing = F.lit(False)
+    for c in ENTITIES[entity].key:
+        missing = missing | F.col(c).isNull()
+    return missing
 
 
 @dataclass
@@ -53,40 +65,36 @@ class Load:
         return self.raw_count - self.silver_count
 
 
-def load_entity(
-    spark: SparkSession, bronze: str, silver: str, entity: str, buckets: int = 16
-) -> Load:
-    """Full rebuild of one entity into a fresh version; counts come with the write itself."""
-    table = silver_table(spark, silver, entity, buckets)
+def load_entity(spark: SparkSession, bronze: str, silver: str, entity: str) -> Load:
+    """Full rebuild of one entity: one write, which counts its rows in, out and without a key.
+
+    The new base is published only after its checks; one that fails leaves the table as it was.
+    """
+    table = silver_table(spark, silver, entity)
     flat = read_bronze(spark, bronze, entity)
-    if flat.isEmpty():
-        raise QualityError(f"no records in Bronze for {entity!r}")
-    seen = Observation(f"raw_{entity}")
-    raw = prepare(flat, entity).observe(seen, F.count("*").alias("n"))
-    table.overwrite(raw)
-    kept = table.read()
-    key_missing = F.lit(False)
-    for c in ENTITIES[entity].key:
-        key_missing = key_missing | F.col(c).isNull()
-    counts = kept.agg(F.count("*").alias("n"), F.count_if(key_missing).alias("bad")).first()
-    if counts.bad:
-        raise QualityError(f"{counts.bad} rows with a NULL key in Silver {entity!r}")
-    return Load(entity, seen.get["n"], counts.n)
+    read, kept = Observation(f"raw_{entity}"), Observation(f"kept_{entity}")
+    raw = prepare(flat, entity).observe(read, F.count("*").alias("n"))
+    latest = keep_latest_entity(raw, entity).observe(
+        kept, F.count("*").alias("n"), F.count_if(null_keys(raw, entity)).alias("bad")
+    )
+
+    def check(_: DataFrame) -> None:
+        no_records(entity, read.get["n"])
+        if kept.get["bad"]:
+            raise QualityError(f"{kept.get['bad']} rows with a NULL key in Silver {entity!r}")
+
+    table.publish(latest, check)
+    return Load(entity, read.get["n"], kept.get["n"])
 
 
 def load_all(
-    spark: SparkSession,
-    bronze: str,
-    silver: str,
-    entities: Iterable[str] = tuple(ENTITIES),
-    buckets: int | Mapping[str, int] = 16,
+    spark: SparkSession, bronze: str, silver: str, entities: Iterable[str] = tuple(ENTITIES)
 ) -> list[Load]:
     """Load every entity; one that fails is reported and the others go on."""
     loads = []
     for entity in entities:
-        n = buckets if isinstance(buckets, int) else buckets[entity]
         try:
-            loads.append(load_entity(spark, bronze, silver, entity, n))
+            loads.append(load_entity(spark, bronze, silver, entity))
         except QualityError as error:
             loads.append(Load(entity, status="DQ_FAIL", error=str(error)))
         except Exception as error:  # noqa: BLE001 - the run goes on with the other entities

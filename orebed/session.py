@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,11 +36,8 @@ def _shared_root(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="orebed-")
-    context.setCheckpointDir(root)
-    return root
+    # The warehouse is shared wherever tables are.
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

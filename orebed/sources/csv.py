@@ -68,9 +68,9 @@ def row_count(spark: SparkSession, path: str) -> int:
 
 
 def row_numbers(landed: DataFrame, rows: DataFrame) -> DataFrame:
-    """Add ``row_num``, 1-based within its file, to some of the landed rows.
+    """Add ``row_num``, 1-based within its file, to some or all of the landed rows.
 
-    Row ids grow along a block of a file without gaps, so the number is the rows of
+    The number does not depend on how the file was split. Row ids grow along a block of a file without gaps, so the number is the rows of
     the blocks before plus the distance to the block's first id. Only one small row
     per block is numbered, not the rows themselves.
     """
@@ -94,19 +94,21 @@ def routes(spark: SparkSession) -> DataFrame:
 
 
 def route_files(spark: SparkSession, data_dir: str) -> DataFrame:
-    """All ``*.csv`` directly in a folder, with topic and entity or NULLs for unknown names.
+    """All ``*.csv`` of a folder, with topic and entity or NULLs for unknown names.
 
-    Only the listing is read: the content column is pruned.
+    A name stands for a file, or for a folder of part files. Only the listing is read: the
+    content column is pruned.
     """
+    parts = F.regexp_extract("path", r"^(.*/([^/]+\.csv))(/[^/]+)?$", 1)
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", True)
         .load(data_dir)
-        .select(
-            "path",
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
-            "length",
-        )
+        .select(F.regexp_replace(parts, r"(\.csv)/[^/]+\.csv$", "$1").alias("path"), "length")
+        .groupBy("path")
+        .agg(F.sum("length").alias("length"))
+        .withColumn("file_name", F.element_at(F.split("path", "/"), -1))
     )
     return files.join(F.broadcast(routes(spark)), "file_name", "left")
 

@@ -10,21 +10,14 @@ from orebed.catalog import ENTITIES
 MESSAGE_SCHEMA = "key string, value string, timestamp timestamp, topic string"
 
 
-def trigger_options(
-    format: str, max_messages: int = 500, max_wait: str = "30s", max_files: int | None = None
-) -> dict[str, str]:
+def flush_options(format: str, messages: int = 500, wait: str = "30s") -> dict[str, str]:
     """Size-or-time batching as source options.
 
-    A broker source starts a batch at ``max_messages`` or after ``max_wait`` with
-    at least one message. A folder source is bounded by files.
+    A broker source starts a batch as soon as ``messages`` are waiting, or after ``wait`` with
+    any at all, and takes all that are there: nothing bounds the throughput. A folder source
+    takes all new files at once.
     """
-    if format == "kafka":
-        return {
-            "maxOffsetsPerTrigger": str(max_messages),
-            "minOffsetsPerTrigger": str(max_messages),
-            "maxTriggerDelay": max_wait,
-        }
-    return {"maxFilesPerTrigger": str(max_files)} if max_files else {}
+    return {"minOffsetsPerTrigger": str(messages), "maxTriggerDelay": wait} if format == "kafka" else {}
 
 
 def read_topics(
@@ -48,7 +41,7 @@ def read_topics(
             .option("kafka.bootstrap.servers", source)
             .option("subscribe", ",".join(topics))
             .option("startingOffsets", "earliest")
-            .options(**options)
+            .options(**({**flush_options(format), **options} if streaming else options))
             .load()
         )
         return messages.select(

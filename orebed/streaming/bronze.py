@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orebed.operators.envelope import parse
 
-FLUSH = {"processingTime": "30 seconds"}
+#: One batch after the other; the source decides when there is enough for one (`flush_options`).
+FLUSH = {"processingTime": "0 seconds"}
 BACKFILL = {"availableNow": True}
 
 

@@ -10,9 +10,14 @@ from orebed.streaming.bronze import BACKFILL
 
 
 def dedup_events(parsed: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop repeated event ids that arrive within the watermark delay of each other."""
+    """Drop repeated event ids that arrive within the watermark delay of each other.
+
+    Unreadable messages have no event id: they are left out here and belong in the quarantine
+    (``land_bronze`` puts them there), so that none of them stands for the others.
+    """
     return (
-        parsed.withColumn("event_id", F.col("metadata.event_id"))
+        parsed.where(F.col("error").isNull() & F.col("metadata.event_id").isNotNull())
+        .withColumn("event_id", F.col("metadata.event_id"))
         .withColumn("ingested_at", F.col("metadata.ingested_at").try_cast("timestamp"))
         .withWatermark("ingested_at", delay)
         .dropDuplicatesWithinWatermark(["event_id"])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orebed.catalog import ENTITIES, ORDER_CONTRACT
 from orebed.operators import envelope
-from orebed.plans.ingest import ingest
+from orebed.plans.ingest import ingest, ingest_file
 from orebed.sinks.audit import read_audit
 from orebed.sources import csv as csv_source
 from orebed.sources.topics import read_topics
@@ -135,7 +135,7 @@ def test_ingest_publishes_rejects_and_audits(spark, tmp_path):
 
     audit = {r.entity_type: r for r in read_audit(spark, str(tmp_path / "audit")).collect()}
     assert audit["order"].status == "partial" and audit["product_category"].status == "success"
-    assert audit["order"].error_message == "Ingestion failed for 2 rows."
+    assert audit["order"].error_message == "2 of 3 rows went to the dead letters"
 
 
 def test_checksum_equals_json_library(spark):
@@ -222,3 +222,33 @@ def test_dead_letter_with_envelope(spark):
     body = json.loads(row.value)
     assert body["original_topic"] == ENTITIES["seller"].topic
     assert body["envelope"]["payload"] == {"seller_id": "s1"}
+
+
+def test_event_ids_do_not_depend_on_splits(spark, tmp_path):
+    folder = tmp_path / "olist_sellers_dataset.csv"
+    folder.mkdir()
+    for part in range(3):
+        lines = [f"s{part}-{i},01000,city,SP" for i in range(400)]
+        (folder / f"part-{part}.csv").write_text("\n".join(["seller_id,seller_zip_code_prefix,seller_city,seller_state", *lines]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    for i, size in enumerate(("64m", "4k")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            ingest(spark, str(tmp_path), str(tmp_path / f"topics{i}"), str(tmp_path / f"landing{i}"), run_id=f"r{i}")
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        sent = envelope.parse(read_topics(spark, str(tmp_path / f"topics{i}"), streaming=False))
+        found.append({r[0] for r in sent.select("metadata.event_id").collect()})
+    assert len(found[0]) == 1200 and found[0] == found[1]
+
+
+def test_messages_too_large_are_dead_letters(spark, tmp_path):
+    data = tmp_path / "data"
+    data.mkdir()
+    header = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    (data / "olist_sellers_dataset.csv").write_text(header + f"s1,1,{'x' * 5000},SP\ns2,1,city,SP\n")
+    path, topics = str(data / "olist_sellers_dataset.csv"), str(tmp_path / "topics")
+    assert ingest_file(spark, path, topics, str(tmp_path / "landing"), "r", max_message_bytes=4000)[2:] == (1, 1)
+    letter = read_topics(spark, topics, ["ecommerce.dlq.v1"], streaming=False).first()
+    assert json.loads(letter.value)["envelope"]["payload"]["seller_id"] == "s1"

@@ -145,10 +145,22 @@ def test_contract_differences_are_listed(built):
 
 
 def test_lineage_edges(spark, built):
-    edges = {(r.output, r.input, r.column) for r in models.lineage_edges(spark, built[0], "r").collect()}
-    assert ("dim_customers", "fct_orders", None) in edges
-    assert ("dim_customers", "fct_orders", "customer_unique_id") in edges
-    assert ("stg_sellers", "silver.seller", "seller_id") in edges
+    rows = models.lineage_edges(spark, built[0], "r").collect()
+    edges = {(r.output, r.output_column, r.input, r.input_column) for r in rows}
+    assert len(edges) == len(rows)
+    assert ("dim_customers", None, "fct_orders", None) in edges
+    assert ("dim_customers", "customer_unique_id", "fct_orders", "customer_unique_id") in edges
+    assert ("stg_sellers", "seller_id", "silver.seller", "seller_id") in edges
+    assert ("stg_order_items", "order_item_sequence", "silver.order_item", "order_item_id") in edges
+    assert ("fct_order_items", "order_item_id", "stg_order_items", "order_item_sequence") in edges
+    assert {e[3] for e in edges if e[:2] == ("fct_order_items", "total_item_value")} == {"price", "freight_value"}
+    assert ("mart_seller_performance", "total_revenue", "fct_order_items", "price") in edges
+    assert ("int_orders_enriched", "total_reviews", "stg_reviews", "review_id") in edges
+
+
+def test_build_publishes_masked_tables(spark, built):
+    row = spark.table("published_fct_orders").where("order_id = 'o1'").first()
+    assert row.customer_id == "c1****-PII-MASKED-****" and "published_dim_customers" in built[0]
 
 
 def test_publish_masks_personal_columns_only(built):

@@ -22,11 +22,10 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id int, g string, v int").repartition(8).cache()
 
 
-@pytest.mark.parametrize("limit", [0, ordered.ONE_TASK_BYTES])
-def test_percentiles(skewed, limit):
+def test_percentiles(skewed):
     metrics = {"p50": ("v", 0.5), "p90": ("v", 0.9), "p0": ("v", 0.0), "p100": ("id", 1.0)}
     found = {
-        r.g: r for r in ordered.exact_percentiles(skewed, ["g"], metrics, limit).collect()
+        r.g: r for r in ordered.exact_percentiles(skewed, ["g"], metrics).collect()
     }
     data = skewed.toPandas()
     groups = data.groupby("g", dropna=False)
@@ -51,9 +50,8 @@ def test_approximate_percentiles_are_values_near_the_rank(skewed):
             assert (own < r.p50).mean() <= 0.5 <= (own <= r.p50).mean()
 
 
-@pytest.mark.parametrize("limit", [0, ordered.ONE_TASK_BYTES])
-def test_dense_rank(skewed, limit):
-    found = ordered.dense_rank_all(skewed, "v", "r", limit).collect()
+def test_dense_rank(skewed):
+    found = ordered.dense_rank_all(skewed, "v", "r").collect()
     values = sorted({r.v for r in found if r.v is not None}, reverse=True)
     expected = {v: i + 1 for i, v in enumerate(values)}
     expected[None] = len(values) + 1
@@ -71,7 +69,7 @@ def test_top_by_rank(skewed):
 def test_large_groups_never_meet_in_one_task(skewed):
     """The distributed forms plan no exchange to a single partition over rows."""
     df = skewed.groupBy("id").agg(F.max("v").alias("v"))
-    ranked = ordered.dense_rank_all(df, "v", "r", 0)
+    ranked = ordered.dense_rank_all(df, "v", "r")
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     single = [line for line in plan.splitlines() if "Exchange SinglePartition" in line]
     # Only the range starts, one row per shuffle partition.
@@ -87,3 +85,11 @@ def test_moving_average_by_rows_and_days(spark):
     assert [r.m for r in by_days.collect()] == [10, 15, 60, 75]
     with pytest.raises(ValueError):
         ordered.moving_average(df, "d", "v", "m")
+
+
+@pytest.mark.parametrize("values", [[1e-10, 3e-10, 5e-10], [1e200, 3e200, 5e200], [-1e30, 0.5, 1e30]])
+def test_percentiles_keep_the_type_of_the_values(spark, values):
+    df = spark.createDataFrame([("a", v, i) for i, v in enumerate(values)], "g string, v double, i int")
+    row = ordered.exact_percentiles(df, ["g"], {"p50": ("v", 0.5), "p25": ("v", 0.25), "n": ("i", 0.5)}).first()
+    assert (row.p50, row.n) == (values[1], 1.0)
+    assert row.p25 == pytest.approx(np.percentile(values, 25), rel=1e-12)

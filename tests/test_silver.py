@@ -1,4 +1,4 @@
-"""Keep-latest rules, Bronze reading, versioned tables and the per-entity load."""
+"""Keep-latest rules, Bronze reading, keyed tables and the per-entity load."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orebed.operators.latest import keep_latest_entity, latest_order
 from orebed.plans import silver
-from orebed.sinks.versioned import VersionedTable
+from orebed.sinks.keyed import KeyedTable
 from orebed.sources.bronze import read_bronze
 
 COLUMNS = "seller_id string, seller_city string, ingested_at string, event_id string"
@@ -100,7 +100,7 @@ def test_load_reports_each_entity(spark, tmp_path):
     bronze_file(bronze, "customer", 1, [""])
     bronze_file(bronze, "product", 1, ['{"metadata": {"event_id": "e"}, "payload": {"product_id": null}}'])
     loads = silver.load_all(
-        spark, str(bronze), str(target), ["seller", "customer", "product", "order"], buckets=4
+        spark, str(bronze), str(target), ["seller", "customer", "product", "order"]
     )
     found = {
         r.entity: (r.raw_count, r.silver_count, r.duplicates_dropped, r.status)
@@ -109,10 +109,12 @@ def test_load_reports_each_entity(spark, tmp_path):
     assert found["seller"] == (3, 2, 1, "SUCCESS")
     assert found["customer"][3] == found["product"][3] == "DQ_FAIL"
     assert found["order"][3] == "ERROR"
-    table = silver.silver_table(spark, str(target), "seller", 4)
+    table = silver.silver_table(spark, str(target), "seller")
     assert {r.seller_id: r.seller_city for r in table.read().collect()} == {"s1": "new", "s2": "x"}
     table.view("silver_seller")
     assert spark.table("silver_seller").count() == 2
+    # What failed its checks was not published.
+    assert silver.silver_table(spark, str(target), "product").read() is None
 
 
 def rows(spark, *values):
@@ -127,80 +129,81 @@ def state(table):
     return {} if current is None else {r.seller_id: r.seller_city for r in current.collect()}
 
 
-def test_upsert_is_latest_wins_in_any_order(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=4)
+@pytest.fixture
+def table(spark, tmp_path):
+    return KeyedTable(spark, str(tmp_path), ["seller_id"], latest_order)
+
+
+def test_upsert_is_latest_wins_in_any_order(spark, table):
     assert table.read() is None
     with pytest.raises(FileNotFoundError):
         table.view("nothing")
-    table.upsert(rows(spark, ("a", "a1", "1"), ("b", "b1", "1"), ("a", "a0", "0")))
-    table.upsert(rows(spark, ("a", "late", "0"), ("c", "c1", "1")))
-    table.upsert(rows(spark, ("b", "b2", "2")))
+    table.upsert(rows(spark, ("a", "a1", "1"), ("b", "b1", "1"), ("a", "a0", "0")), "s", 0)
+    table.upsert(rows(spark, ("a", "late", "0"), ("c", "c1", "1")), "s", 1)
+    table.upsert(rows(spark, ("b", "b2", "2")), "s", 2)
     assert state(table) == {"a": "a1", "b": "b2", "c": "c1"}
-    assert len(table.read(before=1).collect()) == 2
 
 
-def test_a_repeated_version_changes_nothing(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=2)
-    table.upsert(rows(spark, ("a", "a1", "1"), ("b", "b1", "1")), 0)
+def test_a_repeated_batch_changes_nothing(spark, table):
+    table.upsert(rows(spark, ("a", "a1", "1"), ("b", "b1", "1")), "s", 0)
     batch = rows(spark, ("a", "a2", "2"), ("c", "c1", "1"))
-    table.upsert(batch, 1)
-    once = state(table)
-    table.upsert(batch, 1)
-    assert state(table) == once == {"a": "a2", "b": "b1", "c": "c1"}
-    assert table.read().count() == 3
+    for _ in range(2):
+        table.upsert(batch, "s", 1)
+        assert state(table) == {"a": "a2", "b": "b1", "c": "c1"} and table.read().count() == 3
 
 
-def test_upsert_writes_only_its_own_rows(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=16)
-    table.overwrite(rows(spark, *[(f"k{i}", "x", "1") for i in range(100)]))
-    table.upsert(rows(spark, ("k1", "y", "2")))
-    assert len(list((tmp_path / "data" / "delta=000000000001").glob("_bucket=*"))) == 1
-    assert table.read().count() == 100 and state(table)["k1"] == "y"
+def test_batches_after_a_rebuild_show_whatever_their_number(spark, table):
+    table.upsert(rows(spark, ("a", "old", "1")), "first", 7)
+    table.rebuild(rows(spark, ("a", "rebuilt", "2"), ("b", "rebuilt", "2")))
+    assert state(table) == {"a": "rebuilt", "b": "rebuilt"}
+    table.upsert(rows(spark, ("a", "new", "3"), ("c", "new", "3")), "second", 0)
+    assert state(table) == {"a": "new", "b": "rebuilt", "c": "new"}
 
 
-@pytest.mark.parametrize("splits", [1, 3])
-def test_compaction_changes_no_rows(spark, tmp_path, splits):
-    table = VersionedTable(
-        spark, str(tmp_path), ["seller_id"], latest_order, buckets=4, splits=splits, max_deltas=3
-    )
-    table.overwrite(rows(spark, *[(f"k{i}", "x", "1") for i in range(50)]))
+def test_compaction_changes_no_rows(spark, table):
+    table.rebuild(rows(spark, *[(f"k{i}", "x", "1") for i in range(50)]))
+    expected = {f"k{i}": "x" for i in range(50)}
     for v in range(2, 7):
-        table.upsert(rows(spark, (f"k{v}", f"v{v}", str(v)), ("all", f"v{v}", str(v))))
-    expected = {f"k{i}": "x" for i in range(50)} | {f"k{v}": f"v{v}" for v in range(2, 7)}
-    assert state(table) == expected | {"all": "v6"}
+        table.upsert(rows(spark, (f"k{v}", f"v{v}", str(v)), ("all", f"v{v}", str(v))), "s", v)
+        expected |= {f"k{v}": f"v{v}", "all": f"v{v}"}
+        if v == 4:
+            table.compact()
+        assert state(table) == expected
     table.compact()
-    plan = table.read()._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
-    assert state(table) == expected | {"all": "v6"}
-    # A batch that is repeated after the compaction that took it in adds nothing.
-    table.upsert(rows(spark, ("k6", "v6", "6"), ("all", "v6", "6")), 5)
-    assert state(table) == expected | {"all": "v6"} and table.read().count() == 51
-
-
-def test_columns_may_be_added(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=2, max_deltas=2)
-    table.upsert(rows(spark, ("a", "a1", "1"), ("b", "b1", "1")))
-    wider = rows(spark, ("a", "a2", "2")).withColumn("seller_state", F.lit("RJ"))
-    table.upsert(wider)
+    assert state(table) == expected
+    # A batch that is repeated after the compaction that took it in adds nothing, a new one does.
+    table.upsert(rows(spark, ("k6", "v6", "6"), ("all", "v6", "6")), "s", 6)
+    assert state(table) == expected and table.read().count() == 51
+    table.upsert(rows(spark, ("k6", "v7", "7")), "replay", 6)
+    assert state(table) == expected | {"k6": "v7"}
+
+
+def test_columns_may_be_added(spark, table):
+    table.upsert(rows(spark, ("a", "a1", "1"), ("b", "b1", "1")), "s", 0)
+    table.upsert(rows(spark, ("a", "a2", "2")).withColumn("seller_state", F.lit("RJ")), "s", 1)
     for _ in range(2):
         found = {r.seller_id: (r.seller_city, r.seller_state) for r in table.read().collect()}
         assert found == {"a": ("a2", "RJ"), "b": ("b1", None)}
         table.compact()
 
 
-def test_overwrite_with_nothing_empties_the_table(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=2)
-    full = rows(spark, ("a", "a1", "1"))
-    table.overwrite(full)
-    table.overwrite(full.limit(0))
-    assert table.read() is None
+def test_rebuild_drops_rows_that_are_gone(spark, table):
+    table.rebuild(rows(spark, *[(f"k{i}", "x", "1") for i in range(40)]))
+    table.rebuild(rows(spark, ("only", "x", "1")))
+    assert state(table) == {"only": "x"}
+    table.rebuild(rows(spark, ("only", "x", "1")).limit(0))
+    assert state(table) == {}
 
 
-def test_overwrite_drops_rows_that_are_gone(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=8)
-    table.overwrite(rows(spark, *[(f"k{i}", "x", "1") for i in range(40)]))
-    table.overwrite(rows(spark, ("only", "x", "1")))
-    assert state(table) == {"only": "x"}
+def test_a_failed_check_publishes_nothing(spark, table):
+    table.rebuild(rows(spark, ("a", "a1", "1")))
+
+    def refuse(written):
+        raise silver.QualityError(str(written.count()))
+
+    with pytest.raises(silver.QualityError):
+        table.publish(rows(spark, ("b", "b1", "1")), refuse)
+    assert state(table) == {"a": "a1"}
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):

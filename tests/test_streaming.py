@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orebed.operators.envelope import parse
 from orebed.plans.silver import silver_table
 from orebed.sources.bronze import read_bronze
-from orebed.sources.topics import read_topics, trigger_options
+from orebed.sources.topics import flush_options, read_topics
 from orebed.streaming import alerts, bronze, events
 from orebed.streaming.silver import maintain_silver
 
@@ -98,7 +98,7 @@ def test_dedup_across_files_and_late_events(spark, topics, tmp_path):
     put(topics, "5.json", [message("late", "x", "2023-01-01T00:00:00Z")])
     stream = parse(read_topics(spark, str(topics), maxFilesPerTrigger=1))
     query = (
-        events.dedup_events(stream.where("error IS NULL"), "1 hour")
+        events.dedup_events(stream, "1 hour")
         .select("event_id")
         .writeStream.format("parquet")
         .option("checkpointLocation", str(tmp_path / "offsets"))
@@ -115,17 +115,39 @@ def test_dedup_across_files_and_late_events(spark, topics, tmp_path):
     ]
 
 
-def test_silver_stays_latest(spark, topics, tmp_path):
-    table = silver_table(spark, str(tmp_path / "silver"), "seller", buckets=2)
+def run_silver(spark, topics, tmp_path, table, checkpoint="offsets"):
+    stream = read_topics(spark, str(topics), maxFilesPerTrigger=1)
+    folders = str(tmp_path / checkpoint), str(tmp_path / "aside")
+    maintain_silver(stream, "seller", table, *folders).awaitTermination()
+    return {r.seller_id: r.seller_city for r in table.read().collect()}
 
-    def run():
-        stream = read_topics(spark, str(topics), maxFilesPerTrigger=1)
-        maintain_silver(stream, "seller", table, str(tmp_path / "offsets")).awaitTermination()
-        return {r.seller_id: r.seller_city for r in table.read().collect()}
 
-    assert run() == {"a": "a2", "b": "b1", "c": "c1"}
+def test_silver_stays_latest(spark, topics, tmp_path):
+    table = silver_table(spark, str(tmp_path / "silver"), "seller")
+    assert run_silver(spark, topics, tmp_path, table) == {"a": "a2", "b": "b1", "c": "c1"}
     put(topics, "5.json", [message("a", "stale", "2023-01-01T00:00:00Z"), message("b", "b2", "2024-02-01T00:00:00Z")])
-    assert run() == {"a": "a2", "b": "b2", "c": "c1"}
+    assert run_silver(spark, topics, tmp_path, table) == {"a": "a2", "b": "b2", "c": "c1"}
+
+
+def test_silver_takes_its_entity_and_keeps_the_rest_aside(spark, topics, tmp_path):
+    put(topics, "6.json", [message("z", "no seller", "2024-01-01T10:00:00Z")], "ecommerce.olist.customers.v1")
+    other = message("w", "w1", "2024-01-01T10:00:00Z")
+    other["value"] = other["value"].replace('"seller"', '"order"')
+    put(topics, "7.json", [other])
+    table = silver_table(spark, str(tmp_path / "silver"), "seller")
+    assert run_silver(spark, topics, tmp_path, table) == {"a": "a2", "b": "b1", "c": "c1"}
+    errors = sorted(r.error for r in spark.read.json(str(tmp_path / "aside")).collect())
+    assert errors == ["not a readable envelope"] * 2 + ["not an event of seller"]
+
+
+def test_silver_after_a_rebuild_and_a_replay(spark, topics, tmp_path):
+    table = silver_table(spark, str(tmp_path / "silver"), "seller")
+    run_silver(spark, topics, tmp_path, table)
+    table.compact()
+    table.rebuild(table.read().where("seller_id <> 'c'"))
+    put(topics, "8.json", [message("d", "d1", "2024-01-03T10:00:00Z")])
+    found = run_silver(spark, topics, tmp_path, table, "offsets-2")
+    assert found == {"a": "a2", "b": "b1", "c": "c1", "d": "d1"}
 
 
 def test_hourly_totals_drop_what_is_behind_the_watermark(spark, tmp_path):
@@ -174,7 +196,14 @@ def test_alert_fires_once_per_breach(spark, tmp_path):
     assert [(r.started_at, r.fired_at, r.lag) for r in found] == [(begin, begin + timedelta(minutes=5), 1600)]
 
 
-def test_trigger_options():
-    options = trigger_options("kafka", 1000, "30s")
-    assert options["maxOffsetsPerTrigger"] == "1000" and options["maxTriggerDelay"] == "30s"
-    assert trigger_options("json", max_files=3) == {"maxFilesPerTrigger": "3"}
+def test_flush_options_bound_no_throughput():
+    assert flush_options("kafka", 1000, "30s") == {"minOffsetsPerTrigger": "1000", "maxTriggerDelay": "30s"}
+    assert flush_options("json") == {} and bronze.FLUSH == {"processingTime": "0 seconds"}
+
+
+def test_a_folder_drains_in_one_batch(spark, topics, tmp_path):
+    stream = read_topics(spark, str(topics))
+    bronze.land_bronze(
+        stream, str(tmp_path / "b"), str(tmp_path / "q"), str(tmp_path / "o"), trigger=bronze.BACKFILL
+    ).awaitTermination()
+    assert len({p.name for p in (tmp_path / "b").rglob("batch=*")}) == 1
