@@ -1,11 +1,12 @@
 """Byte-level BPE through a table of distinct words.
 
 Texts are split before every run of white space, where no token of the vocabulary's
-pattern can cross. A block of documents numbers its distinct words; these (block, number,
-word) rows are shuffled by word, sorted, and each distinct word is encoded and decoded
-once. Its ids and decoded pieces go back to the blocks by position, where the numbers of
-each document's words put them in order. A block is bounded in bytes, and a frequent word
-travels once per block rather than once per occurrence.
+pattern can cross. A block of documents lists its distinct words, sorted within buckets of
+their hash; these lists are shuffled by bucket, compressed, and each distinct word of a
+bucket is encoded and decoded once. Ids and decoded pieces go back to the blocks in the
+order of the lists, and the places of the words in each document put them in order. A
+block is bounded in bytes, and a frequent word travels once per block rather than once per
+occurrence.
 """
 
 from __future__ import annotations
@@ -13,10 +14,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import defaultdict
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bytes of text in a block of documents; one text alone may be larger.
 BLOCK = 16 << 20
+#: Distinct words whose ids a worker holds; beyond that it starts anew.
+HELD = 1_000_000
 #: The characters with the property White_Space.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
@@ -121,19 +123,47 @@ def _packed(texts: list) -> tuple[list[int], bytes]:
     return [len(r) for r in raw], b"".join(raw)
 
 
-def _words(path: str):
+def word_lists(texts: list, special: list[str], buckets: int) -> list[list[str]]:
+    """The keys of the texts' distinct words, sorted, by bucket of their hash."""
+    keys: set[str] = set()
+    for text in texts:
+        keys.update(word_keys(text, special))
+    out: list[list[str]] = [[] for _ in range(buckets)]
+    for key in sorted(keys):
+        out[zlib.crc32(key.encode()) % buckets].append(key)
+    return out
+
+
+def _listed(keys: list[str]) -> bytes:
+    """Strings as their lengths in bytes and their bytes."""
+    raw = [k.encode() for k in keys]
+    return np.array([len(r) for r in raw], "<u4").tobytes() + b"".join(raw)
+
+
+def _unlisted(data: bytes, n: int) -> list[str]:
+    ends = 4 * n + np.cumsum(np.frombuffer(data, "<u4", n), dtype=np.int64)
+    at, out = 4 * n, []
+    for end in ends.tolist():
+        out.append(data[at:end].decode())
+        at = end
+    return out
+
+
+_LIST = "block long, bucket int, digest string, n int, data binary"
+
+
+def _words(path: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        special = byte_bpe(path).special
+        special, pack = byte_bpe(path).special, zstandard.ZstdCompressor(level=3)
         for number, _, texts in _blocks(batches):
-            index: dict = defaultdict(count().__next__)
-            for text in texts:
-                for _ in map(index.__getitem__, word_keys(text, special)):
-                    pass
-            # The last row names the block's texts, so that the halves of a block are known to fit.
-            rows = [*map(chunk_of, index), hashlib.sha256(_packed(texts)[1]).hexdigest()]
-            at = np.append(np.arange(len(index), dtype=np.int32), np.int32(-1))
+            # The digest tells whether the halves of a block are of the same texts.
+            digest = hashlib.md5(_packed(texts)[1]).hexdigest()
+            rows = [(number, k, digest, len(x), pack.compress(_listed(x))) for k, x in enumerate(word_lists(texts, special, buckets)) if x]
+            rows = rows or [(number, 0, digest, 0, pack.compress(b""))]
+            types = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(rows), number, np.int64)), pa.array(at), pa.array(rows)], names=["block", "at", "word"]
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                names=["block", "bucket", "digest", "n", "data"],
             )
 
     return run
@@ -156,81 +186,84 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, last, known = byte_bpe(path), None, (None, None)
+        bpe, known = byte_bpe(path), {}
+        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         for batch in batches:
-            # Sorted by word: a batch holds each word once, but for the first of the next batch.
-            words = batch.column("word").dictionary_encode()
-            ids, texts = [], []
-            for word in words.dictionary.to_pylist():
-                if word != last:
-                    found = bpe.ids(word)
-                    decoded = b"".join([bpe.piece[i] for i in found]).decode("utf-8", "replace")
-                    last, known = word, (",".join(map(str, found)), None if decoded == word else decoded)
-                ids.append(known[0])
-                texts.append(known[1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("block"),
-                    batch.column("at"),
-                    pa.array(ids, pa.string()).take(words.indices),
-                    pa.array(texts, pa.string()).take(words.indices),
-                ],
-                names=["block", "at", "ids", "decoded"],
-            )
+            coded, places, texts = [], [], []
+            for n, data in zip(batch.column("n").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                ids, at, other = [], [], []
+                for i, key in enumerate(_unlisted(unpack.decompress(data), n)):
+                    found = known.get(key)
+                    if found is None:
+                        chunk = chunk_of(key)
+                        numbers = bpe.ids(chunk)
+                        decoded = b"".join([bpe.piece[x] for x in numbers]).decode("utf-8", "replace")
+                        found = (",".join(map(str, numbers)), None if decoded == chunk else decoded)
+                        if len(known) > HELD:
+                            known.clear()
+                        known[key] = found
+                    ids.append(found[0])
+                    if found[1] is not None:
+                        at.append(i)
+                        other.append(found[1])
+                coded.append(pack.compress("\n".join(ids).encode()))
+                places.append(at)
+                texts.append(other)
+            columns = [batch.column(c) for c in ("block", "bucket", "digest", "n")]
+            columns += [pa.array(coded, pa.binary()), pa.array(places, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "bucket", "digest", "n", "ids", "at", "decoded"])
 
     return run
 
 
-def _assemble(path: str):
+def _assemble(path: str, buckets: int):
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        bpe = byte_bpe(path)
-        words = words.sort_by("at")
-        ids = words.column("ids").to_pylist()[1:]
-        decoded = words.column("decoded").to_pylist()
+        bpe, unpack = byte_bpe(path), zstandard.ZstdDecompressor()
         row = texts.to_pylist()[0]
-        raw = zstandard.ZstdDecompressor().decompress(row["data"])
-        mark, decoded = decoded[0], decoded[1:]
-        digest = hashlib.sha256(raw).hexdigest()
-        named = ",".join(map(str, bpe.ids(digest)))
-        if mark is not None or words.column("ids")[0].as_py() != named:
+        raw = unpack.decompress(row["data"])
+        lists = {x["bucket"]: x for x in words.to_pylist()}
+        if {x["digest"] for x in lists.values()} != {hashlib.md5(raw).hexdigest()}:
             raise ValueError("the input gave other rows when read again; write it to a table first")
-        index: dict = defaultdict(count().__next__)
-        ids = [x.encode() for x in ids]
-        sizes = [x.count(b",") + 1 for x in ids]
-        out, at = [], 0
+        ends = np.cumsum(row["lengths"]).tolist()
+        docs = [raw[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
+        index: dict[str, int] = {}
+        ids: list[bytes] = []
         pieces: list[bytes] = []
-        for doc_id, length in zip(row["doc_ids"], row["lengths"], strict=True):
-            keys = word_keys(raw[at : at + length].decode(), bpe.special)
-            at += length
-            numbers = list(map(index.__getitem__, keys))
-            if len(index) > len(pieces):
-                for key, k in zip(keys, numbers, strict=True):
-                    if k == len(pieces):  # first met here
-                        text = decoded[k]
-                        pieces.append((chunk_of(key) if text is None else text).encode())
-            joined = b",".join(map(ids.__getitem__, numbers))
-            text = b"".join(map(pieces.__getitem__, numbers))
-            out.append(
-                (doc_id, sum(map(sizes.__getitem__, numbers)), hashlib.sha256(joined).hexdigest(), hashlib.sha256(text).hexdigest())
-            )
-        columns = zip(*out, strict=True)
+        for bucket, keys in enumerate(word_lists(docs, bpe.special, buckets)):
+            if keys:
+                found = lists[bucket]
+                base = len(ids)
+                index.update(zip(keys, range(base, base + len(keys)), strict=True))
+                ids += unpack.decompress(found["ids"]).split(b"\n")
+                pieces += [chunk_of(k).encode() for k in keys]
+                for at, text in zip(found["at"], found["decoded"], strict=True):
+                    pieces[base + at] = text.encode()
+        sizes = [x.count(b",") + 1 for x in ids]
+        out = []
+        for doc_id, text in zip(row["doc_ids"], docs, strict=True):
+            numbers = list(map(index.__getitem__, word_keys(text, bpe.special)))
+            joined = hashlib.sha256(b",".join(map(ids.__getitem__, numbers))).hexdigest()
+            decoded = hashlib.sha256(b"".join(map(pieces.__getitem__, numbers))).hexdigest()
+            out.append((doc_id, sum(map(sizes.__getitem__, numbers)), joined, decoded))
         types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
         return pa.Table.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+            [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
     return run
 
 
-def encoded_words(docs: DataFrame, path: str) -> DataFrame:
-    """Rows (block, at, ids, decoded): each block's distinct words, encoded once per distinct word.
+def encoded_words(docs: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Rows (block, bucket, digest, n, ids, at, decoded): the words of each block's lists, encoded.
 
-    ids are decimal, joined by commas; decoded is null where it is the word itself.
+    ids are decimal, joined by commas, one word a line, compressed; decoded holds the texts of
+    the words at the places `at`, whose decoded text is not the word itself.
     """
-    rows = docs.mapInArrow(_words(path), "block long, at int, word string")
-    dealt = rows.repartition("word").sortWithinPartitions("word")
-    return dealt.mapInArrow(_encode(path), "block long, at int, ids string, decoded string")
+    dealt = docs.mapInArrow(_words(path, buckets), _LIST).repartition("bucket")
+    return dealt.mapInArrow(
+        _encode(path), "block long, bucket int, digest string, n int, ids binary, at array<int>, decoded array<string>"
+    )
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
@@ -241,6 +274,8 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     are documents of their own; other columns are left out.
     """
     narrow = columns_of(docs, doc_id="long", text="string")
+    # As many buckets as shuffle partitions: what the user sets for data of this size.
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = narrow.mapInArrow(_texts, "block long, doc_ids array<long>, lengths array<long>, data binary")
-    both = texts.groupBy("block").cogroup(encoded_words(narrow, path).groupBy("block"))
-    return both.applyInArrow(_assemble(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    both = texts.groupBy("block").cogroup(encoded_words(narrow, path, buckets).groupBy("block"))
+    return both.applyInArrow(_assemble(path, buckets), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
