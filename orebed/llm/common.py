@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -91,23 +91,26 @@ def frequent(df: DataFrame, key: str) -> list[str]:
     return [r[0] for r in found.select(key).collect()]
 
 
+def stars(links: Iterable[tuple]) -> list[tuple]:
+    """Links as stars around the smallest node of each component: as connected, fewer than nodes."""
+    above: dict = {}
+
+    def top(node):
+        while above.setdefault(node, node) != node:
+            above[node] = above[above[node]]
+            node = above[node]
+        return node
+
+    for a, b in links:
+        a, b = top(a), top(b)
+        if a != b:
+            above[max(a, b)] = min(a, b)
+    return [(node, top(node)) for node in above if top(node) != node]
+
+
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links of a task as stars around the smallest node of each local component."""
     for batch in batches:
-        above: dict = {}
-
-        def top(node):
-            while above.setdefault(node, node) != node:
-                above[node] = above[above[node]]
-                node = above[node]
-            return node
-
-        for a, b in zip(batch["a"], batch["b"], strict=True):
-            a, b = top(a), top(b)
-            if a != b:
-                above[max(a, b)] = min(a, b)
-        rows = [(node, top(node)) for node in above]
-        yield pd.DataFrame([r for r in rows if r[0] != r[1]], columns=["a", "b"])
+        yield pd.DataFrame(stars(zip(batch["a"], batch["b"], strict=True)), columns=["a", "b"])
 
 
 def components(links: DataFrame, kind: str) -> DataFrame:

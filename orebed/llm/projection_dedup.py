@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebed.llm.common import components
+from orebed.llm.common import components, stars
 from orebed.session import durable
 
 #: Signs in a key, neighbours compared on either side, members of a block.
-BITS, WINDOW, BLOCK = 60, 64, 1024
+BITS, WINDOW, BLOCK = 60, 64, 256
 #: Share of pairs at the threshold that no pass may bring together.
 MISSED = 1e-3
 
@@ -112,7 +112,11 @@ def _neighbours(similarity: float):
                     near = np.flatnonzero(np.einsum("ij,ij->i", x[first:-d], x[first + d :]) >= similarity) + first
                     a += [names[i] for i in near]
                     b += [names[i + d] for i in near]
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+                # Only the components matter here: dense regions send few links.
+                found = stars(zip(a, b, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p[k] for p in found], pa.string()) for k in (0, 1)], names=["a", "b"]
+                )
                 series, tail, at = both[at], (names[-WINDOW:], x[-WINDOW:]), end
 
     return run
