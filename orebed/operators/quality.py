@@ -142,8 +142,9 @@ GOLD_TESTS: tuple[DataTest, ...] = (
 def run_tests(tables: Mapping[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
     """``(table, test, column, failures)`` for every test whose table is given.
 
-    All row-level tests of a table share one pass; ``unique`` counts surplus keys
-    and ``relationships`` counts orphan rows.
+    Each table is read once, grouped on the column of its ``unique`` or ``relationships``
+    tests, and all its row-level tests are counted on the way; only tests on a further key
+    read it again. ``unique`` counts surplus keys and ``relationships`` orphan rows.
     """
     results: list[DataFrame] = []
     by_table: dict[str, list[DataTest]] = {}
@@ -151,48 +152,55 @@ def run_tests(tables: Mapping[str, DataFrame], tests: Sequence[DataTest]) -> Dat
         if test.table in tables:
             by_table.setdefault(test.table, []).append(test)
     for table, own in by_table.items():
-        df = tables[table]
-        row_level = [t for t in own if t.kind in ("not_null", "accepted_values")]
-        if row_level:
-            results.append(_row_level(df, table, row_level))
-        for t in own:
-            if t.kind == "unique":
-                results.append(_one(unique(df, t.column).agg(F.count("*").alias("failures")), t))
-            elif t.kind == "relationships":
-                orphans = relationships(df, t.column, tables[t.parent], t.parent_column)
-                total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("failures")
-                results.append(_one(orphans.agg(total), t))
+        rows = [t for t in own if t.kind in ("not_null", "accepted_values")]
+        keys = list(dict.fromkeys(t.column for t in own if t not in rows))
+        for i, key in enumerate(keys or [None]):
+            keyed = [t for t in own if t not in rows and t.column == key]
+            results.append(_counted(tables, table, key, keyed, rows if i == 0 else []))
     return reduce(DataFrame.unionByName, results).withColumn(
         "status", F.when(F.col("failures") == 0, "pass").otherwise("fail")
     )
 
 
-def _one(counted: DataFrame, test: DataTest) -> DataFrame:
-    return counted.select(
-        F.lit(test.table).alias("table"),
-        F.lit(test.kind).alias("test"),
-        F.lit(test.column).alias("column"),
-        "failures",
-    )
-
-
-def _row_level(df: DataFrame, table: str, tests: Sequence[DataTest]) -> DataFrame:
-    def failing(t: DataTest) -> Column:
-        c = F.col(t.column)
-        return c.isNull() if t.kind == "not_null" else ~c.isin(*t.values)
-
-    counted = df.agg(*[F.count_if(failing(t)).alias(f"t{i}") for i, t in enumerate(tests)])
-    lines = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(table).alias("table"),
-                    F.lit(t.kind).alias("test"),
-                    F.lit(t.column).alias("column"),
-                    F.col(f"t{i}").alias("failures"),
-                )
-                for i, t in enumerate(tests)
-            ]
-        )
+def _failing(t: DataTest) -> Column:
+    c = F.col(t.column)
+    return c.isNull() if t.kind == "not_null" else ~c.isin(*t.values)
+
+
+def _counted(
+    tables: Mapping[str, DataFrame],
+    table: str,
+    key: str | None,
+    keyed: Sequence[DataTest],
+    rows: Sequence[DataTest],
+) -> DataFrame:
+    """All given tests of one table from one pass over it, one line each."""
+    counts = [F.count_if(_failing(t)).alias(f"r{i}") for i, t in enumerate(rows)]
+    totals = [F.sum(f"r{i}").alias(f"r{i}") for i in range(len(rows))]
+    if key is None:
+        counted = tables[table].agg(*counts)
+    else:
+        groups = tables[table].groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), *counts)
+        known = F.col("_key").isNotNull()
+        for i, t in enumerate(keyed):
+            if t.kind == "unique":
+                totals.append(F.count_if(known & (F.col("_n") > 1)).alias(f"k{i}"))
+                continue
+            parents = tables[t.parent].select(F.col(t.parent_column).alias("_key")).distinct()
+            groups = groups.join(parents.withColumn(f"_p{i}", F.lit(True)), "_key", "left")
+            orphans = F.sum(F.when(known & F.col(f"_p{i}").isNull(), F.col("_n")).otherwise(0))
+            totals.append(orphans.alias(f"k{i}"))
+        counted = groups.agg(*totals)
+    named = [(f"r{i}", t) for i, t in enumerate(rows)] + [(f"k{i}", t) for i, t in enumerate(keyed)]
+    lines = F.array(
+        *[
+            F.struct(
+                F.lit(table).alias("table"),
+                F.lit(t.kind).alias("test"),
+                F.lit(t.column).alias("column"),
+                F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("failures"),
+            )
+            for c, t in named
+        ]
     )
-    return counted.select(lines)
+    return counted.select(F.inline(lines))
