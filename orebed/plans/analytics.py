@@ -190,12 +190,17 @@ def category_pivot(
         )
         for name, c in categories.items()
     ]
-    # One sum per row, then the pivot over one row per state and category.
+    # Items meet the bridge on the order and shrink to one row per state and product, which
+    # alone meets the products; then the pivot over one row per state and category.
+    per_product = (
+        items.join(_state_per_order(orders, customers, key), "order_id")
+        .groupBy("customer_state", "product_id")
+        .agg(F.sum("price").alias("_revenue"), F.count("order_id").alias("_items"))
+    )
     per_category = (
-        items.join(products.select("product_id", "product_category_name"), "product_id")
-        .join(_state_per_order(orders, customers, key), "order_id")
+        per_product.join(products.select("product_id", "product_category_name"), "product_id")
         .groupBy("customer_state", "product_category_name")
-        .agg(F.sum("price").alias("_revenue"), F.count("order_id").alias("_items"))
+        .agg(F.sum("_revenue").cast("decimal(38,9)").alias("_revenue"), F.sum("_items").alias("_items"))
     )
     states = per_category.groupBy("customer_state").agg(
         *revenue, F.sum("_items").alias("total_items")
@@ -218,10 +223,12 @@ def star_join(
     ``approximate`` counts the distinct orders with a sketch.
     """
     distinct = F.approx_count_distinct if approximate else F.countDistinct
+    # The large sides first, on the order; the dimensions then meet one stream of items.
     groups = (
-        items.join(products.select("product_id", "product_category_name"), "product_id")
-        .join(sellers.select("seller_id", "seller_state"), "seller_id")
+        items.select("order_id", "product_id", "seller_id", "price")
         .join(_state_per_order(orders, customers, key), "order_id")
+        .join(products.select("product_id", "product_category_name"), "product_id")
+        .join(sellers.select("seller_id", "seller_state"), "seller_id")
         .groupBy("customer_state", "seller_state", "product_category_name")
         .agg(
             distinct("order_id").alias("unique_orders"),
