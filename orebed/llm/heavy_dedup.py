@@ -55,9 +55,10 @@ def find_copies(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that find_copies keeps, with all their columns."""
-    stays = find_copies(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"))
-    marked = docs.withColumn("__key", text_digest())
-    same = (F.col("__key") == F.col("__digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-    once = Window.partitionBy("__key", "doc_id").orderBy("__key")
-    out = marked.join(stays, same, "left_semi").withColumn("__nth", F.row_number().over(once))
-    return out.where("__nth = 1").drop("__nth", "__key")
+    # The id as text, empty for null: join and window then share one shuffle of the documents.
+    named = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("__id")
+    stays = find_copies(docs).where("kept").select(F.col("text_sha256").alias("__digest"), named)
+    marked = docs.withColumn("__digest", text_digest()).withColumn("__id", named)
+    once = Window.partitionBy("__digest", "__id").orderBy("__digest")
+    out = marked.join(stays, ["__digest", "__id"], "left_semi").withColumn("__nth", F.row_number().over(once))
+    return out.where("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
