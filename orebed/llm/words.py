@@ -15,7 +15,7 @@ from functools import lru_cache
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces kept per worker; the cache starts anew beyond this.
-CACHED = 1_000_000
+CACHED = 300_000
 #: Letters whose lower case, composition and class are the same in every library.
 _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile(f"[!-~À-ÖØ-öø-ÿ]+")
