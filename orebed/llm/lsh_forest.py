@@ -5,6 +5,8 @@ share the first HEAD hash values are candidates, and the sorted order puts those
 longest common prefix next to each other: where a region is sparse the prefix of HEAD values
 decides, where it is dense the SPAN nearest rows, which agree on more values, so depth follows
 density. Candidates are compared on their full sets, which are computed again from the text.
+Regions of more than SPAN rows that these links do not make one component are searched in
+full: a prefix filter over their rarest shingles finds every link between two components.
 """
 
 from __future__ import annotations
@@ -173,6 +175,64 @@ def _verify(words: int, percent: int):
     return run
 
 
+def _sets(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, sets = [], []
+            for i, (digest, text) in enumerate(zip(batch.column("digest").to_pylist(), batch.column("text"), strict=True)):
+                found = shingles(text.as_py(), words)
+                if set_digest(found) == digest:  # else another text with the same doc_id
+                    rows.append(i)
+                    sets.append(found.view(np.int64))
+            kept = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("digest", "home")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sets, pa.list_(pa.int64()))], names=["digest", "home", "tokens"])
+
+    return run
+
+
+def dense_links(dense: DataFrame, labels: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame | None:
+    """All links (a, b) between different components of regions larger than SPAN; None if there is no such region.
+
+    dense holds these regions' rows (tree, head, digest, first), labels the components so far.
+    Shingles are ordered by their number of sets, rarest first. Of two linked sets of sizes
+    m and n at least o = percent (m + n) / (100 + percent) shingles are shared, so the first
+    shared one has o - 1 shingles behind it in both sets. Passages that a whole region shares
+    come last in the order and make no candidates, unless the region's similarity is so close
+    to the threshold that a pair's needed overlap is hardly more than the passage.
+    """
+    homes = dense.join(labels.select(F.col("node").alias("digest"), "component"), "digest", "left")
+    homes = durable(homes.withColumn("home", F.coalesce("component", "digest")).drop("component"))
+    mixed = homes.groupBy("tree", "head").agg(F.min("home").alias("low"), F.max("home").alias("high")).where("low != high")
+    # At most one region per SPAN rows of the trees.
+    wanted = homes.join(F.broadcast(mixed.select("tree", "head")), ["tree", "head"], "left_semi")
+    wanted = durable(wanted.select("digest", "first", F.xxhash64("home").alias("home")).distinct())
+    if wanted.isEmpty():
+        return None
+    texts = wanted.join(rows, F.col("first").eqNullSafe(F.col("doc_id"))).select("digest", "home", "text")
+    sets = texts.mapInArrow(_sets(words), "digest string, home long, tokens array<long>").dropDuplicates(["digest"])
+    sets = durable(sets.withColumn("node", F.monotonically_increasing_id()))
+    tokens = sets.select("node", "home", F.size("tokens").cast("long").alias("size"), F.explode("tokens").alias("token"))
+    counts = durable(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
+    rarest = Window.partitionBy("node").orderBy("n", "token")
+    placed = tokens.join(counts, "token", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    placed = placed.withColumn("behind", F.col("size") - F.row_number().over(rarest))
+    # The first shared shingle of a set lies here, and of the smaller or equal set in its leading part.
+    placed = placed.where(f"n > 1 and behind + 1 >= ({percent} * size + 99) div 100")
+    leads = F.expr(f"behind + 1 >= (2 * {percent} * size + 99 + {percent}) div (100 + {percent})")
+    placed = durable(placed.select("token", "home", "node", "size", "behind", leads.alias("leads")))
+    small = placed.where("leads").select("token", *[F.col(c).alias(f"{c}_a") for c in ("home", "node", "size", "behind")])
+    large = placed.select("token", *[F.col(c).alias(f"{c}_b") for c in ("home", "node", "size", "behind")])
+    # Pairs of components first: rows of one component are never paired.
+    apart = small.select("token", "home_a").distinct().join(large.select("token", "home_b").distinct(), "token")
+    pairs = durable(apart.where("home_a != home_b")).join(small, ["token", "home_a"]).join(large, ["token", "home_b"])
+    overlap = f"({percent} * (size_a + size_b) + 99 + {percent}) div (100 + {percent})"
+    pairs = pairs.where(f"size_a <= size_b and behind_a + 1 >= {overlap} and behind_b + 1 >= {overlap}")
+    pairs = durable(pairs.select(F.least("node_a", "node_b").alias("x"), F.greatest("node_a", "node_b").alias("y")).distinct())
+    left, right = (sets.select(F.col("node").alias(n), F.col("digest").alias(d), F.col("tokens").alias(t)) for n, d, t in (("x", "a", "s"), ("y", "b", "t")))
+    both = pairs.join(left, "x").join(right, "y").withColumn("both", F.size(F.array_intersect("s", "t")))
+    return durable(both.where(f"100 * both >= {percent} * (size(s) + size(t) - both)").select("a", "b"))
+
+
 def near_groups(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -218,6 +278,10 @@ def near_groups(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame
     texts = texts.select(F.col("p.block").alias("block"), F.col("p.tree").alias("tree"), F.col("p.head").alias("head"), "digest", "text")
     dealt = texts.repartition("block").sortWithinPartitions("block", "tree", "head", "digest")
     labels = components(durable(dealt.mapInArrow(_verify(words, percent), "a string, b string")), "string")
+    dense = sorted_rows.where(F.col("n") > SPAN).select("tree", "head", "digest", "first")
+    further = dense_links(dense, labels, rows, words, percent)
+    if further is not None and not further.isEmpty():
+        labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(further), "string")
     grouped = classes.select("digest", "first").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
     grouped = durable(grouped.select("digest", "first", F.coalesce("component", "digest").alias("component")))
     smallest = durable(grouped.groupBy("component").agg(F.min("first").alias("component_id")))

@@ -118,6 +118,20 @@ def test_near_copies_across_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in found} == near_by_hand(rows, 3, 85)[1]
 
 
+def test_near_copies_of_one_template(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "SPAN", 32)
+    template = [f"w{i}" for i in range(92)]
+    # Any two share the template's 90 shingles of 98 (similarity 0.849); each planted pair a few more.
+    rows = [(i, " ".join([*template, *(f"x{i}-{k}" for k in range(8))])) for i in range(3000)]
+    for i in range(0, 400, 2):
+        rows[i + 1] = (i + 1, " ".join([*rows[i][1].split()[:98], f"y{i}", f"z{i}"]))
+    rng = random.Random(5)
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = lsh_forest.near_groups(df, 3, 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i - i % 2 if i < 400 else i for i, _ in rows}
+
+
 def test_near_copies_of_odd_rows(odd, empty):
     rows = lsh_forest.near_groups(odd).collect()
     assert len(rows) == len(odd_rows())
