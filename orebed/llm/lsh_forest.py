@@ -105,12 +105,13 @@ def _signatures(words: int, trees: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("name"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.string()),
                     pa.array(heads, lists),
                     pa.array(tails, lists),
                 ],
-                names=["doc_id", "n_shingles", "digest", "heads", "tails"],
+                names=["doc_id", "name", "n_shingles", "digest", "heads", "tails"],
             )
 
     return run
@@ -233,22 +234,16 @@ def dense_links(dense: DataFrame, labels: DataFrame, rows: DataFrame, words: int
     return durable(both.where(f"100 * both >= {percent} * (size(s) + size(t) - both)").select("a", "b"))
 
 
-def near_groups(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+def _grouped(named_rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """Rows (doc_id, name, text) without their text, plus n_shingles, digest, component and component_id.
 
-    Documents link if 100 * intersection >= percent * union of their shingle sets.
-    component_id is the smallest doc_id reachable by links, itself included; kept marks the
-    documents that carry it. Equal sets are one class and compared once. Texts without words
-    link with nothing. A null doc_id is above all others; rows that repeat a doc_id each count.
-    Other columns are left out; an empty table gives an empty table.
+    component is a digest that names the group of a row, component_id its smallest doc_id;
+    both and digest are null for texts without words.
     """
-    rows = columns_of(docs, doc_id="long", text="string")
+    rows = named_rows.select("doc_id", "text")
     trees = trees_for(percent / 100)
-    signed = durable(
-        rows.mapInArrow(
-            _signatures(words, trees), "doc_id long, n_shingles long, digest string, heads array<long>, tails array<long>"
-        )
-    )
+    schema = "doc_id long, name string, n_shingles long, digest string, heads array<long>, tails array<long>"
+    signed = durable(named_rows.mapInArrow(_signatures(words, trees), schema))
     classes = durable(
         signed.where("digest is not null")
         .groupBy("digest")
@@ -285,13 +280,42 @@ def near_groups(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame
     grouped = classes.select("digest", "first").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
     grouped = durable(grouped.select("digest", "first", F.coalesce("component", "digest").alias("component")))
     smallest = durable(grouped.groupBy("component").agg(F.min("first").alias("component_id")))
-    named = durable(grouped.join(smallest, "component").select("digest", "component_id"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    named = durable(grouped.join(smallest, "component").select("digest", "component", "component_id"))
+    return signed.select("doc_id", "name", "n_shingles", "digest").join(named, "digest", "left")
+
+
+def near_groups(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Documents link if 100 * intersection >= percent * union of their shingle sets.
+    component_id is the smallest doc_id reachable by links, itself included; kept marks the
+    documents that carry it. Equal sets are one class and compared once. Texts without words
+    link with nothing. A null doc_id is above all others; rows that repeat a doc_id each count.
+    Other columns are left out; an empty table gives an empty table.
+    """
+    rows = columns_of(docs, doc_id="long", text="string").withColumn("name", F.lit(None).cast("string"))
+    out = _grouped(rows, words, percent)
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, with all their columns, that near_groups keeps: one of each group."""
-    gone = near_groups(docs, words, percent).where("not kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    """The documents with all their columns, one row of each group of near_groups.
+
+    Rows are told apart by doc_id and text. A group keeps its smallest doc_id, null last; of
+    different texts under that id the one with the smallest SHA-256, of rows that repeat both
+    any one. Texts without words are groups of their own and all stay.
+    """
+    named = F.sha2(F.col("text").cast("string").cast("binary"), 256)
+    rows = columns_of(docs, doc_id="long", text="string").withColumn("name", named)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "name")).alias("best")
+    best = _grouped(rows, words, percent).where("digest is not null").groupBy("component").agg(first)
+    # The id as text, empty for null: join and window then share one shuffle of the documents.
+    id_text = lambda c: F.coalesce(c.cast("long").cast("string"), F.lit(""))
+    stays = best.select(F.col("best.name").alias("__name"), id_text(F.col("best.doc_id")).alias("__id"))
+    worded = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    marked = docs.where(worded).withColumn("__name", named).withColumn("__id", id_text(F.col("doc_id")))
+    once = Window.partitionBy("__name", "__id").orderBy("__name")
+    kept = marked.join(stays, ["__name", "__id"], "left_semi").withColumn("__nth", F.row_number().over(once)).where("__nth = 1")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.select(*columns).union(docs.where(~worded).select(*columns))

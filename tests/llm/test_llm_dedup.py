@@ -142,6 +142,27 @@ def test_near_copies_of_odd_rows(odd, empty):
     assert lsh_forest.drop_near(odd).columns == odd.columns and lsh_forest.drop_near(empty).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark, odd):
+    text = [f"w{i}" for i in range(60)]
+    near = [" ".join([*text, f"x{i}"]) for i in range(9)]
+    clean = [f"clean text number {i} of words that nothing else has {i}" for i in range(6)]
+    rows = [(1, near[0]), (None, near[1]), (None, clean[0]), (None, clean[1]), (2, near[2]), (2, clean[2]), (4, clean[3]), (4, clean[3])]
+    other = [" ".join([*(f"v{i}" for i in range(60)), f"x{i}"]) for i in range(4)]
+    last = [" ".join([*(f"u{i}" for i in range(60)), f"x{i}"]) for i in range(3)]
+    rows += [(7, other[0]), (7, other[1]), (8, other[2]), *((None, t) for t in last), (None, None), (None, ""), (None, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = Counter((r["doc_id"], r["text"]) for r in lsh_forest.drop_near(df).collect())
+
+    def smallest(texts):
+        return min(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+
+    wanted = [(1, near[0]), (None, clean[0]), (None, clean[1]), (2, clean[2]), (4, clean[3]), (7, smallest(other[:2])), (None, smallest(last))]
+    assert found == Counter([*wanted, (None, None), (None, ""), (None, " ")])
+    stays = Counter((r["doc_id"], r["text"]) for r in lsh_forest.drop_near(odd).collect())
+    gone = Counter((i, t) for i, t, _ in odd_rows()) - stays
+    assert gone == Counter([(5, odd_rows()[0][1]), (3, odd_rows()[1][1]), (8, odd_rows()[0][1]), (None, odd_rows()[0][1]), (11, odd_rows()[10][1])])
+
+
 def vectors(rng):
     centres = rng.standard_normal((40, 16))
     out = [c + rng.normal(0, s, 16) for c in centres for s in [0.0] * 3 + [0.02] * 6 + [0.2] * 2]
