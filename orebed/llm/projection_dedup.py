@@ -1,10 +1,11 @@
 """Near-duplicate vectors by sorted projection passes.
 
 Each pass gives every distinct vector the signs of its products with random directions,
-concatenated to one key, and sorts by it; vectors within WINDOW places of each other are
-compared in double precision. Verified pairs of all passes are united to components. Then
-the members of each component are compared with one another, in blocks, so that every
-vector's links are counted in full.
+concatenated to one key, and sorts by it; vectors that agree in the whole key are compared all
+with all in double precision, however many they are, in pairs of blocks where they are more
+than BLOCK. Verified pairs of all passes are united to components. Then the members of each
+component are compared with one another, in blocks, so that every vector's links are counted
+in full.
 """
 
 from __future__ import annotations
@@ -22,20 +23,24 @@ from pyspark.sql import functions as F
 from orebed.llm.common import components, stars
 from orebed.session import durable
 
-#: Signs in a key, neighbours compared on either side, members of a block.
-BITS, WINDOW, BLOCK = 60, 64, 256
+#: Evenly spread vectors to a key, members of a block.
+WINDOW, BLOCK = 64, 256
 #: Share of pairs at the threshold that no pass may bring together.
 MISSED = 1e-3
 
 
+def signs_for(vectors: int) -> int:
+    """Signs in a key: as many as leave about WINDOW evenly spread vectors to each."""
+    return min(60, max(1, round(math.log2(max(2, vectors) / WINDOW))))
+
+
 def passes_for(vectors: int, similarity: float) -> int:
-    """Passes needed, by the chance that a pair at the threshold agrees on enough signs.
+    """Passes needed, by the chance that a pair at the threshold agrees on all signs of a key.
 
-    About log2(vectors / WINDOW) leading signs single out a window's worth of neighbours; a
-    pair agrees on each with probability 1 - angle / pi.
+    It agrees on each with probability 1 - angle / pi, whatever lies around it, and is then
+    compared.
     """
-    signs = max(1.0, math.log2(max(2, vectors) / WINDOW))
-    together = (1 - math.acos(similarity) / math.pi) ** signs
+    together = (1 - math.acos(similarity) / math.pi) ** signs_for(vectors)
     return math.ceil(math.log(MISSED) / math.log(1 - min(together, 0.999)))
 
 
@@ -67,7 +72,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _keys(passes: int):
+def _keys(passes: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -75,49 +80,51 @@ def _keys(passes: int):
             for size in sorted({len(u) for u in units}):
                 rows = [i for i, u in enumerate(units) if len(u) == size]
                 if size not in planes:
-                    planes[size] = np.random.default_rng(size).standard_normal((size, passes * BITS))
-                signs = (np.array([units[i] for i in rows]) @ planes[size] > 0).reshape(len(rows), passes, BITS)
-                keys = signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-                digests, kept = batch.column("digest").take(pa.array(rows)), batch.column("unit").take(pa.array(rows))
+                    planes[size] = np.random.default_rng(size).standard_normal((size, passes * bits))
+                signs = (np.array([units[i] for i in rows]) @ planes[size] > 0).reshape(len(rows), passes, bits)
+                keys = signs @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
+                digests = batch.column("digest").take(pa.array(rows))
                 for k in range(passes):
                     fixed = [pa.array(np.full(len(rows), x, np.int32)) for x in (size, k)]
                     yield pa.RecordBatch.from_arrays(
-                        [*fixed, pa.array(keys[:, k]), digests, kept], names=["size", "pass", "key", "digest", "unit"]
+                        [*fixed, pa.array(keys[:, k]), digests], names=["size", "pass", "key", "digest"]
                     )
 
     return run
 
 
-def _neighbours(similarity: float):
+def _same_key(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail: tuple = ((), np.zeros((0, 0)))
-        series = None
+        series, names, parts, units = None, [], [], []
+
+        def links() -> pa.RecordBatch:
+            found: list[tuple] = []
+            if len(names) > 1:
+                x, part = np.concatenate(units).reshape(len(names), -1), np.array(parts)
+                a, b = np.flatnonzero(part == series[-2]), np.flatnonzero(part == series[-1])
+                i, j = np.nonzero(x[a] @ x[b].T >= similarity)
+                i, j = a[i], b[j]
+                other = i < j if series[-2] == series[-1] else i != j
+                # Only the components matter here: dense keys send few links.
+                found = stars((names[p], names[q]) for p, q in zip(i[other].tolist(), j[other].tolist(), strict=True))
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.string()) for k in (0, 1)], names=["a", "b"])
+
         for batch in batches:
-            both = list(zip(batch.column("size").to_pylist(), batch.column("pass").to_pylist(), strict=True))
-            digests, units = batch.column("digest").to_pylist(), batch.column("unit")
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("size", "pass", "key", "left", "right")), strict=True))
+            digests, mine, vectors = batch.column("digest").to_pylist(), batch.column("part").to_pylist(), batch.column("unit")
             at = 0
-            while at < len(both):  # one stretch per vector size and pass
+            while at < len(keys):  # one stretch per key and pair of blocks
                 end = at
-                while end < len(both) and both[end] == both[at]:
+                while end < len(keys) and keys[end] == keys[at]:
                     end += 1
-                size = both[at][0]
-                x = units.slice(at, end - at).flatten().to_numpy().reshape(-1, size)
-                names = digests[at:end]
-                if both[at] == series:
-                    names, x = [*tail[0], *names], np.concatenate([tail[1], x])
-                old = len(names) - (end - at)
-                a, b = [], []
-                for d in range(1, min(WINDOW, len(names) - 1) + 1):
-                    first = max(0, old - d)  # pairs within the old rows were compared before
-                    near = np.flatnonzero(np.einsum("ij,ij->i", x[first:-d], x[first + d :]) >= similarity) + first
-                    a += [names[i] for i in near]
-                    b += [names[i + d] for i in near]
-                # Only the components matter here: dense regions send few links.
-                found = stars(zip(a, b, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p[k] for p in found], pa.string()) for k in (0, 1)], names=["a", "b"]
-                )
-                series, tail, at = both[at], (names[-WINDOW:], x[-WINDOW:]), end
+                if keys[at] != series:
+                    yield links()
+                    series, names, parts, units = keys[at], [], [], []
+                names += digests[at:end]
+                parts += mine[at:end]
+                units.append(vectors.slice(at, end - at).flatten().to_numpy())
+                at = end
+        yield links()
 
     return run
 
@@ -152,12 +159,23 @@ def near_vectors(vectors: DataFrame, similarity: float = 0.95) -> DataFrame:
         .groupBy("digest")
         .agg(F.min("vec_id").alias("first"), F.count("*").alias("n"), F.first("unit").alias("unit"))
     )
-    keyed = classes.mapInArrow(
-        _keys(passes_for(classes.count(), similarity)), "size int, pass int, key long, digest string, unit array<double>"
-    )
-    order = ["size", "pass", "key", "digest"]
-    ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-    found = durable(ranged.mapInArrow(_neighbours(similarity), "a string, b string"))
+    n = classes.count()
+    run = _keys(passes_for(n, similarity), signs_for(n))
+    keyed = durable(classes.select("digest", "unit").mapInArrow(run, "size int, pass int, key long, digest string"))
+    same = ["size", "pass", "key"]
+    shared = durable(keyed.groupBy(*same).agg(F.count("*").alias("rows")).where("rows > 1"))
+    blocks = F.floor((F.col("rows") - 1) / BLOCK).cast("int") + 1
+    places = keyed.join(shared.select(*same, blocks.alias("blocks")), same)
+    # The places of a vector travel together to it, and it goes out with each pair of blocks.
+    places = places.groupBy("digest").agg(F.collect_list(F.struct(*same, "blocks")).alias("places"))
+    dealt = places.join(classes.select("digest", "unit"), "digest").select("digest", "unit", F.explode("places").alias("p"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("digest"), F.col("p.blocks")).cast("int"))
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("p.blocks") - 1)))
+    pair = [F.least("part", "block").alias("left"), F.greatest("part", "block").alias("right")]
+    dealt = dealt.select("p.size", "p.pass", "p.key", *pair, "part", "digest", "unit")
+    key = [*same, "left", "right"]
+    sorted_rows = dealt.repartition(*key).sortWithinPartitions(*key)
+    found = durable(sorted_rows.mapInArrow(_same_key(similarity), "a string, b string"))
     labels = durable(components(found, "string"))
     # Blocks of a component's members, in the order of their digests; its size decides how many.
     sizes = labels.groupBy("component").agg(F.count("*").alias("members"))

@@ -193,6 +193,32 @@ def test_repeated_vectors_count(spark):
     assert {tuple(r)[1:] for r in projection_dedup.near_vectors(df).collect()} >= {(2999, 0, True), (2999, 0, False)}
 
 
+def test_pairs_in_a_dense_group_without_links(spark):
+    rng = np.random.default_rng(6)
+
+    def units(shape):
+        x = rng.standard_normal(shape)
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    centre, size = np.eye(64)[0], 20000
+    rest = units((size, 64))
+    rest[:, 0] = 0
+    rest /= np.linalg.norm(rest, axis=1, keepdims=True)
+    # In the group any two have a cosine of about 0.88; each planted pair 0.952.
+    x = np.sqrt(0.88) * centre + np.sqrt(0.12) * rest
+    for i in range(0, 600, 2):
+        across = rest[i + 1] - (rest[i + 1] @ rest[i]) * rest[i]
+        across /= np.linalg.norm(across)
+        x[i + 1] = np.sqrt(0.88) * centre + np.sqrt(0.12) * (0.6 * rest[i] + 0.8 * across)
+    near = [(a + int(i), int(j)) for a in range(0, size, 2000) for i, j in zip(*np.nonzero(x[a : a + 2000] @ x.T >= 0.95), strict=True)]
+    expected = unite(range(size), [(i, j) for i, j in near if i < j])
+    assert all(expected[i + 1] == expected[i] for i in range(0, 600, 2))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, units((size, 64))]))]
+    found = projection_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8))
+    labels = {r["vec_id"]: r["component_id"] for r in found.where(f"vec_id < {size}").collect()}
+    assert sum(labels[i] != expected[i] for i in range(size)) <= 3
+
+
 def test_component_larger_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(projection_dedup, "BLOCK", 32)
     rng = np.random.default_rng(3)
