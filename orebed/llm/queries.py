@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from orebed.llm import oracles as sql
 from orebed.llm import (
     arrow_ids,
     boosted_quality,
@@ -15,6 +16,7 @@ from orebed.llm import (
     hyper_lang,
     lsh_forest,
     min_slack,
+    pivot_grams,
     projection_dedup,
     secret_tokens,
     word_table,
@@ -66,6 +68,10 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_tokens.scan(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS))
 
 
+def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_grams.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_block_lstm": page_text,
@@ -78,20 +84,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_hyperdimensional_language": languages,
         "op9_boosted_quality": quality,
         "op10_token_efficiency": secrets,
+        "op11_pivotal_grams": spelling,
     }
 
 
 def oracles() -> dict[str, str]:
     """SQL counterparts, where SQL can express the result."""
-    return {
-        "op4_heavy_hitter_dedup": r"""
-            WITH d AS (
-                SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
-                FROM documents
-            ), g AS (
-                SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256
-            )
-            SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
-            FROM d JOIN g USING (text_sha256)
-        """,
-    }
+    return sql.oracles()
