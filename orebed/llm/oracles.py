@@ -64,6 +64,32 @@ SPELLING = f"""
     FROM forms f JOIN steps s USING (word) JOIN forms e ON e.word = s.at WHERE e.form IS NULL
 """
 
+_WORDS = r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+#: Every window of a document, of each length that occurs, meets the items' windows as text.
+CONTAMINATION = f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents
+    ), items AS (
+        SELECT item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0
+    ), windows AS (
+        SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS part
+        FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM items)
+    ), placed AS (
+        SELECT row, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM windows)
+    ), met AS (
+        SELECT p.row, p.p, p.k, i.item_id
+        FROM placed p JOIN windows i ON p.k = i.k AND array_to_string(p.w[p.p:p.p + p.k - 1], ' ') = i.part
+    ), hit AS (
+        SELECT row, count(DISTINCT q) AS n_hit FROM (SELECT row, unnest(range(p, p + k)) AS q FROM met) GROUP BY row
+    ), named AS (
+        SELECT row, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+        FROM (SELECT DISTINCT row, item_id::VARCHAR AS name FROM met WHERE item_id IS NOT NULL) GROUP BY row
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {"op4_heavy_hitter_dedup": EXACT_DEDUP, "op11_pivotal_grams": SPELLING}
+    return {"op4_heavy_hitter_dedup": EXACT_DEDUP, "op11_pivotal_grams": SPELLING, "op12_suffix_automaton": CONTAMINATION}

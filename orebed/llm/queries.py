@@ -19,6 +19,7 @@ from orebed.llm import (
     pivot_grams,
     projection_dedup,
     secret_tokens,
+    suffix_automaton,
     word_table,
 )
 from orebed.llm.common import table
@@ -72,6 +73,11 @@ def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_grams.spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return suffix_automaton.report(docs, items, window=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_block_lstm": page_text,
@@ -85,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_boosted_quality": quality,
         "op10_token_efficiency": secrets,
         "op11_pivotal_grams": spelling,
+        "op12_suffix_automaton": contamination,
     }
 
 
