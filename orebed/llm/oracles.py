@@ -90,6 +90,78 @@ CONTAMINATION = f"""
     FROM d LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
 """
 
+#: Cheapest edits row by row: per row and state the cheapest edits so far, of equal ones the
+#: least. State 0 is nothing yet, 1 a system row, 2 a user's, 3 an assistant's.
+CONVERSATIONS = f"""
+    WITH RECURSIVE {_CRC_TABLE}, raw AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+        FROM conversations, crc_steps
+    ), damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+        FROM raw WHERE kind <> 0
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS k,
+            rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed
+        FROM damaged
+    ), judged AS (
+        SELECT *, left(role, 1) AS initial, trimmed = '' AS blank,
+            trimmed <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS duplicate,
+            lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal
+        FROM placed
+    ), faults AS (
+        SELECT *, NOT blank AND NOT duplicate AND right(trimmed, 1) NOT IN ('.', '!', '?') AS truncated FROM judged
+    ), summed AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+            count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+        FROM faults GROUP BY conv_id
+    ), talks AS (
+        SELECT row_number() OVER () AS c, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)
+    ), steps AS (
+        SELECT t.c, k, role, initial, text, blank OR duplicate AS gone, CASE WHEN truncated THEN 3 ELSE 0 END AS extra
+        FROM faults f JOIN talks t ON t.conv_id IS NOT DISTINCT FROM f.conv_id
+    ), inserts(state, cost, letters, rows, "to") AS (
+        VALUES (0, 0, '', [], 0), (0, 3, 'I', ['user:'], 2), (0, 6, 'II', ['user:', 'assistant:'], 3),
+            (1, 0, '', [], 1), (1, 3, 'I', ['user:'], 2), (1, 6, 'II', ['user:', 'assistant:'], 3),
+            (2, 0, '', [], 2), (2, 3, 'I', ['assistant:'], 3), (3, 0, '', [], 3), (3, 3, 'I', ['user:'], 2)
+    ), moves(state, letter, initial, "to") AS (
+        VALUES (0, 'D', NULL, 0), (1, 'D', NULL, 1), (2, 'D', NULL, 2), (3, 'D', NULL, 3),
+            (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (2, 'K', 'a', 3), (3, 'K', 'u', 2),
+            (0, 'R', NULL, 2), (1, 'R', NULL, 2), (2, 'R', NULL, 3), (3, 'R', NULL, 2)
+    ), costs AS (
+        SELECT c, 0::BIGINT AS k, 0 AS state, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS best FROM talks
+        UNION ALL
+        SELECT w.c, s.k, m."to", min({{
+            'cost': w.best.cost + i.cost + CASE m.letter WHEN 'D' THEN 4 WHEN 'K' THEN s.extra ELSE 3 + s.extra END,
+            'audit': w.best.audit || i.letters || m.letter,
+            'lines': w.best.lines || i.rows || CASE m.letter WHEN 'D' THEN [] WHEN 'K' THEN [s.role || ':' || s.text]
+                ELSE [CASE m."to" WHEN 2 THEN 'user:' ELSE 'assistant:' END || s.text] END
+        }})
+        FROM costs w JOIN steps s ON s.c = w.c AND s.k = w.k + 1
+        JOIN inserts i ON i.state = w.state
+        JOIN moves m ON m.state = i."to" AND (m.letter = 'D' OR NOT s.gone) AND (m.initial IS NULL OR m.initial = s.initial)
+        GROUP BY w.c, s.k, m."to"
+    ), ends AS (
+        SELECT w.c, w.k, min({{'cost': w.best.cost + i.cost, 'audit': w.best.audit || i.letters, 'lines': w.best.lines || i.rows}}) AS best
+        FROM costs w JOIN inserts i ON i.state = w.state AND i."to" IN (0, 3)
+        GROUP BY w.c, w.k
+    ), final AS (
+        SELECT c, arg_max(best, k) AS best FROM ends GROUP BY c
+    )
+    SELECT t.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, f.best.cost::BIGINT AS cost,
+        f.best.audit AS audit, sha256(array_to_string(f.best.lines, chr(10))) AS repaired_sha256
+    FROM talks t JOIN final f USING (c) LEFT JOIN summed s ON s.conv_id IS NOT DISTINCT FROM t.conv_id
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {"op4_heavy_hitter_dedup": EXACT_DEDUP, "op11_pivotal_grams": SPELLING, "op12_suffix_automaton": CONTAMINATION}
+    return {
+        "op4_heavy_hitter_dedup": EXACT_DEDUP,
+        "op11_pivotal_grams": SPELLING,
+        "op12_suffix_automaton": CONTAMINATION,
+        "op13_block_tables": CONVERSATIONS,
+    }

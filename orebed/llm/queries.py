@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orebed.llm import oracles as sql
 from orebed.llm import (
     arrow_ids,
+    block_repair,
     boosted_quality,
     heavy_dedup,
     html_lstm,
@@ -78,6 +79,10 @@ def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_automaton.report(docs, items, window=10)
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_block_lstm": page_text,
@@ -92,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_token_efficiency": secrets,
         "op11_pivotal_grams": spelling,
         "op12_suffix_automaton": contamination,
+        "op13_block_tables": conversations,
     }
 
 
