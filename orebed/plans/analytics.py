@@ -190,17 +190,14 @@ def category_pivot(
         )
         for name, c in categories.items()
     ]
-    # Items meet the bridge on the order and shrink to one row per state and product, which
-    # alone meets the products; then the pivot over one row per state and category.
-    per_product = (
-        items.join(_state_per_order(orders, customers, key), "order_id")
-        .groupBy("customer_state", "product_id")
-        .agg(F.sum("price").alias("_revenue"), F.count("order_id").alias("_items"))
-    )
+    # Facts meet on the order, side by side where both are bucketed by it, and never as a broadcast;
+    # sums per state and category are taken on the map side, then the pivot over these few rows.
     per_category = (
-        per_product.join(products.select("product_id", "product_category_name"), "product_id")
+        items.select("order_id", "product_id", "price")
+        .join(_state_per_order(orders, customers, key).hint("merge"), "order_id")
+        .join(products.select("product_id", "product_category_name"), "product_id")
         .groupBy("customer_state", "product_category_name")
-        .agg(F.sum("_revenue").cast("decimal(38,9)").alias("_revenue"), F.sum("_items").alias("_items"))
+        .agg(F.sum("price").cast("decimal(38,9)").alias("_revenue"), F.count("order_id").alias("_items"))
     )
     states = per_category.groupBy("customer_state").agg(
         *revenue, F.sum("_items").alias("total_items")
@@ -226,7 +223,7 @@ def star_join(
     # The large sides first, on the order; the dimensions then meet one stream of items.
     groups = (
         items.select("order_id", "product_id", "seller_id", "price")
-        .join(_state_per_order(orders, customers, key), "order_id")
+        .join(_state_per_order(orders, customers, key).hint("merge"), "order_id")
         .join(products.select("product_id", "product_category_name"), "product_id")
         .join(sellers.select("seller_id", "seller_state"), "seller_id")
         .groupBy("customer_state", "seller_state", "product_category_name")

@@ -30,7 +30,9 @@ from orebed.sinks.audit import append_audit, audit_row
 @dataclass(frozen=True)
 class Model:
     """One model. ``columns`` names the input columns of each output column that is derived or
-    renamed, as ``{output: ("input.column", ...)}``; all others keep the name they have in an input."""
+    renamed, as ``{output: ("input.column", ...)}``; all others keep the name they have in an input.
+    Tables with the same ``bucket_by`` are written in as many buckets each, so that joins and
+    groups on that key read them side by side, without a shuffle."""
 
     name: str
     inputs: tuple[str, ...]
@@ -39,6 +41,7 @@ class Model:
     kind: str = "table"  # table, view or inline
     contract: T.StructType | None = None
     columns: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    bucket_by: str | None = None
 
 
 def _staging(name: str, entity: str) -> Model:
@@ -87,7 +90,11 @@ MODELS: tuple[Model, ...] = (
         },
     ),
     Model(
-        "fct_orders", ("int_orders_enriched",), gold.fct_orders, contract=FCT_ORDERS_CONTRACT
+        "fct_orders",
+        ("int_orders_enriched",),
+        gold.fct_orders,
+        contract=FCT_ORDERS_CONTRACT,
+        bucket_by="order_id",
     ),
     Model(
         "dim_customers",
@@ -110,6 +117,7 @@ MODELS: tuple[Model, ...] = (
             "order_item_id": ("stg_order_items.order_item_sequence",),
             "total_item_value": ("stg_order_items.price", "stg_order_items.freight_value"),
         },
+        bucket_by="order_id",
     ),
     Model(
         "mart_category_performance",
@@ -144,9 +152,16 @@ def build(
     run_id: str,
     audit: str | None = None,
     format: str = "parquet",
+    database: str = "gold",
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Materialise the models under ``target/{run_id}`` and return all of them by name.
 
+    Tables are catalog tables ``{database}.{model}``; a later run points the name at its own
+    folder, and readers that were planned before go on with theirs. Facts are written in
+    ``buckets`` buckets of their order, by default as many as the session has shuffle
+    partitions; choose so many that a bucket is about as large as a task should read.
+
     ``sources`` holds ``silver.{entity}`` frames, or staged frames under the names
     of staging models. Each table's contract is checked before it is written; the
     run log gets one row per model, with the error text if it failed. Tables with personal
@@ -168,8 +183,8 @@ def build(
                 path = f"{target.rstrip('/')}/{run_id}/{model.name}"
                 counted = Observation()
                 observed = df.observe(counted, F.count("*").alias("n"))
-                observed.write.mode("overwrite").format(format).save(path)
-                df = spark.read.format(format).load(path)
+                save_table(observed, f"{database}.{model.name}", path, format, model.bucket_by, buckets)
+                df = spark.table(f"{database}.{model.name}")
                 rows = counted.get["n"]
                 if model.name in PII_COLUMNS:
                     built[f"published_{model.name}"] = gold.publish(df, model.name)
@@ -201,6 +216,29 @@ def build(
     return built
 
 
+def save_table(
+    df: DataFrame,
+    name: str,
+    path: str,
+    format: str = "parquet",
+    bucket_by: str | None = None,
+    buckets: int | None = None,
+) -> None:
+    """Replace a catalog table by the rows of ``df``, written to a folder of its own.
+
+    With ``bucket_by`` every task writes one bucket, one file, sorted by that column. Formats that have a
+    layout of their own are not bucketed.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0] or 'default'}")
+    if bucket_by and format in ("parquet", "orc"):
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = df.repartition(n, bucket_by).write.bucketBy(n, bucket_by).sortBy(bucket_by)
+    else:
+        writer = df.write
+    writer.mode("overwrite").format(format).option("path", path).saveAsTable(name)
+
+
 def lineage_edges(spark: SparkSession, built: Mapping[str, DataFrame], run_id: str) -> DataFrame:
     """``(run_id, output, output_column, input, input_column)``: one row per input column of an
     output column, and one without columns per table-level edge."""

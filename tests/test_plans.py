@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from oracle import SF_DIR
 from orebed.operators.envelope import parse, split
-from orebed.plans import analytics, gold
+from orebed.plans import analytics, gold, models
 from orebed.plans.lake import Lake
+from orebed.plans.registry import CATEGORY, PIVOT, STAGED, STATES
 from orebed.session import durable, work_dir
 
 
@@ -117,3 +118,49 @@ def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert work_dir(spark, "x").startswith(root)
     assert durable(spark.range(3)).count() == 3
+
+
+@pytest.fixture(scope="module")
+def built(spark):
+    lake = Lake(spark, SF_DIR)
+    staged = {name: lake.staged(entity) for name, entity in STAGED.items()}
+    return models.build(spark, staged, work_dir(spark, "gold"), "plans", database="plans", buckets=6)
+
+
+def exchanges_of(plan: str, key: str) -> list[str]:
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and key in line.split("hashpartitioning(")[1].split(")")[0]]
+
+
+def test_facts_are_bucketed_tables_of_one_file_a_bucket(spark, built):
+    for name in ("fct_orders", "fct_order_items"):
+        about = {r.col_name.strip(): r.data_type for r in spark.sql(f"DESCRIBE EXTENDED plans.{name}").collect()}
+        assert about["Num Buckets"] == "6" and about["Bucket Columns"] == "[`order_id`]"
+        assert len(built[name].inputFiles()) == 6
+
+
+@pytest.mark.parametrize("query", ["q5", "q8", "q9", "rows per order"])
+def test_facts_meet_without_a_shuffle_on_the_order(built, large_tables, query):
+    """Orders and items of one bucket are read by one task: no exchange on the order, on either side."""
+    orders, items = built["fct_orders"], built["fct_order_items"]
+    # Dimensions small enough for a broadcast; facts never are.
+    people, products, sellers = (F.broadcast(built[t]) for t in ("dim_customers", "dim_products", "dim_sellers"))
+    if query == "q5":
+        df = analytics.orders_by_state_and_category(orders, people, items, products, STATES, CATEGORY)
+    elif query == "q8":
+        df = analytics.category_pivot(items, products, orders, people, PIVOT)
+    elif query == "q9":
+        df = analytics.star_join(orders, people, items, products, sellers)
+    else:
+        df = orders.join(items.groupBy("order_id").agg(F.sum("price")), "order_id", "left")
+    plan = text(df)
+    assert exchanges_of(plan, "order_id") == [] and plan.count("Bucketed: true") == 2
+    assert ("Exchange" in plan) == (query != "rows per order") and df.count() > 0
+
+
+def test_a_later_build_replaces_the_table_not_its_readers(spark):
+    first, second = spark.range(5).toDF("order_id"), spark.range(3).toDF("order_id")
+    models.save_table(first, "plans.swapped", work_dir(spark, "swap"), bucket_by="order_id", buckets=2)
+    reader = spark.table("plans.swapped")
+    assert reader.count() == 5
+    models.save_table(second, "plans.swapped", work_dir(spark, "swap"), bucket_by="order_id", buckets=3)
+    assert reader.count() == 5 and spark.table("plans.swapped").count() == 3
