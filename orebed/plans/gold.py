@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orebed.operators.governance import mask_tagged, tag_table
 from orebed.operators.latest import keep_latest
+from orebed.sinks.clustered import Layout
 
 # Column names of the published tables.
 _PAYMENT_METRICS = ("total_payment_sequences", "total_payment_value", "max_payment_installments")
@@ -237,3 +238,25 @@ def write_sales_aggregate(
 def publish(df: DataFrame, table: str, mode: str = "prefix") -> DataFrame:
     """The table as consumers see it: every column flagged as personal is masked."""
     return mask_tagged(tag_table(df, table), mode)
+
+
+#: How the item facts with their orders are laid out for questions about days, customers and products.
+SALES_LAYOUT = Layout(ranges=("order_date",), lookups=("customer_unique_id", "product_id"))
+
+
+def sales_facts(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per item with the day and the customer of its order."""
+    bought = orders.select(
+        "order_id", "customer_unique_id", F.to_date("order_purchase_timestamp").alias("order_date"), "order_status"
+    )
+    return items.join(bought.hint("merge"), "order_id").select(
+        "order_date",
+        "customer_unique_id",
+        "product_id",
+        "seller_id",
+        "order_id",
+        "order_item_id",
+        "order_status",
+        "price",
+        "freight_value",
+    )

@@ -739,6 +739,17 @@ def _runs(out: dict[str, str]) -> dict[str, str]:
           WHERE review_comment_title = 'error'""",
         "gold_build": gold_rows,
         "gold_published": out["fct_orders_masked"],
+        "gold_time_range": f"""
+          SELECT CAST(CAST(order_purchase_timestamp AS DATE) AS VARCHAR) AS order_date, COUNT(DISTINCT order_id) AS orders,
+            COUNT(*) AS items, {money('SUM(price)')} AS revenue
+          FROM g_orders JOIN f_order_item USING (order_id)
+          WHERE CAST(order_purchase_timestamp AS DATE) BETWEEN DATE '1995-03-01' AND DATE '1995-06-30' GROUP BY 1""",
+        "gold_customer_range": f"""
+          SELECT customer_unique_id, CAST(CAST(order_purchase_timestamp AS DATE) AS VARCHAR) AS order_date, order_id,
+            order_item_id, product_id, {money('price')} AS price
+          FROM g_orders JOIN f_order_item USING (order_id)
+          WHERE CAST(order_purchase_timestamp AS DATE) >= DATE '1995-03-01' AND customer_unique_id IN (
+            SELECT customer_unique_id FROM g_places ORDER BY customer_unique_id LIMIT 11)""",
         "audit_log": f"""
           SELECT pipeline_stage, CAST(p AS BIGINT) AS rows_processed, CAST(f AS BIGINT) AS rows_failed,
             CASE WHEN f = 0 THEN 'success' WHEN p > 0 THEN 'partial' ELSE 'failed' END AS status FROM ({done})""",

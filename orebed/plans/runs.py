@@ -25,6 +25,7 @@ from orebed.plans.registry import (
     run_silver,
 )
 from orebed.session import work_dir
+from orebed.sinks import clustered
 from orebed.sinks.audit import append_audit, audit_row, read_audit
 from orebed.sinks.topics import write_topics
 from orebed.sources.bronze import read_bronze
@@ -208,6 +209,40 @@ def _(lake):
     return lake.spark.table("published_fct_orders")
 
 
+def _sales(lake) -> str:
+    """The clustered sales facts of the whole tables, under a name of their own."""
+    orders = lake.fct_orders("order_id", "customer_unique_id", "order_purchase_timestamp", "order_status")
+    path = work_dir(lake.spark, "sales")
+    name = f"gold.sales_{path.rpartition('-')[2]}"
+    clustered.write_clustered(gold.sales_facts(orders, lake.fct_order_items()), name, path, gold.SALES_LAYOUT)
+    return name
+
+
+#: What is asked of the clustered facts.
+DAYS, CUSTOMERS = (date(1995, 3, 1), date(1995, 6, 30)), tuple(range(1, 12))
+
+
+@register("gold_time_range")
+def _(lake):
+    """Sales per day of four months, read from the zones that hold such days."""
+    sales = clustered.read_clustered(lake.spark, _sales(lake), gold.SALES_LAYOUT, between={"order_date": DAYS})
+    return sales.groupBy("order_date").agg(
+        F.countDistinct("order_id").alias("orders"), F.count("*").alias("items"), F.sum("price").alias("revenue")
+    )
+
+
+@register("gold_customer_range")
+def _(lake):
+    """Items that eleven people bought since a day, newest first: both columns choose the zones."""
+    people = lake.customer_places().select("customer_unique_id")
+    wanted = [r[0] for r in people.orderBy("customer_unique_id").limit(len(CUSTOMERS)).collect()]
+    sales = clustered.read_clustered(
+        lake.spark, _sales(lake), gold.SALES_LAYOUT, {"order_date": (DAYS[0], None)}, {"customer_unique_id": wanted}
+    )
+    columns = ["customer_unique_id", "order_date", "order_id", "order_item_id", "product_id", "price"]
+    return sales.select(*columns).orderBy(F.desc("order_date"), "order_id", "order_item_id")
+
+
 @register("model_run_log")
 def _(lake):
     audit = work_dir(lake.spark, "runs")
