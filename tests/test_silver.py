@@ -160,31 +160,72 @@ def test_batches_after_a_rebuild_show_whatever_their_number(spark, table):
     assert state(table) == {"a": "new", "b": "rebuilt", "c": "new"}
 
 
-def test_compaction_changes_no_rows(spark, table):
-    table.rebuild(rows(spark, *[(f"k{i}", "x", "1") for i in range(50)]))
-    expected = {f"k{i}": "x" for i in range(50)}
-    for v in range(2, 7):
+def files(tmp_path):
+    return {p: p.stat().st_mtime_ns for p in (tmp_path / "rows").rglob("*.parquet")}
+
+
+def test_a_batch_rewrites_its_buckets_whatever_came_before(spark, table, tmp_path):
+    table.rebuild(rows(spark, *[(f"k{i}", "x", "1") for i in range(200)]))
+    expected, counts = {f"k{i}": "x" for i in range(200)}, []
+    for v in range(2, 9):
+        before = files(tmp_path)
         table.upsert(rows(spark, (f"k{v}", f"v{v}", str(v)), ("all", f"v{v}", str(v))), "s", v)
         expected |= {f"k{v}": f"v{v}", "all": f"v{v}"}
-        if v == 4:
-            table.compact()
         assert state(table) == expected
-    table.compact()
-    assert state(table) == expected
-    # A batch that is repeated after the compaction that took it in adds nothing, a new one does.
-    table.upsert(rows(spark, ("k6", "v6", "6"), ("all", "v6", "6")), "s", 6)
-    assert state(table) == expected and table.read().count() == 51
-    table.upsert(rows(spark, ("k6", "v7", "7")), "replay", 6)
-    assert state(table) == expected | {"k6": "v7"}
+        after = files(tmp_path)
+        counts.append(len(after))
+        # Two keys lie in two folders at most: all other files are the same ones as before.
+        folders = {p.parent for p in after if before.get(p) != after[p]}
+        assert 1 <= len(folders) <= 2
+    # One file a bucket, and one staged batch, however many batches there were.
+    assert set(counts) == {table.buckets}
+    staged = spark.read.parquet(f"{table.root}/staged")
+    assert staged.select(table.bucket).distinct().count() <= 2
+
+
+@pytest.mark.parametrize("lost", ["before", "between"])
+def test_a_batch_that_fails_is_finished_when_it_is_repeated(spark, table, tmp_path, monkeypatch, lost):
+    """The write of the folders fails, before it begins or with one folder gone; then the batch comes again."""
+    table.rebuild(rows(spark, *[(f"k{i}", "x", "1") for i in range(60)]))
+    batch = rows(spark, ("k1", "new", "2"), ("k2", "old", "0"), ("n", "new", "2"))
+
+    def fail(staged, mode):
+        if lost == "between":
+            bucket = staged.select(table.bucket).first()[0]
+            for p in (tmp_path / "rows" / f"{table.bucket}={bucket}").iterdir():
+                p.unlink()
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(table, "_replace", fail)
+        with pytest.raises(RuntimeError):
+            table.upsert(batch, "s", 3)
+    again = KeyedTable(spark, str(tmp_path), ["seller_id"], latest_order)
+    again.upsert(batch, "s", 3)
+    assert state(again) == {f"k{i}": "x" for i in range(60)} | {"k1": "new", "n": "new"}
+
+
+def test_the_number_of_buckets_belongs_to_the_table(spark, table, tmp_path):
+    table.rebuild(rows(spark, ("a", "a1", "1")))
+    other = KeyedTable(spark, str(tmp_path), ["seller_id"], latest_order, buckets=8)
+    with pytest.raises(ValueError, match="8 buckets"):
+        other.upsert(rows(spark, ("a", "a2", "2")), "s", 0)
+
+
+def test_an_empty_batch_changes_nothing(spark, table):
+    table.upsert(rows(spark, ("a", "a1", "1")).limit(0), "s", 0)
+    assert state(table) == {}
+    table.upsert(rows(spark, ("a", "a1", "1")), "s", 1)
+    table.upsert(rows(spark, ("a", "a1", "1")).limit(0), "s", 2)
+    assert state(table) == {"a": "a1"}
 
 
 def test_columns_may_be_added(spark, table):
     table.upsert(rows(spark, ("a", "a1", "1"), ("b", "b1", "1")), "s", 0)
     table.upsert(rows(spark, ("a", "a2", "2")).withColumn("seller_state", F.lit("RJ")), "s", 1)
-    for _ in range(2):
-        found = {r.seller_id: (r.seller_city, r.seller_state) for r in table.read().collect()}
-        assert found == {"a": ("a2", "RJ"), "b": ("b1", None)}
-        table.compact()
+    table.upsert(rows(spark, ("b", "late", "0")), "s", 2)
+    found = {r.seller_id: (r.seller_city, r.seller_state) for r in table.read().collect()}
+    assert found == {"a": ("a2", "RJ"), "b": ("b1", None)}
 
 
 def test_rebuild_drops_rows_that_are_gone(spark, table):

@@ -143,7 +143,6 @@ def test_silver_takes_its_entity_and_keeps_the_rest_aside(spark, topics, tmp_pat
 def test_silver_after_a_rebuild_and_a_replay(spark, topics, tmp_path):
     table = silver_table(spark, str(tmp_path / "silver"), "seller")
     run_silver(spark, topics, tmp_path, table)
-    table.compact()
     table.rebuild(table.read().where("seller_id <> 'c'"))
     put(topics, "8.json", [message("d", "d1", "2024-01-03T10:00:00Z")])
     found = run_silver(spark, topics, tmp_path, table, "offsets-2")
