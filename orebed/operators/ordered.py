@@ -1,9 +1,9 @@
 """Order-dependent operators without a single-task window.
 
-A global rank or an exact quantile of a large group needs the total order of the
-values. Here the values are reduced to distinct ones, range-partitioned, and each
-range's position is found from the small table of range sizes.
-There is one path, whatever the size: a small input is one small range.
+A global rank needs the total order of the values: these are reduced to distinct ones and
+range-partitioned, and each range's position is found from the small table of range sizes.
+An exact quantile needs the values around one rank only: these are selected between bounds
+that a sketch gives. There is one path each, whatever the size.
 """
 
 from __future__ import annotations
@@ -56,95 +56,81 @@ def top_by_rank(df: DataFrame, value: str, tie: str, n: int, rank: str = "rank")
 
 
 def exact_percentiles(
-    df: DataFrame, groups: Sequence[str], metrics: Mapping[str, tuple[str, float]]
+    df: DataFrame,
+    groups: Sequence[str],
+    metrics: Mapping[str, tuple[str, float]],
+    accuracy: int = 10_000,
 ) -> DataFrame:
-    """Exact interpolated percentiles per group: ``{alias: (column, p)}``.
-
-    All metrics are read in one pass, reduced to counts of distinct values before
-    the shuffle and range-partitioned on (group, metric, value), so a large group
-    is spread over as many partitions as its values need. Values keep their type:
-    there is one value column per type, of which a row fills one.
+    """Exact interpolated percentiles per group, by selection: ``{alias: (column, p)}``.
+
+    A first pass keeps a sketch per group and brackets every wanted rank between two values
+    about 8 / accuracy of the rows apart. A second pass counts what lies below a bracket and
+    keeps the values inside it, as counts of distinct ones; the wanted ranks are found among these.
+    Neither pass shuffles the values outside, whatever a group's size, and the sketches'
+    errors cannot reach the result: ranks come from counts, and one outside its bracket is an
+    error. ``df`` is read twice. Values keep their type: there is one value column per
+    type, of which a row fills one; a column must be readable as a double.
     """
     types = {alias: df.select(c).schema[0].dataType.simpleString() for alias, (c, _) in metrics.items()}
     kinds = list(dict.fromkeys(types.values()))
     values = [f"_value{i}" for i in range(len(kinds))]
-    pairs = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(alias).alias("_metric"),
-                    *[
-                        (F.col(c) if types[alias] == kind else F.lit(None)).cast(kind).alias(value)
-                        for kind, value in zip(kinds, values, strict=True)
-                    ],
-                )
-                for alias, (c, _) in metrics.items()
-            ]
-        )
-    )
+    reach = 4 / accuracy
+    ends = {alias: [max(0.0, p - reach), min(1.0, p + reach)] for alias, (_, p) in metrics.items()}
+    brackets = [
+        F.struct(
+            F.count(c).alias("total"), F.percentile_approx(F.col(c).cast("double"), ends[alias], accuracy).alias("ends")
+        ).alias(f"_{alias}")
+        for alias, (c, _) in metrics.items()
+    ]
+    names = [F.col(g).alias(f"_group{i}") for i, g in enumerate(groups)]
+    # One row per group, written: joined as a broadcast or not by its true size.
+    found = durable(df.groupBy(*names).agg(*brackets))
+    same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"_group{i}")) for i, g in enumerate(groups)], F.lit(True))
+
+    def placed(alias: str, column: str) -> Column:
+        """Side of the bracket (-1 below, 0 inside, 1 above, 2 NULL), and the value."""
+        near, (low, high) = F.col(column).cast("double"), (F.col(f"_{alias}.ends")[i] for i in (0, 1))
+        side = F.when(near.isNull(), 2).when(near < low, -1).when(near > high, 1).otherwise(0)
+        own = [(F.col(column) if types[alias] == k else F.lit(None)).cast(k).alias(v) for k, v in zip(kinds, values, strict=True)]
+        return F.struct(F.lit(alias).alias("_metric"), side.alias("_side"), F.col(f"_{alias}.total").alias("_total"), *own)
+
+    pairs = F.explode(F.array(*[placed(alias, c) for alias, (c, _) in metrics.items()]))
     keys = [*groups, "_metric"]
+    inside = [F.when(F.col("_side") == 0, F.col(v)).alias(f"{v}_in") for v in values]
     counts = (
-        df.select(*groups, pairs.alias("_pair"))
+        df.join(found, same)
+        .select(*groups, pairs.alias("_pair"))
         .select(*groups, "_pair.*")
-        .groupBy(*keys, *values)
-        .agg(F.count("*").alias("_n"))
-    )
-    ranged = durable(
-        counts.repartitionByRange(*keys, *values).withColumn("_part", F.spark_partition_id())
-    )
-    # One row per (group, metric, range), written too: the optimizer then knows its
-    # size and broadcasts it where it is small instead of shuffling the counts again.
-    series = Window.partitionBy(*keys)
-    before = series.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    probability = reduce(
-        lambda column, item: column.when(F.col("_metric") == item[0], F.lit(item[1][1])),
-        metrics.items(),
-        F,
-    )
-    known = reduce(Column.__or__, [F.col(v).isNotNull() for v in values])
-    parts = durable(
-        ranged.groupBy(*keys, "_part")
-        .agg(F.sum(F.when(known, F.col("_n")).otherwise(0)).alias("_size"))
-        .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .withColumn("_total", F.sum("_size").over(series))
-        .withColumn("_position", probability * (F.col("_total") - 1))
-        .withColumn("_low", F.floor("_position"))
-        .withColumn("_high", F.ceil("_position"))
-    )
-
-    end = F.col("_start") + F.col("_size")
-    holds = [(F.col("_start") <= F.col(c)) & (F.col(c) < end) for c in ("_low", "_high")]
-    targets = parts.where(holds[0] | holds[1]).select(
-        *[F.col(c).alias(f"_t{c}") for c in (*keys, "_part")], "_start", "_position", "_low", "_high"
+        .groupBy(*keys, "_side", *inside)
+        .agg(
+            F.count("*").alias("_n"),
+            F.max("_total").alias("_total"),
+            # Of the rows below the nearest one counts, and of those above.
+            *[F.when(F.col("_side") == -1, F.max(v)).otherwise(F.min(v)).alias(v) for v in values],
+        )
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_t{c}")) for c in (*keys, "_part")]
-    running = Window.partitionBy(*keys, "_part").orderBy(*values)
-    rows = (
-        ranged.where(known)
-        .join(targets, same)
-        .withColumn("_end", F.col("_start") + F.sum("_n").over(running))
+    running = Window.partitionBy(*keys).orderBy("_side", *values)
+    end = F.sum("_n").over(running)
+    rows = counts.withColumn("_end", F.when(F.col("_side") == 1, end - F.col("_n") + 1).otherwise(end)).withColumn(
+        "_start", F.when(F.col("_side") == 0, F.col("_end") - F.col("_n")).otherwise(F.col("_end") - 1)
     )
     number = F.coalesce(*[F.col(v).cast("double") for v in values])
+    results = []
+    for alias, (_, p) in metrics.items():
+        own = (F.col("_metric") == alias) & (F.col("_side") != 2)
+        position = F.lit(p) * (F.col("_total") - 1)
 
-    def at(rank: str) -> Column:
-        inside = (F.col("_end") - F.col("_n") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
-        return F.max(F.when(inside, number))
+        def at(rank: Column, own: Column = own) -> Column:
+            return F.max(F.when(own & (F.col("_start") <= rank) & (rank < F.col("_end")), number))
 
-    weight = F.col("_position") - F.col("_low")
-    low, high = F.col("_at_low"), F.col("_at_high")
-    picked = (
-        rows.groupBy(*keys, "_position", "_low")
-        .agg(at("_low").alias("_at_low"), at("_high").alias("_at_high"))
+        where = F.max(F.when(own, position))
+        low, high, weight = at(F.floor(position)), at(F.ceil(position)), where - F.floor(where)
+        missed = where.isNotNull() & (low.isNull() | high.isNull())
         # A value met exactly is taken as it is, so that infinite ones stay.
-        .select(*keys, F.when(weight == 0, low).otherwise(low * (1 - weight) + high * weight).alias("_result"))
-    )
-    # Groups whose values are all NULL keep a row.
-    empty = parts.select(
-        *groups, F.lit(None).cast("string").alias("_metric"), F.lit(None).cast("double").alias("_result")
-    )
-    return picked.unionByName(empty).groupBy(*groups).agg(
-        *[F.max(F.when(F.col("_metric") == a, F.col("_result"))).alias(a) for a in metrics]
-    )
+        value = F.when(weight == 0, low).otherwise(low * (1 - weight) + high * weight)
+        problem = F.raise_error(F.lit(f"the rank of {alias} is outside its bracket: raise the accuracy")).cast("double")
+        results.append(F.when(missed, problem).otherwise(value).alias(alias))
+    return rows.groupBy(*groups).agg(*results)
 
 
 def approximate_percentiles(
