@@ -9,9 +9,8 @@ that a sketch gives. There is one path each, whatever the size.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orebed.session import durable
@@ -71,66 +70,62 @@ def exact_percentiles(
     error. ``df`` is read twice. Values keep their type: there is one value column per
     type, of which a row fills one; a column must be readable as a double.
     """
-    types = {alias: df.select(c).schema[0].dataType.simpleString() for alias, (c, _) in metrics.items()}
-    kinds = list(dict.fromkeys(types.values()))
+    types = [df.schema[c].dataType.simpleString() for c, _ in metrics.values()]
+    kinds = list(dict.fromkeys(types))
     values = [f"_value{i}" for i in range(len(kinds))]
     reach = 4 / accuracy
-    ends = {alias: [max(0.0, p - reach), min(1.0, p + reach)] for alias, (_, p) in metrics.items()}
+    # As SQL text: a plan of many small expressions is built in a fraction of the time.
     brackets = [
-        F.struct(
-            F.count(c).alias("total"), F.percentile_approx(F.col(c).cast("double"), ends[alias], accuracy).alias("ends")
-        ).alias(f"_{alias}")
-        for alias, (c, _) in metrics.items()
+        f"struct(count(`{c}`) AS total, percentile_approx(CAST(`{c}` AS DOUBLE), "
+        f"array({max(0.0, p - reach)!r}D, {min(1.0, p + reach)!r}D), {accuracy}) AS ends) AS _m{i}"
+        for i, (c, p) in enumerate(metrics.values())
     ]
     names = [F.col(g).alias(f"_group{i}") for i, g in enumerate(groups)]
     # One row per group, written: joined as a broadcast or not by its true size.
-    found = durable(df.groupBy(*names).agg(*brackets))
-    same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"_group{i}")) for i, g in enumerate(groups)], F.lit(True))
+    found = durable(df.groupBy(*names).agg(*map(F.expr, brackets)))
+    same = " AND ".join([f"`{g}` <=> _group{i}" for i, g in enumerate(groups)]) or "true"
 
-    def placed(alias: str, column: str) -> Column:
+    def placed(i: int, column: str) -> str:
         """Side of the bracket (-1 below, 0 inside, 1 above, 2 NULL), and the value."""
-        near, (low, high) = F.col(column).cast("double"), (F.col(f"_{alias}.ends")[i] for i in (0, 1))
-        side = F.when(near.isNull(), 2).when(near < low, -1).when(near > high, 1).otherwise(0)
-        own = [(F.col(column) if types[alias] == k else F.lit(None)).cast(k).alias(v) for k, v in zip(kinds, values, strict=True)]
-        return F.struct(F.lit(alias).alias("_metric"), side.alias("_side"), F.col(f"_{alias}.total").alias("_total"), *own)
+        near = f"CAST(`{column}` AS DOUBLE)"
+        side = f"CASE WHEN {near} IS NULL THEN 2 WHEN {near} < _m{i}.ends[0] THEN -1 WHEN {near} > _m{i}.ends[1] THEN 1 ELSE 0 END"
+        pairs = zip(kinds, values, strict=True)
+        own = [f"CAST({f'`{column}`' if types[i] == kind else 'NULL'} AS {kind}) AS {value}" for kind, value in pairs]
+        return f"struct({i} AS _metric, {side} AS _side, _m{i}.total AS _total, {', '.join(own)})"
 
-    pairs = F.explode(F.array(*[placed(alias, c) for alias, (c, _) in metrics.items()]))
+    each = ", ".join(placed(i, c) for i, (c, _) in enumerate(metrics.values()))
     keys = [*groups, "_metric"]
-    inside = [F.when(F.col("_side") == 0, F.col(v)).alias(f"{v}_in") for v in values]
+    inside = [F.expr(f"CASE WHEN _side = 0 THEN {v} END AS {v}_in") for v in values]
+    # Of the rows below a bracket the nearest one counts, and of those above.
+    nearest = [F.expr(f"CASE WHEN _side = -1 THEN max({v}) ELSE min({v}) END AS {v}") for v in values]
     counts = (
-        df.join(found, same)
-        .select(*groups, pairs.alias("_pair"))
-        .select(*groups, "_pair.*")
+        df.join(found, F.expr(same))
+        .select(*groups, F.expr(f"inline(array({each}))"))
         .groupBy(*keys, "_side", *inside)
-        .agg(
-            F.count("*").alias("_n"),
-            F.max("_total").alias("_total"),
-            # Of the rows below the nearest one counts, and of those above.
-            *[F.when(F.col("_side") == -1, F.max(v)).otherwise(F.min(v)).alias(v) for v in values],
-        )
+        .agg(F.expr("count(*) AS _n"), F.expr("max(_total) AS _total"), *nearest)
     )
     running = Window.partitionBy(*keys).orderBy("_side", *values)
-    end = F.sum("_n").over(running)
-    rows = counts.withColumn("_end", F.when(F.col("_side") == 1, end - F.col("_n") + 1).otherwise(end)).withColumn(
-        "_start", F.when(F.col("_side") == 0, F.col("_end") - F.col("_n")).otherwise(F.col("_end") - 1)
-    )
-    number = F.coalesce(*[F.col(v).cast("double") for v in values])
-    results = []
-    for alias, (_, p) in metrics.items():
-        own = (F.col("_metric") == alias) & (F.col("_side") != 2)
-        position = F.lit(p) * (F.col("_total") - 1)
-
-        def at(rank: Column, own: Column = own) -> Column:
-            return F.max(F.when(own & (F.col("_start") <= rank) & (rank < F.col("_end")), number))
-
-        where = F.max(F.when(own, position))
-        low, high, weight = at(F.floor(position)), at(F.ceil(position)), where - F.floor(where)
-        missed = where.isNotNull() & (low.isNull() | high.isNull())
+    rows = counts.select(*keys, "_side", "_total", *values, "_n", F.sum("_n").over(running).alias("_sum"))
+    # Ranks that a row covers: one below and one above the bracket, as many as are equal inside it.
+    first = "CASE _side WHEN -1 THEN _sum - 1 ELSE _sum - _n END"
+    last = "CASE _side WHEN 1 THEN _sum - _n ELSE _sum - 1 END"
+    number = f"coalesce({', '.join(f'CAST({v} AS DOUBLE)' for v in values)})"
+    wanted, results = [], []
+    for i, (alias, (_, p)) in enumerate(metrics.items()):
+        own, position = f"_metric = {i} AND _side <> 2", f"({p!r}D * (_total - 1))"
+        for end, rank in (("low", f"floor({position})"), ("high", f"ceil({position})")):
+            wanted.append(f"max(CASE WHEN {own} AND {rank} BETWEEN {first} AND {last} THEN {number} END) AS _{end}{i}")
+        wanted.append(f"max(CASE WHEN {own} THEN {position} END) AS _at{i}")
+        low, high, weight = f"_low{i}", f"_high{i}", f"(_at{i} - floor(_at{i}))"
         # A value met exactly is taken as it is, so that infinite ones stay.
-        value = F.when(weight == 0, low).otherwise(low * (1 - weight) + high * weight)
-        problem = F.raise_error(F.lit(f"the rank of {alias} is outside its bracket: raise the accuracy")).cast("double")
-        results.append(F.when(missed, problem).otherwise(value).alias(alias))
-    return rows.groupBy(*groups).agg(*results)
+        results.append(
+            F.expr(
+                f"CASE WHEN _at{i} IS NOT NULL AND ({low} IS NULL OR {high} IS NULL)"
+                " THEN CAST(raise_error('a rank is outside its bracket: raise the accuracy') AS DOUBLE)"
+                f" WHEN {weight} = 0 THEN {low} ELSE {low} * (1 - {weight}) + {high} * {weight} END"
+            ).alias(alias)
+        )
+    return rows.groupBy(*groups).agg(*map(F.expr, wanted)).select(*groups, *results)
 
 
 def approximate_percentiles(
