@@ -106,12 +106,13 @@ def _signatures(words: int, trees: int):
                 [
                     batch.column("doc_id"),
                     batch.column("name"),
+                    batch.column("key"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.string()),
                     pa.array(heads, lists),
                     pa.array(tails, lists),
                 ],
-                names=["doc_id", "name", "n_shingles", "digest", "heads", "tails"],
+                names=["doc_id", "name", "key", "n_shingles", "digest", "heads", "tails"],
             )
 
     return run
@@ -169,7 +170,7 @@ def _verify(words: int, percent: int):
                     region, held = key, {}
                 if digest not in held:
                     found = shingles(text.as_py(), words)
-                    if set_digest(found) == digest:  # else another text with the same doc_id
+                    if set_digest(found) == digest:  # the row's own text, whatever the input gives on its second read
                         held[digest] = found
         yield links()
 
@@ -182,7 +183,7 @@ def _sets(words: int):
             rows, sets = [], []
             for i, (digest, text) in enumerate(zip(batch.column("digest").to_pylist(), batch.column("text"), strict=True)):
                 found = shingles(text.as_py(), words)
-                if set_digest(found) == digest:  # else another text with the same doc_id
+                if set_digest(found) == digest:  # the row's own text, whatever the input gives on its second read
                     rows.append(i)
                     sets.append(found.view(np.int64))
             kept = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("digest", "home")]
@@ -191,10 +192,21 @@ def _sets(words: int):
     return run
 
 
+def with_text(wanted: DataFrame, rows: DataFrame) -> DataFrame:
+    """Each wanted row, all of different keys, with the text of one of the rows (key, text) of its key.
+
+    A key is a digest of doc_id and text, so rows without a doc_id, or with the same one, do not
+    meet each other; of rows that repeat both, one is taken.
+    """
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    return wanted.join(rows, "key").withColumn("nth", nth).where("nth = 1").drop("nth")
+
+
 def dense_links(dense: DataFrame, labels: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame | None:
     """All links (a, b) between different components of regions larger than SPAN; None if there is no such region.
 
-    dense holds these regions' rows (tree, head, digest, first), labels the components so far.
+    dense holds these regions' rows (tree, head, digest, key), labels the components so far,
+    rows the texts by key.
     Shingles are ordered by their number of sets, rarest first. Of two linked sets of sizes
     m and n at least o = percent (m + n) / (100 + percent) shingles are shared, so the first
     shared one has o - 1 shingles behind it in both sets. Passages that a whole region shares
@@ -204,13 +216,12 @@ def dense_links(dense: DataFrame, labels: DataFrame, rows: DataFrame, words: int
     homes = dense.join(labels.select(F.col("node").alias("digest"), "component"), "digest", "left")
     homes = durable(homes.withColumn("home", F.coalesce("component", "digest")).drop("component"))
     mixed = homes.groupBy("tree", "head").agg(F.min("home").alias("low"), F.max("home").alias("high")).where("low != high")
-    # At most one region per SPAN rows of the trees.
-    wanted = homes.join(F.broadcast(mixed.select("tree", "head")), ["tree", "head"], "left_semi")
-    wanted = durable(wanted.select("digest", "first", F.xxhash64("home").alias("home")).distinct())
+    wanted = homes.join(mixed.select("tree", "head"), ["tree", "head"], "left_semi")
+    wanted = durable(wanted.select("digest", "key", F.xxhash64("home").alias("home")).distinct())
     if wanted.isEmpty():
         return None
-    texts = wanted.join(rows, F.col("first").eqNullSafe(F.col("doc_id"))).select("digest", "home", "text")
-    sets = texts.mapInArrow(_sets(words), "digest string, home long, tokens array<long>").dropDuplicates(["digest"])
+    sets = with_text(wanted, rows).select("digest", "home", "text")
+    sets = sets.mapInArrow(_sets(words), "digest string, home long, tokens array<long>").dropDuplicates(["digest"])
     sets = durable(sets.withColumn("node", F.monotonically_increasing_id()))
     tokens = sets.select("node", "home", F.size("tokens").cast("long").alias("size"), F.explode("tokens").alias("token"))
     counts = durable(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
@@ -240,17 +251,24 @@ def _grouped(named_rows: DataFrame, words: int, percent: int) -> DataFrame:
     component is a digest that names the group of a row, component_id its smallest doc_id;
     both and digest are null for texts without words.
     """
-    rows = named_rows.select("doc_id", "text")
+    written = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
+    named_rows = named_rows.withColumn("key", F.md5(written.cast("binary")))
+    rows = named_rows.select("key", "text")
     trees = trees_for(percent / 100)
-    schema = "doc_id long, name string, n_shingles long, digest string, heads array<long>, tails array<long>"
+    schema = "doc_id long, name string, key string, n_shingles long, digest string, heads array<long>, tails array<long>"
     signed = durable(named_rows.mapInArrow(_signatures(words, trees), schema))
     classes = durable(
         signed.where("digest is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("first"), F.first("heads").alias("heads"), F.first("tails").alias("tails"))
+        .agg(
+            F.min("doc_id").alias("first"),
+            F.min("key").alias("key"),
+            F.first("heads").alias("heads"),
+            F.first("tails").alias("tails"),
+        )
     )
-    placed = classes.select("digest", "first", F.posexplode(F.arrays_zip("heads", "tails")).alias("tree", "path"))
-    placed = placed.select("digest", "first", "tree", F.col("path.heads").alias("head"), F.col("path.tails").alias("tail"))
+    placed = classes.select("digest", "key", F.posexplode(F.arrays_zip("heads", "tails")).alias("tree", "path"))
+    placed = placed.select("digest", "key", "tree", F.col("path.heads").alias("head"), F.col("path.tails").alias("tail"))
     regions = durable(placed.groupBy("tree", "head").agg(F.count("*").alias("n")).where("n > 1"))
     near = placed.join(regions, ["tree", "head"])
     order = ["tree", "head", "tail", "digest"]
@@ -266,14 +284,14 @@ def _grouped(named_rows: DataFrame, words: int, percent: int) -> DataFrame:
     block = F.floor(F.col("rank") / SPAN).cast("long")
     reaches = F.col("rank") % SPAN + F.col("n") > SPAN  # the region may go on in the next block
     blocks = F.when(reaches, F.array(block, block + 1)).otherwise(F.array(block))
-    wanted = ranked.groupBy("digest", "first").agg(
+    wanted = ranked.groupBy("digest", "key").agg(
         F.flatten(F.collect_list(F.transform(blocks, lambda b: F.struct(b.alias("block"), "tree", "head")))).alias("places")
     )
-    texts = wanted.join(rows, F.col("first").eqNullSafe(F.col("doc_id"))).select("digest", "text", F.explode("places").alias("p"))
+    texts = with_text(wanted, rows).select("digest", "text", F.explode("places").alias("p"))
     texts = texts.select(F.col("p.block").alias("block"), F.col("p.tree").alias("tree"), F.col("p.head").alias("head"), "digest", "text")
     dealt = texts.repartition("block").sortWithinPartitions("block", "tree", "head", "digest")
     labels = components(durable(dealt.mapInArrow(_verify(words, percent), "a string, b string")), "string")
-    dense = sorted_rows.where(F.col("n") > SPAN).select("tree", "head", "digest", "first")
+    dense = sorted_rows.where(F.col("n") > SPAN).select("tree", "head", "digest", "key")
     further = dense_links(dense, labels, rows, words, percent)
     if further is not None and not further.isEmpty():
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(further), "string")

@@ -107,6 +107,27 @@ def test_near_copies_match_all_pairs(spark, words, percent):
     assert all(r["n_shingles"] == len(sets[r["doc_id"]]) and r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+@pytest.mark.parametrize("ids", ["null", "one"])
+def test_near_copies_without_ids_meet_only_themselves(spark, monkeypatch, ids):
+    rng = random.Random(9)
+    texts = []
+    for _ in range(700):
+        text = [f"w{rng.randint(0, 10**6)}" for _ in range(60)]
+        texts += [" ".join(text), " ".join([*text[:-1], "z"]), " ".join([*text[:-1], "z"])]
+    read = []
+    real = lsh_forest.with_text
+
+    def counting(wanted, rows):
+        out = real(wanted, rows)
+        read.append((wanted.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(lsh_forest, "with_text", counting)
+    df = spark.createDataFrame([(None if ids == "null" else 7, t) for t in texts], "doc_id long, text string").repartition(4)
+    assert lsh_forest.drop_near(df, 3, 85).count() == 700
+    assert read == [(1400, 1400)]  # one text a class, however often it is there
+
+
 def test_near_copies_across_blocks(spark, monkeypatch):
     monkeypatch.setattr(lsh_forest, "SPAN", 16)
     rng = random.Random(2)
