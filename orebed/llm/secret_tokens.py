@@ -2,7 +2,9 @@
 
 Ordinary words take few tokens of a byte-pair vocabulary, random strings many. Runs of key
 characters with a low number of characters per token are marked, unless they are known
-digests (hexadecimal of a hash's length), UUIDs, numbers or identifiers made of words.
+digests (hexadecimal of a hash's length), UUIDs, numbers or identifiers made of several words.
+Runs of letters alone are judged by that number like all others: random ones have about 1.5,
+words and camel case more than 2.1. Where a base span covers a part of a run, what it leaves is judged.
 """
 
 from __future__ import annotations
@@ -52,9 +54,9 @@ def ranks(path: str):
 def is_random(run: str, encoding) -> bool:
     """Whether a run of key characters is a random string and no digest or identifier."""
     core = run.strip("=-_/+")
-    if len(core) < SHORTEST or not any(c.isdigit() for c in core) or not any(c.isalpha() for c in core):
+    if len(core) < SHORTEST or not any(c.isalpha() for c in core):
         return False
-    if _UUID.fullmatch(core) or _WORDS.fullmatch(core):
+    if _UUID.fullmatch(core) or (not core.isalpha() and _WORDS.fullmatch(core)):
         return False
     if _HEXADECIMAL.fullmatch(core) and len(core) in DIGESTS:
         return False
@@ -73,15 +75,47 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def uncovered(start: int, end: int, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The stretches of start to end outside all spans, which are sorted by start."""
+    for a, _, b in spans:
+        if b > start and a < end:
+            if a > start:
+                yield start, a
+            start = b
+    if start < end:
+        yield start, end
+
+
+def _goes_on(text: str, start: int, end: int, run: re.Match, base: list) -> bool:
+    """Whether a letter or digit of the stretch adjoins a key that a base span covers in part."""
+    for a, kind, b in base:
+        joins = (b == start and text[start].isalnum()) or (a == end and text[end - 1].isalnum())
+        if joins and kind and run.start() <= a and b <= run.end():
+            return True
+    return False
+
+
 def all_spans(text: str, encoding) -> tuple[list, list]:
-    """Base spans, and these with the random runs that do not overlap one of them."""
+    """Base spans, and these with the random runs outside them.
+
+    Of a run that meets base spans, each uncovered stretch counts if it is random by itself, or
+    if the run is and the stretch goes on directly where a key or hexadecimal span ends or begins.
+    """
     base = base_spans(text)
     extra = []
     if any(len(piece) >= SHORTEST for piece in text.split()):
         for m in _RUN.finditer(text):
-            clear = not any(a < m.end() and m.start() < b for a, _, b in base)
-            if clear and is_random(m[0], encoding):
-                extra.append((m.start(), 3, m.end()))
+            rest = list(uncovered(m.start(), m.end(), base))
+            if rest == [m.span()]:
+                rest = rest if is_random(m[0], encoding) else []
+            elif rest:
+                whole = is_random(m[0], encoding)
+                rest = [
+                    (a, b)
+                    for a, b in rest
+                    if (whole and _goes_on(text, a, b, m, base)) or is_random(text[a:b], encoding)
+                ]
+            extra += [(a, 3, b) for a, b in rest]
     return base, sorted(base + extra)
 
 

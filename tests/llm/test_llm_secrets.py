@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import string
 
 import public_tokenizers
 import pytest
@@ -41,6 +42,9 @@ def test_base_spans_match_the_patterns():
         ("123e4567-e89b-12d3-a456-426614174000", False),
         ("some_long_identifier_name_2", False),
         ("internationalization", False),
+        ("getUserAccountDetailsFromRequestContext", False),
+        ("Donaudampfschifffahrtsgesellschaft", False),
+        ("build-2021-04-03-12-30-00-07", False),
         ("12345678901234567890", False),
     ],
 )
@@ -48,6 +52,60 @@ def test_random_strings(run, random_string):
     assert secret_tokens.is_random(run, secret_tokens.ranks(RANKS)) is random_string
 
 
+@pytest.mark.parametrize("alphabet", [string.ascii_letters, string.ascii_uppercase, string.ascii_lowercase])
+def test_random_letters_are_marked(alphabet):
+    rng = random.Random(11)
+    encoding = secret_tokens.ranks(RANKS)
+    keys = ["".join(rng.choice(alphabet) for _ in range(40)) for _ in range(500)]
+    assert sum(secret_tokens.is_random(k, encoding) for k in keys) >= 490  # a few of lower case alone come apart into long tokens
+
+
+def test_rest_of_a_run_that_a_base_span_covers_in_part():
+    encoding = secret_tokens.ranks(RANKS)
+    digits, tail = "0123456789abcdef" * 2, "Zx8Qp2Lm9Rt4Vw7Ky1Bn5GhJkQ"
+    spans = lambda text: secret_tokens.joined(secret_tokens.all_spans(text, encoding)[1])
+    assert spans(f"k {digits}{tail}") == "hex:2:34,random:34:60"
+    assert spans(f"k {digits}Zx8Qp") == "hex:2:34,random:34:39"
+    assert spans(f"sha256={digits}") == "hex:7:39"  # a name before the digits is no key
+    assert spans(f"{tail}{digits}") == "random:0:26,hex:26:58"
+    assert spans(f"my_password={tail}") == "assign:3:38"
+
+
+def by_letters(text, encoding):
+    """The random spans once more, by a mark per character and every cut of the text."""
+    base = by_hand(text)
+    covered = [any(a <= i < b for a, _, b in base) for i in range(len(text))]
+    key, found = re.compile(r"[A-Za-z0-9+/_=-]"), []
+    i = 0
+    while i < len(text):
+        j = i
+        while j < len(text) and key.match(text[j]):
+            j += 1
+        if j - i >= 20:
+            whole = secret_tokens.is_random(text[i:j], encoding)
+            at = i
+            while at < j:
+                to = at
+                while to < j and covered[to] == covered[at]:
+                    to += 1
+                if not covered[at]:
+                    inside = [(a, b) for a, k, b in base if k and i <= a and b <= j]
+                    goes_on = any((b == at and text[at].isalnum()) or (a == to and text[to - 1].isalnum()) for a, b in inside)
+                    if (whole and (goes_on or (at, to) == (i, j))) or secret_tokens.is_random(text[at:to], encoding):
+                        found.append((at, 3, to))
+                at = to
+        i = max(j, i + 1)
+    return sorted(base + found)
+
+
+def test_random_spans_match_brute_force():
+    rng, encoding = random.Random(5), secret_tokens.ranks(RANKS)
+    parts = ["password=", "token:", "AKIA", "ABCD1234EFGH5678", "deadbeef01" * 3, "Zx8Qp2Lm9Rt4Vw7Ky1", "qWkZrTpLmNvXcJhG", "word", "_", "-", "=", " ", ".", "é", "internationalization", "2021-04-03", "\n"]
+    for _ in range(5000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))
+        assert secret_tokens.all_spans(text, encoding)[1] == by_letters(text, encoding), text
+
+
 def test_scan_of_odd_rows(odd, empty):
     rows = secret_tokens.scan(odd, RANKS).collect()
     assert len(rows) == len(odd_rows())
