@@ -38,13 +38,13 @@ def open_folder(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 
 def schemas(size: int, kind: pa.DataType) -> tuple[pa.Schema, pa.Schema]:
-    sequences = pa.schema([("ids", pa.list_(kind, size)), ("mask", pa.list_(pa.bool_(), size))])
+    sequences = pa.schema([("ids", pa.list_(kind, size)), ("mask", pa.list_(pa.uint8(), size))])
     return sequences, pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
 def as_batch(ids: np.ndarray, filled: int, size: int, schema: pa.Schema) -> pa.RecordBatch:
     """Whole sequences: ids padded to a multiple of size, of which the first `filled` count."""
-    lists = [pa.array(ids), pa.array(np.arange(len(ids)) < filled)]
+    lists = [pa.array(ids), pa.array((np.arange(len(ids)) < filled).view(np.uint8))]
     return pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(x, size) for x in lists], schema=schema)
 
 
@@ -124,10 +124,10 @@ def open_arrow(folder: str, name: str) -> pa.ipc.RecordBatchFileReader:
 
 
 def sequence(reader: pa.ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of the i-th sequence of a file; the ids are a view of the file's buffer."""
+    """Ids and mask of the i-th sequence of a file; both are views of the file's buffers."""
     batch = reader.get_batch(i // BATCH)
     ids, mask = (batch.column(k)[i % BATCH].values for k in (0, 1))
-    return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+    return ids.to_numpy(), mask.to_numpy().view(np.bool_)
 
 
 def _digests(folder: str):
@@ -145,7 +145,7 @@ def _digests(folder: str):
                         while length:
                             if offset == len(flat):
                                 read = reader.get_batch(number)
-                                mask = read.column(1).values.to_numpy(zero_copy_only=False)
+                                mask = read.column(1).values.to_numpy()
                                 flat = read.column(0).values.to_numpy().astype("<u4")[: int(mask.sum())]
                                 number, offset = number + 1, 0
                             part = flat[offset : offset + length]
@@ -166,8 +166,11 @@ def _digests(folder: str):
 
 
 def read_digests(files: DataFrame, folder: str) -> DataFrame:
-    """Per document, read from the files: doc_id, start in the whole stream, n_tokens, ids_crc32."""
-    spread = files.select("file", "base").repartition("file")
+    """Per document, read from the files: doc_id, start in the whole stream, n_tokens, ids_crc32.
+
+    Each file is a task: ranges of names, as many as files, which adaptive execution does not merge.
+    """
+    spread = files.select("file", "base").repartitionByRange(max(files.count(), 1), "file")
     return spread.mapInArrow(_digests(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from conftest import odd_rows
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orebed.llm import arrow_ids, min_slack, word_table
@@ -133,6 +134,22 @@ def test_arrow_files_round_trip(odd, empty):
     assert arrow_ids.round_trip(empty, WORD).count() == 0
 
 
+def test_each_arrow_file_is_read_by_a_task_of_its_own(spark):
+    docs = spark.createDataFrame([(i, f"word {i} " * 40) for i in range(4000)], "doc_id long, text string")
+    folder = work_dir(spark, "files")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = arrow_ids.write_files(docs, folder, WORD, size=64, end=2)
+        assert files.count() == 6
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = arrow_ids.read_digests(files, folder).withColumn("task", F.spark_partition_id())
+    assert read.count() == 4000 and read.select("task").distinct().count() == 6
+
+
 def test_arrow_sequences_are_views(spark, odd):
     folder = work_dir(spark, "files")
     files = arrow_ids.write_files(odd, folder, WORD, size=64, end=2).orderBy("file").collect()
@@ -142,7 +159,7 @@ def test_arrow_sequences_are_views(spark, odd):
         number = -(-f["tokens"] // 64)
         for i in range(number):
             ids, mask = arrow_ids.sequence(reader, i)
-            assert len(ids) == 64 and not ids.flags.owndata and (mask.all() or i == number - 1)
+            assert len(ids) == 64 and not ids.flags.owndata and not mask.flags.owndata and (mask.all() or i == number - 1)
             stream += ids[mask].tolist()
     first = [t for d, t, _ in odd_rows() if d == 1 or d == 2]
     assert stream.count(2) >= len(odd_rows()) and len(stream) == sum(f["tokens"] for f in files)
