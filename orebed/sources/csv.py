@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from orebed.catalog import ENTITIES
 from orebed.functions import strip
+from orebed.sources.records import split_records
 
 FILE, BLOCK, ROW_ID, ERROR, RAW = "_file", "_block", "_row_id", "_error", "_raw"
 BOOKKEEPING = (FILE, BLOCK, ROW_ID, ERROR, RAW)
@@ -21,20 +22,27 @@ def read_csv(
 
     Values are stripped and empty values stay empty text. A row with too few
     values has NULLs at its end; a row with too many is marked in ``_error`` and
-    kept as text in ``_raw``. A file with quoted line breaks cannot be split, so
-    the parallelism is the number of part files: land the result once and go on
-    from there. Files known to have none are split with ``multiline=False``.
+    kept as text in ``_raw``. Files with quoted line breaks are split too, by
+    ``split_records``, which reads them twice and shuffles their longer records; files
+    known to have none are split more cheaply with ``multiline=False``. With quoted line
+    breaks, an encoding other than UTF-8 is one task per file: land the result once and go on from there.
     """
     if not path.lower().rstrip("/").endswith(".csv"):
         raise ValueError(f"expected a .csv file, got {path}")
     options = {"header": True, "multiLine": multiline, "escape": '"', "encoding": encoding}
     names = spark.read.options(**options).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, RAW)])
-    rows = (
-        spark.read.schema(schema)
-        .options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=RAW)
-        .csv(path)
-    )
+    parsing = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW}
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    row_id = F.monotonically_increasing_id()
+    if multiline and encoding.upper() in ("UTF-8", "UTF8"):
+        records = split_records(spark, path).where("nth > 1")
+        record = F.from_csv("record", _ddl(schema), {"escape": '"', **parsing})
+        rows = records.select(FILE, "nth", record.alias("_record")).select(FILE, "nth", "_record.*")
+        # Numbers run through the whole file, which counts as one block.
+        file, block, row_id = F.col(FILE), F.lit(0).cast("long"), F.col("nth")
+    else:
+        rows = spark.read.schema(schema).options(**options, **parsing).csv(path)
     malformed = F.col(RAW).isNotNull()
     too_long = malformed & ~_ends_within(F.col(RAW), len(names))
     values = [
@@ -44,14 +52,18 @@ def read_csv(
     ]
     return rows.select(
         *values,
-        F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias(BLOCK),
-        F.monotonically_increasing_id().alias(ROW_ID),
+        file.alias(FILE),
+        block.alias(BLOCK),
+        row_id.alias(ROW_ID),
         F.when(too_long, F.lit(f"row has more than {len(names)} values")).alias(ERROR),
         F.when(too_long, F.col(RAW)).alias(RAW),
     )
 
 
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+
+
 def _ends_within(text: Column, width: int) -> Column:
     """Whether a CSV record has at most ``width`` values: append an end mark, find its column."""
     wide = ", ".join(f"c{i} string" for i in range(width + 1))
@@ -62,9 +74,11 @@ def _ends_within(text: Column, width: int) -> Column:
     )
 
 
-def row_count(spark: SparkSession, path: str) -> int:
-    """Number of records, without the header."""
-    return read_csv(spark, path).count()
+def row_count(spark: SparkSession, path: str, multiline: bool = True) -> int:
+    """Number of records, without the header; nothing is parsed into values."""
+    if multiline:
+        return split_records(spark, path).where("nth > 1").count()
+    return read_csv(spark, path, multiline=False).count()
 
 
 def row_numbers(landed: DataFrame, rows: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import io
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from orebed.operators import envelope
 from orebed.plans.ingest import ingest, ingest_file
 from orebed.sinks.audit import read_audit
 from orebed.sources import csv as csv_source
+from orebed.sources import records
 from orebed.sources.topics import read_topics
 
 HEADER = "product_category_name,product_category_name_english\n"
@@ -46,6 +49,70 @@ def test_empty_short_and_long_rows(spark, tmp_path):
     assert (rows["7"].c, rows["7"]._error) == ("c\nd", None)
 
 
+def small_blocks(spark, size):
+    """Session settings under which a file is read in blocks of so many bytes."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    return before
+
+
+def large_blocks(spark, before):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+@pytest.mark.parametrize("size", [600, 2000])
+def test_quoted_line_breaks_across_blocks(spark, tmp_path, size):
+    rng = random.Random(size)
+    values = ["plain", "", "two\nlines", "a\r\nb", 'say "hi"', "a,b", "\n\n", '"', "é" * 30, "x\n" * 60, ' "not quoted']
+    rows = [[str(i), *(rng.choice(values) for _ in range(3))] for i in range(300)]
+    text = io.StringIO()
+    csv.writer(text, lineterminator="\n").writerows([["id", "a", "b", "c"], *rows])
+    path = write(tmp_path / "x.csv", text.getvalue().replace("\n17,", "\n\n17,"))
+    before = small_blocks(spark, size)
+    try:
+        found = csv_source.read_csv(spark, path)
+        assert spark.read.text(path).rdd.getNumPartitions() > 10
+        got = {r.id: r for r in found.collect()}
+        numbers = {r.id: r.row_num for r in csv_source.row_numbers(found, found).collect()}
+        assert csv_source.row_count(spark, path) == 300
+    finally:
+        large_blocks(spark, before)
+    assert len(got) == 300 and all(r._error is None for r in got.values())
+    assert [[i, *(got[i][c] for c in "abc")] for i in map(str, range(300))] == [[v.strip() for v in r] for r in rows]
+    assert all(numbers[str(i)] == i + 1 for i in range(300))
+
+
+@pytest.mark.parametrize(
+    ("line", "outside", "inside"),
+    [
+        ("a,b", False, True),
+        ('a,"b', True, False),
+        ('a,"b"', False, False),  # from inside the first quote closes, the rest runs to the line's end
+        ('5" pipe,3', False, False),  # a quote inside an unquoted value is a character
+        ('"say ""hi""",x', False, False),
+        ('b","c', True, True),
+        ('b"" c', False, True),
+        ("", False, True),
+    ],
+)
+def test_line_states(line, outside, inside):
+    assert (records.inside_after(line, False), records.inside_after(line, True)) == (outside, inside)
+
+
+def test_one_task_reading_agrees(spark, tmp_path):
+    text = 'a,b\n1,5" pipe\n2,"x"y\n3,"p\nq"\n\n4,"no ""end"\n5,z\n'
+    path = write(tmp_path / "x.csv", text)
+    options = {"header": True, "multiLine": True, "escape": '"'}
+    expected = {(r.a, r.b) for r in spark.read.options(**options).csv(path).collect()}
+    before = small_blocks(spark, 8)
+    try:
+        assert {(r.a, r.b) for r in csv_source.read_csv(spark, path).collect()} == expected
+    finally:
+        large_blocks(spark, before)
+
+
 def test_wrong_suffix_and_missing_file(spark, tmp_path):
     with pytest.raises(ValueError):
         csv_source.read_csv(spark, str(tmp_path / "x.txt"))
