@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +32,21 @@ def build_session(app: str = "orebed", master: str | None = None, **conf) -> Spa
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _shipped(context) -> None:
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if root not in map(os.path.abspath, filter(None, known)):
+        # Only the archive that the driver hands out lies here, no data.
+        folder = tempfile.mkdtemp()
+        context.addPyFile(shutil.make_archive(f"{folder}/orebed", "zip", root, "orebed"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """See that Python workers find this package where they would not by their own path."""
+    _shipped(spark.sparkContext)
+
+
 def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:

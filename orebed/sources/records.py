@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebed.session import durable
+from orebed.session import durable, ship_package
 
 FILE, BLOCK = "_file", "_block"
 #: A value is quoted if it begins with a quote; what follows the closing one counts to the comma.
@@ -60,7 +60,7 @@ def _follow(batches: Iterator[pa.RecordBatch]):
         for key, line, has in zip(keys, lines.to_pylist(), quoted, strict=True):
             if key != block:
                 block, place, readings = key, 0, (_Reading(False), _Reading(True))
-            if place == 0 and key[1] == 0 and line.startswith("﻿"):
+            if place == 0 and key[1] == 0 and line.startswith("\ufeff"):
                 line, has = line[1:], True  # the mark may hide a quoted first value
             yield key, place, line, [r.take(line, has) for r in readings]
             place += 1
@@ -116,6 +116,7 @@ def split_records(spark: SparkSession, path: str) -> DataFrame:
     off, and empty lines between records are none. The file is read twice, once for one row per block.
     A quote that is never closed makes the rest of its file one record, as in any CSV reader.
     """
+    ship_package(spark)
     raw = spark.read.option("lineSep", "\n").text(path)
     raw = raw.select("value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
     kind = f"{FILE} string, {BLOCK} long, inside_0 boolean, records_0 long, inside_1 boolean, records_1 long"
