@@ -23,7 +23,7 @@ def read_csv(
     Values are stripped and empty values stay empty text. A row with too few
     values has NULLs at its end; a row with too many is marked in ``_error`` and
     kept as text in ``_raw``. Files with quoted line breaks are split too, by
-    ``split_records``, which reads them twice and shuffles their longer records; files
+    ``split_records``, which reads them three times and shuffles their longer records; files
     known to have none are split more cheaply with ``multiline=False``. With quoted line
     breaks, an encoding other than UTF-8 is one task per file: land the result once and go on from there.
     """

@@ -113,7 +113,8 @@ def split_records(spark: SparkSession, path: str) -> DataFrame:
 
     nth is the record's number in its file, from 1, whose first is the header; _block is where the
     block of its first line starts. Line ends inside values stay, one \\n or \\r\\n after a record is taken
-    off, and empty lines between records are none. The file is read twice, once for one row per block.
+    off, and empty lines between records are none. The file is read
+    three times: for one row per block, for lines that are a record, for pieces of longer ones.
     A quote that is never closed makes the rest of its file one record, as in any CSV reader.
     """
     ship_package(spark)
