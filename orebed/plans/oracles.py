@@ -142,6 +142,9 @@ _CTE["g_places"] = """
   SELECT customer_unique_id, customer_city, customer_state FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_unique_id ORDER BY customer_id DESC) AS rn FROM f_customer)
   WHERE rn = 1"""
+_CTE["g_bought"] = """
+  SELECT DISTINCT CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS m, c.customer_state, o.customer_unique_id
+  FROM g_orders o JOIN g_places c ON o.customer_unique_id = c.customer_unique_id"""
 _CTE["g_lifetime"] = """
   SELECT customer_unique_id, COUNT(DISTINCT order_id) AS total_orders,
     SUM(total_payment_value) AS total_lifetime_value, AVG(avg_review_score) AS avg_lifetime_review_score,
@@ -723,7 +726,26 @@ def _runs(out: dict[str, str]) -> dict[str, str]:
     done = "SELECT pipeline_stage, SUM(rows_processed) AS p, SUM(rows_failed) AS f FROM f_audit GROUP BY 1"
     columns = " UNION ALL ".join(f"SELECT '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS type" for f in FCT_ORDERS_CONTRACT.fields)
     silver = out["stream_silver"]
+    placed = "g_orders o JOIN g_places c ON o.customer_unique_id = c.customer_unique_id"
     return {
+        "q9_distinct_rollup": f"""
+          SELECT c.customer_state, s.seller_state, p.product_category_name, COUNT(*) AS item_count,
+            {money('SUM(i.price)')} AS gross_merchandise_value,
+            COUNT(DISTINCT o.order_id) AS exact_orders, TRUE AS orders_near,
+            COUNT(DISTINCT o.customer_unique_id) AS exact_customers, TRUE AS customers_near
+          FROM {placed} JOIN f_order_item i ON o.order_id = i.order_id
+            JOIN f_product p ON i.product_id = p.product_id JOIN f_seller s ON i.seller_id = s.seller_id
+          GROUP BY 1, 2, 3""",
+        "q10_kll_rollup": f"""
+          SELECT c.customer_state, COUNT(*) AS order_count, {money('SUM(o.total_payment_value)')} AS revenue,
+            TRUE AS median_payment_near, TRUE AS p90_delivery_time_near
+          FROM {placed} GROUP BY 1""",
+        "retention_rollup": """
+          SELECT CAST(a.m AS VARCHAR) AS order_month, a.customer_state, COUNT(*) AS customers,
+            COUNT(b.m) AS "returning"
+          FROM g_bought a LEFT JOIN g_bought b ON b.customer_unique_id = a.customer_unique_id
+            AND b.customer_state = a.customer_state AND b.m = a.m + INTERVAL '1' MONTH
+          GROUP BY 1, 2""",
         "csv_row_count": "SELECT COUNT(*) AS n FROM conversations",
         "csv_routes": f"""
           SELECT 'olist_customers_dataset.csv' AS file_name, '{ENTITIES["customer"].topic}' AS topic, 'customer' AS entity_type, COUNT(*) AS n FROM f_customer

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from orebed.catalog import ENTITIES, FCT_ORDERS_CONTRACT, ORDER_CONTRACT
 from orebed.operators import contracts, envelope, observe
-from orebed.plans import gold, models, silver
+from orebed.operators.rollup import read_states
+from orebed.plans import gold, models, rollups, silver
 from orebed.plans.ingest import accept
 from orebed.plans.registry import (
     SILVER_ORDER,
@@ -395,3 +396,76 @@ def _(lake):
     table = silver.silver_table(lake.spark, work_dir(lake.spark, "silver"), "review")
     kept = lake.spark.read.json(run_silver(lake, _stream(lake, _mixed_messages(lake)), "review", table))
     return kept.select("key", "error")
+
+
+# Roll-ups
+
+
+def _refreshed(lake, rollup, rows: DataFrame) -> DataFrame:
+    """Monthly states of all rows, those of the later half refreshed a second time."""
+    path = work_dir(lake.spark, "states")
+    rollup.refresh(rows, path)
+    rollup.refresh(rows.where(F.col("order_month") >= "1995-06-01"), path)
+    return read_states(lake.spark, path)
+
+
+def _near(estimate: str, exact: str, error: float):
+    """Whether an estimate lies within four standard errors."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.col(exact) * (4 * error)
+
+
+@register("q9_distinct_rollup")
+def _(lake):
+    """The star join from monthly states, its distinct counts held against exact ones."""
+    rows = rollups.monthly_items(
+        lake.fct_orders("order_id", "customer_unique_id", "order_purchase_timestamp"),
+        lake.customer_places(),
+        lake.staged("order_item"),
+        lake.staged("product"),
+        lake.staged("seller"),
+    )
+    groups = rollups.SALES.keys[1:]
+    found = rollups.sales_by_place(_refreshed(lake, rollups.SALES, rows))
+    exact = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in groups]).agg(
+        F.countDistinct("order_id").alias("_orders"), F.countDistinct("customer_unique_id").alias("_customers")
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups])
+    error = rollups.SALES.distinct_error
+    return found.join(exact, same, "full").select(
+        *groups,
+        F.col("row_count").alias("item_count"),
+        "gross_merchandise_value",
+        F.col("_orders").alias("exact_orders"),
+        _near("unique_orders", "_orders", error).alias("orders_near"),
+        F.col("_customers").alias("exact_customers"),
+        _near("unique_customers", "_customers", error).alias("customers_near"),
+    )
+
+
+@register("q10_kll_rollup")
+def _(lake):
+    """Percentiles from monthly states, held against the share of the facts below them."""
+    columns = ("order_id", "customer_unique_id", "order_purchase_timestamp", "total_payment_value", "delivery_time_days")
+    rows = rollups.monthly_orders(lake.fct_orders(*columns), lake.customer_places())
+    found = rollups.percentiles_by_state(_refreshed(lake, rollups.PAYMENTS, rows))
+    near = []
+    checked = {"median_payment": ("total_payment_value", 0.5), "p90_delivery_time": ("delivery_time_days", 0.9)}
+    for name, (column, p) in checked.items():
+        value, room = F.col(column).cast("double"), rollups.PAYMENTS.rank_error
+        below = F.count_if(value < F.col(name)) / F.count(value)
+        upto = F.count_if(value <= F.col(name)) / F.count(value)
+        near.append(((below - room <= p) & (upto + room >= p)).alias(f"{name}_near"))
+    return (
+        rows.select("customer_state", *[c for c, _ in checked.values()])
+        .join(found.withColumnRenamed("total_payment_value", "revenue"), "customer_state")
+        .groupBy("customer_state")
+        .agg(F.first("row_count").alias("order_count"), F.first("revenue").alias("revenue"), *near)
+    )
+
+
+@register("retention_rollup")
+def _(lake):
+    """Customers of each month and state that come again in the next month, from monthly states."""
+    columns = ("order_id", "customer_unique_id", "order_purchase_timestamp", "total_payment_value", "delivery_time_days")
+    rows = rollups.monthly_orders(lake.fct_orders(*columns), lake.customer_places())
+    return rollups.retention(_refreshed(lake, rollups.PAYMENTS, rows))
