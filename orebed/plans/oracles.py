@@ -727,7 +727,28 @@ def _runs(out: dict[str, str]) -> dict[str, str]:
     columns = " UNION ALL ".join(f"SELECT '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS type" for f in FCT_ORDERS_CONTRACT.fields)
     silver = out["stream_silver"]
     placed = "g_orders o JOIN g_places c ON o.customer_unique_id = c.customer_unique_id"
+    rest = ("freight_value", "price", "product_id", "quantity", "seller_id", "shipping_limit_date")
+    differs = ", ".join(
+        f"CASE WHEN MIN({c}) FILTER (n > 0) IS DISTINCT FROM MIN({c}) FILTER (n < 0)"
+        f" OR MAX({c}) FILTER (n > 0) IS DISTINCT FROM MAX({c}) FILTER (n < 0) THEN '{c}' END"
+        for c in rest
+    )
     return {
+        "table_drilldown": f"""
+          SELECT order_id, CAST(order_item_id AS BIGINT) AS order_item_id, change, CAST(l AS BIGINT) AS left_rows,
+            CAST(r AS BIGINT) AS right_rows, CASE change WHEN 'changed' THEN named ELSE '' END AS "columns"
+          FROM (
+            SELECT order_id, order_item_id, SUM(GREATEST(n, 0)) AS l, SUM(GREATEST(-n, 0)) AS r, concat_ws(',', {differs}) AS named,
+              CASE WHEN MIN(n) > 0 THEN 'removed' WHEN MAX(n) < 0 THEN 'added' ELSE 'changed' END AS change
+            FROM (
+              SELECT * EXCLUDE (one), SUM(one) AS n FROM (
+                SELECT *, 1 AS one FROM f_order_item
+                UNION ALL BY NAME
+                SELECT * REPLACE (CASE WHEN shipping_limit_date >= DATE '2001-10-01' THEN price + 1 ELSE price END AS price,
+                  CASE WHEN shipping_limit_date < DATE '2001-10-01' OR quantity <= 40 THEN seller_id END AS seller_id), -1 AS one
+                FROM g_items_latest WHERE shipping_limit_date >= DATE '1995-02-01')
+              GROUP BY ALL HAVING SUM(one) <> 0)
+            GROUP BY 1, 2)""",
         "q9_distinct_rollup": f"""
           SELECT c.customer_state, s.seller_state, p.product_category_name, COUNT(*) AS item_count,
             {money('SUM(i.price)')} AS gross_merchandise_value,

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from orebed.catalog import ENTITIES, FCT_ORDERS_CONTRACT, ORDER_CONTRACT
 from orebed.operators import contracts, envelope, observe
+from orebed.operators.latest import keep_latest
 from orebed.operators.rollup import read_states
+from orebed.operators.versions import drilldown, save_version
 from orebed.plans import gold, models, rollups, silver
 from orebed.plans.ingest import accept
 from orebed.plans.registry import (
     SILVER_ORDER,
     STAGED,
+    _items_order,
     _land,
     _mixed_messages,
     _order_rows,
@@ -469,3 +472,22 @@ def _(lake):
     columns = ("order_id", "customer_unique_id", "order_purchase_timestamp", "total_payment_value", "delivery_time_days")
     rows = rollups.monthly_orders(lake.fct_orders(*columns), lake.customer_places())
     return rollups.retention(_refreshed(lake, rollups.PAYMENTS, rows))
+
+
+@register("table_drilldown")
+def _(lake):
+    """Item lines before and after deduplication and corrections: which keys differ, and in what."""
+    items, keys = lake.view("order_item"), ["order_id", "order_item_id"]
+    day = F.col("shipping_limit_date")
+    corrected = keep_latest(items, keys, _items_order(items)).where(day >= "1995-02-01")
+    late = day >= "2001-10-01"
+    corrected = corrected.withColumns(
+        {
+            "price": F.when(late, F.col("price") + 1).otherwise(F.col("price")).cast(items.schema["price"].dataType),
+            "seller_id": F.when(late & (F.col("quantity") > 40), None).otherwise(F.col("seller_id")),
+        }
+    )
+    root = work_dir(lake.spark, "versions")
+    save_version(items, keys, f"{root}/before", buckets=32)
+    save_version(corrected, keys, f"{root}/after", buckets=32)
+    return drilldown(lake.spark, f"{root}/before", f"{root}/after")
