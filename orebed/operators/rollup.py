@@ -7,7 +7,7 @@ late row costs a refresh of its own period only.
 
 Errors, which the sizes set whatever the number of rows: up to ``2 ** lg_entries`` distinct values
 are counted exactly, beyond them the standard error is ``1 / sqrt(2 ** lg_entries)``; a quantile's
-rank is off by about ``2.3 / k`` of the rows at most (99 of 100 times).
+rank is off by ``rank_error`` of the rows at most in 99 of 100 cases, 0.7% with the default ``k``.
 """
 
 from __future__ import annotations
@@ -48,8 +48,8 @@ class Rollup:
 
     @property
     def rank_error(self) -> float:
-        """Error of a quantile's rank, as a part of the rows, that 99 of 100 stay below."""
-        return 2.3 / self.k
+        """Error of a quantile's rank, as a part of the rows, that 99 of 100 stay below: published KLL fit."""
+        return 2.296 / self.k**0.9723
 
     def states(self, df: DataFrame) -> DataFrame:
         """One row of states per key; sketches are begun on the map side, rows are not shuffled."""
