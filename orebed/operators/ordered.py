@@ -59,9 +59,12 @@ def exact_percentiles(
     groups: Sequence[str],
     metrics: Mapping[str, tuple[str, float]],
     accuracy: int = 10_000,
+    discrete: bool = False,
 ) -> DataFrame:
     """Exact interpolated percentiles per group, by selection: ``{alias: (column, p)}``.
 
+    ``discrete`` takes an existing value, the first that p of the rows reach, in its own type.
+
     A first pass keeps a sketch per group and brackets every wanted rank between two values
     about 8 / accuracy of the rows apart. A second pass counts what lies below a bracket and
     keeps the values inside it, as counts of distinct ones; the wanted ranks are found among these.
@@ -113,6 +116,14 @@ def exact_percentiles(
     wanted, results = [], []
     for i, (alias, (_, p)) in enumerate(metrics.items()):
         own, position = f"_metric = {i} AND _side <> 2", f"({p!r}D * (_total - 1))"
+        if discrete:
+            # As a decimal: 0.9 of a count is no rank too high by the error of a double.
+            rank, value = f"greatest(ceil({p!r}BD * _total) - 1, 0)", values[kinds.index(types[i])]
+            wanted.append(f"max(CASE WHEN {own} AND {rank} BETWEEN {first} AND {last} THEN {value} END) AS _low{i}")
+            wanted.append(f"max(CASE WHEN {own} THEN _total END) AS _at{i}")
+            lost = f"CAST(raise_error('a rank is outside its bracket: raise the accuracy') AS {types[i]})"
+            results.append(F.expr(f"CASE WHEN _at{i} IS NOT NULL AND _low{i} IS NULL THEN {lost} ELSE _low{i} END").alias(alias))
+            continue
         for end, rank in (("low", f"floor({position})"), ("high", f"ceil({position})")):
             wanted.append(f"max(CASE WHEN {own} AND {rank} BETWEEN {first} AND {last} THEN {number} END) AS _{end}{i}")
         wanted.append(f"max(CASE WHEN {own} THEN {position} END) AS _at{i}")

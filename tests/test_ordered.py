@@ -93,3 +93,25 @@ def test_percentiles_keep_the_type_of_the_values(spark, values):
     row = ordered.exact_percentiles(df, ["g"], {"p50": ("v", 0.5), "p25": ("v", 0.25), "n": ("i", 0.5)}).first()
     assert (row.p50, row.n) == (values[1], 1.0)
     assert row.p25 == pytest.approx(np.percentile(values, 25), rel=1e-12)
+
+
+def test_discrete_percentiles_are_the_values_at_their_rank(spark):
+    # Far more distinct values than the sketch tells apart; 0.9 of 30 as a double is above 27.
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") < 30, "small").otherwise("large").alias("g"),
+        ((F.col("id") * 7919) % 60_013).cast("decimal(38,9)").alias("v"),
+    )
+    metrics = {"p50": ("v", 0.5), "p90": ("v", 0.9), "p0": ("v", 0.0), "p100": ("v", 1.0)}
+    data = rows.toPandas()
+    found = ordered.exact_percentiles(rows, ["g"], metrics, accuracy=200, discrete=True)
+    assert found.schema["p50"].dataType == rows.schema["v"].dataType
+    for r in found.collect():
+        own = sorted(data[data["g"] == r.g]["v"])
+        for alias, tenths in (("p50", 5), ("p90", 9), ("p0", 0), ("p100", 10)):
+            assert r[alias] == own[max(-(-len(own) * tenths // 10) - 1, 0)]
+
+
+def test_discrete_percentiles_of_nulls(skewed):
+    for r in ordered.exact_percentiles(skewed, ["g"], {"p50": ("v", 0.5)}, discrete=True).collect():
+        own = sorted(x.v for x in skewed.where(F.col("g").eqNullSafe(F.lit(r.g))).collect() if x.v is not None)
+        assert r.p50 == (own[-(-len(own) // 2) - 1] if own else None)
