@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orebed.operators.rollup import Rollup, beside_next, in_both
+from orebed.operators.rollup import Rollup, members_kept
 
 SALES = Rollup(
     keys=("order_month", "customer_state", "seller_state", "product_category_name"),
     sums={"gross_merchandise_value": "price"},
-    distinct={"unique_orders": "order_id", "unique_customers": "customer_unique_id"},
+    members={"unique_orders": "order_id", "unique_customers": "customer_unique_id"},
 )
 PAYMENTS = Rollup(
     keys=("order_month", "customer_state"),
@@ -48,9 +51,15 @@ def monthly_items(
     )
 
 
-def sales_by_place(states: DataFrame) -> DataFrame:
-    """The star join's groups from monthly states: exact sums, estimated distinct counts."""
-    return SALES.read(SALES.merge(states, *SALES.keys[1:]))
+def sales_by_place(states: DataFrame, members: Mapping[str, DataFrame]) -> DataFrame:
+    """The star join's groups from monthly states and members: exact sums and distinct counts."""
+    by = SALES.keys[1:]
+    found = SALES.read(SALES.merge(states, *by))
+    for name, rows in members.items():
+        counts = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.countDistinct(name).alias(name))
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+        found = found.join(counts, same, "left").drop(*[f"_{c}" for c in by]).fillna(0, [name])
+    return found
 
 
 def percentiles_by_state(states: DataFrame) -> DataFrame:
@@ -58,14 +67,11 @@ def percentiles_by_state(states: DataFrame) -> DataFrame:
     return PAYMENTS.read(PAYMENTS.merge(states, "customer_state"), PERCENTILES)
 
 
-def retention(states: DataFrame) -> DataFrame:
+#: Customers of a month and state, kept whole: who comes again is counted, not estimated.
+CUSTOMERS = Rollup(keys=("order_month", "customer_state"), members={"customers": "customer_unique_id"})
+
+
+def retention(customers: DataFrame) -> DataFrame:
     """Customers by month and state, and how many of them bought in the next month too."""
-    paired = beside_next(
-        states, "order_month", ["customer_state"], F.add_months("order_month", -1), "unique_customers"
-    )
-    return paired.select(
-        "order_month",
-        "customer_state",
-        F.theta_sketch_estimate("unique_customers").alias("customers"),
-        in_both("unique_customers", "unique_customers_next").alias("returning"),
-    )
+    before = F.add_months("order_month", -1)
+    return members_kept(customers, "order_month", ["customer_state"], "customers", before, "returning")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orebed.operators.rollup import ROWS, Rollup, beside_next, in_both, read_states
+from orebed.operators.rollup import ROWS, Rollup, beside_next, in_both, members_kept, read_members, read_states
 from orebed.session import work_dir
 
 ROLLUP = Rollup(("day", "g"), {"total": "v"}, {"ids": "id"}, {"values": "v"}, lg_entries=10, k=200)
@@ -103,3 +103,19 @@ def test_values_shared_by_neighbouring_days(spark):
     paired = beside_next(rollup.states(rows), "day", ["g"], F.col("day") - 1, "ids")
     found = {(r.day, r.g): r.n for r in paired.select("day", "g", in_both("ids", "ids_next").alias("n")).collect()}
     assert found == {(d, g): len(ids & data.get((d + 1, g), set())) for (d, g), ids in data.items()}
+
+
+def test_members_are_counted_exactly_beyond_a_sketch(spark, rows):
+    rollup, path = Rollup(("day", "g"), members={"ids": "id"}), work_dir(spark, "members")
+    rollup.refresh(rows, path)
+    rollup.refresh(rows.where("day >= 3"), path)
+    members = read_members(spark, path, "ids")
+    data = rows.toPandas()
+    found = {(r.day, r.g): (r.ids, r.kept) for r in members_kept(members, "day", ["g"], "ids", F.col("day") - 1, "kept").collect()}
+    own = {(d, None if g != g or g is None else g): set(x["id"].dropna()) for (d, g), x in data.groupby(["day", "g"], dropna=False)}
+    assert max(map(len, own.values())) > 2**12
+    assert found == {(d, g): (len(ids), len(ids & own.get((d + 1, g), set()))) for (d, g), ids in own.items()}
+    # A day whose ids are gone keeps none of them.
+    rollup.refresh(rows.where("day = 3").withColumn("id", F.lit(None).cast("bigint")), path)
+    left = read_members(spark, path, "ids").groupBy("day").agg(F.count("ids").alias("n"))
+    assert {r.day for r in left.collect() if not r.n} == {3}
