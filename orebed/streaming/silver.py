@@ -30,20 +30,17 @@ def maintain_silver(
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         source = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        batch = batch.persist()
-        try:
-            foreign = ~F.col("metadata.entity_type").eqNullSafe(F.lit(entity))
-            marked = parse(batch, entity).withColumn(
-                "error", F.coalesce("error", F.when(foreign, F.lit(f"not an event of {entity}")))
-            )
-            flat = unpack(marked.where("error IS NULL").select("metadata", "payload"))
-            # The ingest time stands for the load time: a retried batch writes the same rows.
-            stamp = F.col("ingested_at").try_cast("timestamp")
-            table.upsert(prepare(flat, entity, stamp), source, batch_id)
-            bad = marked.where("error IS NOT NULL").select("topic", "key", "value", "error")
-            bad.write.mode("overwrite").json(f"{quarantine}/source={source}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        # Read anew by each step rather than kept: a batch's text takes more room than its rows.
+        foreign = ~F.col("metadata.entity_type").eqNullSafe(F.lit(entity))
+        marked = parse(batch, entity).withColumn(
+            "error", F.coalesce("error", F.when(foreign, F.lit(f"not an event of {entity}")))
+        )
+        flat = unpack(marked.where("error IS NULL").select("metadata", "payload"))
+        # The ingest time stands for the load time: a retried batch writes the same rows.
+        stamp = F.col("ingested_at").try_cast("timestamp")
+        table.upsert(prepare(flat, entity, stamp), source, batch_id)
+        bad = marked.where("error IS NOT NULL").select("topic", "key", "value", "error")
+        bad.write.mode("overwrite").json(f"{quarantine}/source={source}/batch={batch_id}", compression="gzip")
 
     return (
         messages.where(F.col("topic") == ENTITIES[entity].topic)

@@ -13,6 +13,7 @@ from orebed.plans.silver import silver_table
 from orebed.sources.bronze import read_bronze
 from orebed.sources.topics import flush_options, read_topics
 from orebed.streaming import alerts, bronze, events
+from orebed.session import work_dir
 from orebed.streaming.silver import maintain_silver
 
 TOPIC = "ecommerce.olist.sellers.v1"
@@ -206,3 +207,25 @@ def test_a_folder_drains_in_one_batch(spark, topics, tmp_path):
         stream, str(tmp_path / "b"), str(tmp_path / "q"), str(tmp_path / "o"), trigger=bronze.BACKFILL
     ).awaitTermination()
     assert len({p.name for p in (tmp_path / "b").rglob("batch=*")}) == 1
+
+
+def test_a_folder_stream_is_dealt_by_messages_in_two_triggers(spark, monkeypatch):
+    from orebed.plans import registry
+
+    monkeypatch.setattr(registry, "MESSAGES", 100)
+    lake = registry.Lake(spark, "/root/testdata/sf0.001")
+    messages = registry._review_messages(lake).limit(950)
+    stream = registry._stream(lake, messages)
+    source = work_dir(spark, "copied")
+    query = stream.writeStream.option("checkpointLocation", work_dir(spark, "offsets")).trigger(availableNow=True)
+    query = query.format("json").start(source)
+    query.awaitTermination()
+    assert spark.read.json(source).count() == messages.count() > 0
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 2
+
+
+def test_landing_a_batch_neither_sorts_nor_shuffles_its_text(spark, tmp_path):
+    rows = spark.range(1000).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"), F.lit('{"metadata": {"entity_type": "order"}, "payload": {}}').alias("value"), F.lit("2024-01-01").cast("timestamp").alias("timestamp"))
+    bronze.write_batch(parse(rows), "b", str(tmp_path / "b"), str(tmp_path / "q"), "gzip")
+    assert spark.read.text(str(tmp_path / "b")).count() == 1000
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
