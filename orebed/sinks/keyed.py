@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebed.operators.latest import keep_latest, latest_order
+from orebed.session import open_writers
 
 
 class KeyedTable:
@@ -76,7 +77,7 @@ class KeyedTable:
     def _stage(self, rows: DataFrame, of: str) -> DataFrame:
         """Write the new rows of buckets to the side, then a mark that they are complete."""
         path = f"{self.root}/staged"
-        rows.repartition(self.bucket).write.mode("overwrite").parquet(path)
+        rows.repartition(self.bucket).write.mode("overwrite").parquet(path, compression="zstd")
         self.spark.range(0, 1, 1, 1).select(F.lit(of).alias("of")).write.mode("overwrite").parquet(f"{self.root}/staged_for")
         return self.spark.read.schema(rows.schema).parquet(path)
 
@@ -86,9 +87,12 @@ class KeyedTable:
         return self._read("staged") if mark is not None and mark.first()[0] == of else None
 
     def _replace(self, staged: DataFrame, mode: str) -> None:
-        """Replace the buckets that the staged rows are in ('dynamic'), or the whole table ('static')."""
-        writer = staged.repartition(self.bucket).write.mode("overwrite").option("partitionOverwriteMode", mode)
-        writer.partitionBy(self.bucket).parquet(f"{self.root}/rows")
+        """Replace the buckets that the staged rows are in ('dynamic'), or the whole table ('static').
+
+        Staged files hold whole buckets, so the copy is neither shuffled nor sorted."""
+        writer = staged.write.mode("overwrite").option("partitionOverwriteMode", mode).option("compression", "zstd")
+        with open_writers(self.spark):
+            writer.partitionBy(self.bucket).parquet(f"{self.root}/rows")
 
     def upsert(self, df: DataFrame, source: str, batch: int) -> None:
         """Bring a batch into the buckets it has keys in; rows with a later ingest stay.
