@@ -219,18 +219,43 @@ def schema_snapshot(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, type string")
 
 
-def observed_fields(payloads: DataFrame, payload: str, *by: str) -> DataFrame:
-    """Fields that occur with a value in map payloads, and the narrowest type that fits them all."""
+_PROOFS = ("_integer", "_number", "_time")
+# No timestamp has a year further from zero.
+_LAST_YEAR = 294_247
+
+
+def _integer(text: Column) -> Column:
+    """The text as a whole number; a failed cast raises and catches an error, so texts that surely fail are not cast."""
+    word = (text >= "A") & (text < "\x7f")  # by its first byte, which is neither digit nor sign nor blank
+    return F.when(~(word | F.contains(text, F.lit(":"))), text.try_cast("bigint"))
+
+
+def _is_time(text: Column) -> Column:
+    # A whole number can only be a year: one beyond all timestamps is not cast, for the same reason.
+    beyond = ~_integer(text).between(-_LAST_YEAR, _LAST_YEAR)
+    return F.when(beyond, False).otherwise(text.try_cast("timestamp").isNotNull())
+
+
+def field_proofs(payloads: DataFrame, payload: str, *by: str) -> DataFrame:
+    """Fields that occur with a value in map payloads, and which types fit all their values.
+
+    Proofs of several groups can be joined to those of a larger one by ``kinds``.
+    """
     # The outer form adds no size filter that would compute the payload twice.
     pairs = payloads.select(*by, F.explode_outer(payload).alias("column", "_text")).where(
         F.col("_text").isNotNull()
     )
     text = F.col("_text")
-    counted = pairs.groupBy(*by, "column").agg(
-        F.every(text.try_cast("bigint").isNotNull()).alias("_integer"),
+    return pairs.groupBy(*by, "column").agg(
+        F.every(_integer(text).isNotNull()).alias("_integer"),
         F.every(text.try_cast("double").isNotNull()).alias("_number"),
-        F.every(text.try_cast("timestamp").isNotNull()).alias("_time"),
+        F.every(_is_time(text)).alias("_time"),
     )
+
+
+def kinds(proofs: DataFrame, *by: str) -> DataFrame:
+    """The narrowest type that fits all values of a field in each group of ``by``."""
+    counted = proofs.groupBy(*by, "column").agg(*[F.every(c).alias(c) for c in _PROOFS])
     kind = (
         F.when(F.col("_integer"), "integer")
         .when(F.col("_number"), "numeric")
@@ -240,6 +265,11 @@ def observed_fields(payloads: DataFrame, payload: str, *by: str) -> DataFrame:
     return counted.select(*by, "column", kind.alias("type"))
 
 
+def observed_fields(payloads: DataFrame, payload: str, *by: str) -> DataFrame:
+    """Fields that occur with a value in map payloads, and the narrowest type that fits them all."""
+    return kinds(field_proofs(payloads, payload, *by), *by)
+
+
 def schema_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """Columns added, removed or retyped between two ``(column, type)`` snapshots."""
     old = before.select("column", F.col("type").alias("old_type"))

@@ -768,9 +768,10 @@ def _(lake):
     orders = _order_rows(lake)
     pairs = [x for c in orders.columns for x in (F.lit(c), F.col(c))]
     payloads = orders.select(F.col("order_status").alias("status"), F.create_map(*pairs).alias("payload"))
-    whole = observe.observed_fields(payloads, "payload")
+    # Orders are read for their fields once; what fits all of them follows from what fits each state.
+    proofs = durable(observe.field_proofs(payloads, "payload", "status"))
+    whole, fields = observe.kinds(proofs), observe.kinds(proofs, "status")
     states = [r.status for r in payloads.select("status").distinct().orderBy("status").collect()]
-    fields = durable(observe.observed_fields(payloads, "payload", "status"))
     changes = [
         observe.schema_changes(whole, fields.where(F.col("status") == s).drop("status")).withColumn("status", F.lit(s))
         for s in states

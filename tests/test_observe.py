@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orebed.operators import observe
 from orebed.sinks.audit import append_audit, audit_row, read_audit, status_of
@@ -101,6 +102,26 @@ def test_observed_fields(spark):
     assert found == {"a": "integer", "b": "numeric", "c": "string"}
 
 
+def test_kinds_of_odd_texts_are_those_of_the_casts(spark):
+    """Texts that are not cast, because they surely fail, are told as the casts tell them."""
+    texts = ["", " ", ".", "-", "1", " 7 ", "\x7f7", "7\x7f", "+5", "1.", "1.5", "1e3", "A", "a1", "~", "é", "nan", "Infinity", "0x10"]
+    texts += ["12:30", ":1", "T12:30", "T12", "2024", "0999", "999", "-290308", "-290309", "-294248", "-9223372036854775808"]
+    texts += ["294247", "294248", "+294248", "999999", "1000000", "20240101", "2024-01", "2024-01-01 10:00:00", "9" * 19, "1000000-01-01", "300000.5"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "g string, t string")
+    found = observe.field_proofs(df.select("g", F.create_map(F.lit("t"), "t").alias("p")), "p", "g").drop("column")
+    casts = {"_integer": "bigint", "_number": "double", "_time": "timestamp"}
+    plain = df.select("g", *[F.col("t").try_cast(k).isNotNull().alias(n) for n, k in casts.items()])
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_fields_of_all_rows_follow_from_those_of_groups(spark):
+    rows = [("a", "2001"), ("a", "2002"), ("b", "2001-01-01"), (None, "2003"), (None, None)]
+    df = spark.createDataFrame(rows, "g string, t string").select("g", F.create_map(F.lit("t"), "t").alias("p"))
+    proofs = observe.field_proofs(df, "p", "g")
+    assert [tuple(r) for r in observe.kinds(proofs).collect()] == [("t", "timestamp")]
+    assert {tuple(r) for r in observe.kinds(proofs, "g").collect()} == {("a", "t", "integer"), ("b", "t", "timestamp"), (None, "t", "integer")}
+
+
 @pytest.mark.parametrize("chunk", [10, 25, 86_400])
 def test_result_history(spark, chunk):
     rng = np.random.default_rng(5)
