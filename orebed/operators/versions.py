@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orebed.operators.quality import table_diff
+from orebed.session import open_writers
 
 BUCKET = "_bucket"
 #: Checksums of at most so many buckets are broadcast.
 MOST_BUCKETS = 1 << 16
+#: So many buckets at most are written side by side by a task.
+OPEN_BUCKETS = 64
 _NESTED = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
 
 
@@ -42,8 +45,10 @@ def _row_hash(columns: Sequence[str], seed: int) -> Column:
 def save_version(df: DataFrame, keys: Sequence[str], path: str, buckets: int = 256) -> None:
     """Write ``df`` under ``path`` in ``buckets`` folders by its keys, with their checksums.
 
-    Checksums are taken of the rows as written. Rows are range-partitioned by bucket and task of
-    origin, so that a bucket which one hot key fills is written by several tasks.
+    Checksums are taken of the rows as written. Up to OPEN_BUCKETS buckets are written by every task
+    where its rows lie, a file each, without a shuffle. More of them would leave too many files: their
+    rows are range-partitioned by bucket and task of origin, so that a bucket which one hot key fills
+    is still written by several tasks.
     """
     if not 0 < buckets <= MOST_BUCKETS:
         raise ValueError(f"1 to {MOST_BUCKETS} buckets, not {buckets}")
@@ -51,8 +56,11 @@ def save_version(df: DataFrame, keys: Sequence[str], path: str, buckets: int = 2
     plain = df.select(*_comparable(df))
     columns = plain.columns
     number = F.pmod(_row_hash(keys, 0), F.lit(buckets)).cast("int")
-    placed = plain.withColumns({BUCKET: number, "_task": F.spark_partition_id()}).repartitionByRange(BUCKET, "_task")
-    placed.drop("_task").write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/rows")
+    placed = plain.withColumn(BUCKET, number)
+    if buckets > OPEN_BUCKETS:
+        placed = placed.withColumn("_task", F.spark_partition_id()).repartitionByRange(BUCKET, "_task").drop("_task")
+    with open_writers(spark, OPEN_BUCKETS):
+        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/rows", compression="zstd")
     schema = T.StructType([*plain.schema.fields, T.StructField(BUCKET, T.IntegerType())])
     written = spark.read.schema(schema).parquet(f"{path}/rows")
     sums = [F.sum(_row_hash(columns, seed).cast("decimal(20,0)")).alias(f"sum_{seed}") for seed in (1, 2)]

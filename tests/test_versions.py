@@ -96,6 +96,17 @@ def test_a_hot_key_is_written_by_several_tasks(spark):
     assert rows.count() == 40_000 and len(rows.inputFiles()) > 1
 
 
+def test_few_buckets_are_written_where_their_rows_lie(spark):
+    """Every task writes its rows of each bucket; of many buckets, a task writes some whole ones."""
+    df = spark.range(0, 16_000, 1, 4).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    few, many = work_dir(spark, "version"), work_dir(spark, "version")
+    save_version(df, ["k"], few, 8)
+    save_version(df, ["k"], many, 100)
+    written = {p: spark.read.parquet(f"{p}/rows") for p in (few, many)}
+    assert {p: rows.count() for p, rows in written.items()} == {few: 16_000, many: 16_000}
+    assert len(written[few].inputFiles()) == 4 * 8 and len(written[many].inputFiles()) < 2 * 100
+
+
 def test_empty_versions_and_other_layouts(spark):
     rows = [("k", 1, "v", ["x"])]
     empty, full = saved(spark, []), saved(spark, rows)
