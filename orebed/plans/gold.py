@@ -68,16 +68,17 @@ def orders_enriched(
 
     Payments and reviews hold one row per order, so a side none of whose columns
     is asked for is not joined at all: the result is the same without its shuffle.
-    The joins on ``order_id`` come first and share one partitioning; the join on
-    the skewed ``customer_id`` comes last, where AQE may split hot customers.
+    The join on the skewed ``customer_id`` comes first, over narrow rows, and AQE may
+    split hot customers. The joins on ``order_id`` share one partitioning, which is that
+    of the result, so a table in buckets of its orders is written without another shuffle.
     """
     wanted = tuple(columns or FCT_ORDERS_COLUMNS)
     joined = orders.select(*_ORDER_COLUMNS)
+    joined = joined.join(customers.select("customer_id", *_CUSTOMER_COLUMNS), "customer_id", "left")
     if set(wanted) & set(_PAYMENT_METRICS):
         joined = joined.join(payments_per_order(payments), "order_id", "left")
     if set(wanted) & set(_REVIEW_METRICS):
         joined = joined.join(reviews_per_order(reviews), "order_id", "left")
-    joined = joined.join(customers.select("customer_id", *_CUSTOMER_COLUMNS), "customer_id", "left")
 
     bought = F.col("order_purchase_timestamp")
     delivered = F.col("order_delivered_customer_date")

@@ -236,6 +236,8 @@ def save_table(
         writer = df.repartition(n, bucket_by).write.bucketBy(n, bucket_by).sortBy(bucket_by)
     else:
         writer = df.write
+    if format == "parquet":
+        writer = writer.option("compression", "zstd")
     writer.mode("overwrite").format(format).option("path", path).saveAsTable(name)
 
 

@@ -63,6 +63,13 @@ def test_hot_customer_is_split_in_the_enrichment(spark, large_tables):
     assert enriched.count() == orders.count()
 
 
+def test_the_enrichment_is_written_in_order_buckets_without_another_shuffle(spark, large_tables):
+    lake = Lake(spark, SF_DIR)
+    enriched = gold.fct_orders(lake.enriched())
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert text(enriched).count("Exchange") == text(enriched.repartition(n, "order_id")).count("Exchange") > 0
+
+
 def test_hot_customer_is_split_in_the_state_bridge(spark, large_tables):
     lake = Lake(spark, SF_DIR)
     orders = durable(
