@@ -78,13 +78,13 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{_shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write a frame to the shared folder once and go on from the files.
 
     Lost executors then cost no recomputation, every later use sees the same rows,
-    and each reads only its columns.
+    and each reads only its columns. ``compression`` is the session's own if not given.
     """
     spark = df.sparkSession
     path = work_dir(spark, "cut")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

@@ -15,10 +15,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebed.session import durable
+from orebed.session import durable, open_writers
 
 #: A zone table has at most 2 ** this many rows, and is broadcast.
 MOST_BITS = 12
+#: So many zones at most are written side by side by a task.
+OPEN_ZONES = 64
 ZONE = "_zone"
 
 
@@ -71,17 +73,23 @@ def zone_of(bins: Sequence[Column], bits: int) -> Column:
 def write_clustered(df: DataFrame, name: str, path: str, layout: Layout) -> None:
     """Write ``df`` as table ``name`` with its zones in ``{name}_zones``, under folders of ``path``.
 
-    Rows are range-partitioned by (zone, columns, hash of the row), so that a zone which one hot
-    value fills is written by several tasks, and every task writes few folders. The input is
-    written once before, because it is read for its quantiles, its ranges and its rows.
+    Up to OPEN_ZONES zones are written by every task where its rows lie, a file each, without a
+    shuffle. More of them would leave too many files: their rows are range-partitioned by (zone,
+    columns, hash of the row), so that every task writes few folders. Either way a zone which one hot
+    value fills is written by several tasks. The input is written once before, because it is read
+    for its quantiles, its ranges and its rows.
     """
-    spark, rows = df.sparkSession, durable(df)
+    spark, rows = df.sparkSession, durable(df, "zstd")
     bins = _bins(rows, layout)
     numbered = rows.withColumn(ZONE, zone_of([bins[c] for c in layout.columns], layout.bits))
-    placed = numbered.repartitionByRange(ZONE, *layout.columns, F.xxhash64(*rows.columns))
+    placed = numbered
+    if layout.bins ** len(layout.columns) > OPEN_ZONES:
+        placed = numbered.repartitionByRange(ZONE, *layout.columns, F.xxhash64(*rows.columns))
     database = name.rpartition(".")[0] or "default"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    placed.write.mode("overwrite").partitionBy(ZONE).option("path", f"{path}/rows").saveAsTable(name)
+    writer = placed.write.mode("overwrite").partitionBy(ZONE).option("compression", "zstd")
+    with open_writers(spark, OPEN_ZONES):
+        writer.option("path", f"{path}/rows").saveAsTable(name)
     bounds = [f(c).alias(f"{label}_{c}") for c in layout.ranges for f, label in ((F.min, "low"), (F.max, "high"))]
     hashes = [F.max(bins[c]).alias(f"bin_{c}") for c in layout.lookups]
     zones = numbered.groupBy(ZONE).agg(F.count("*").alias("rows"), *bounds, *hashes)

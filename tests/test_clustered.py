@@ -91,3 +91,16 @@ def test_empty_table(spark, facts):
     write_clustered(facts.limit(0), "clustered.empty", work_dir(spark, "clustered"), LAYOUT)
     found = read_clustered(spark, "clustered.empty", LAYOUT, {"day": (START, None)}, {"customer": ["hot"]})
     assert found.count() == 0 and found.columns == facts.columns
+
+
+def test_few_zones_are_written_where_their_rows_lie(spark):
+    """Every task writes its rows of each zone; of many zones, a task writes some whole ones."""
+    df = spark.range(0, 16_000, 1, 4).select(F.col("id"), (F.col("id") * 7919 % 9973).alias("n"))
+    files = {}
+    for bits in (2, 4):
+        path, name, layout = work_dir(spark, "few"), f"clustered.few_{bits}", Layout(ranges=("n",), lookups=("id",), bits=bits)
+        write_clustered(df, name, path, layout)
+        assert sorted(map(tuple, read_clustered(spark, name, layout).collect())) == sorted(map(tuple, df.collect()))
+        files[bits] = spark.read.parquet(f"{path}/rows").inputFiles()
+        assert all(f.endswith(".zstd.parquet") for f in files[bits])
+    assert len(files[2]) == 4 * 16 and len(files[4]) < 2 * 256
