@@ -8,6 +8,7 @@ can hold more than 2 / (COUNTERS + 1) of the rows.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +28,8 @@ def winners(keys: DataFrame) -> DataFrame:
     """Rows (digest, doc_id, row) plus keep_id, group_size and kept."""
     spark = keys.sparkSession
     first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")
-    hot = spark.createDataFrame([(d,) for d in frequent(keys, "digest")], "digest string")
+    # From Arrow, which the JVM reads itself; rows of a list would start a second set of Python workers.
+    hot = spark.createDataFrame(pa.table({"digest": pa.array(frequent(keys, "digest"), pa.string())}))
     # Verified: exact counts and winners of the candidates, at most COUNTERS + 1 rows.
     best = keys.join(F.broadcast(hot), "digest").groupBy("digest").agg(F.min(first).alias("best"), F.count("*").alias("group_size"))
     best = durable(best)

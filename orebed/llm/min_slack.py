@@ -122,14 +122,18 @@ def pack(items: DataFrame, limit: int) -> DataFrame:
     bad = F.col("length").isNull() | (F.col("length") < 1) | (F.col("length") > limit)
     checked = items.withColumn("length", F.when(bad, F.raise_error("length outside 1..limit")).otherwise(F.col("length")).cast("long"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in checked.schema)
-    numbered = durable(checked.mapInArrow(_number, f"{schema}, task int, nth long"))
+    return _packed(durable(checked.mapInArrow(_number, f"{schema}, task int, nth long")), schema, limit)
+
+
+def _packed(numbered: DataFrame, schema: str, limit: int) -> DataFrame:
+    """Numbered items (the columns of schema, task, nth) with their places."""
     per_task = numbered.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     per_task = durable(per_task.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))))
     # At most `limit` rows come to the driver: one per length.
     histogram = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     ranked = numbered.join(per_task.drop("n"), ["length", "task"]).withColumn("rank", F.col("base") + F.col("nth"))
-    ranked = ranked.select(*checked.columns, "rank")
+    ranked = ranked.select(*[F.col(f"`{c}`") for c in numbered.columns if c not in ("task", "nth")], "rank")
     return ranked.mapInArrow(_place(plan(histogram, limit)), f"{schema}, sequence_id long, offset long")
 
 
@@ -160,6 +164,9 @@ def _cut(path: str, limit: int, end: int):
     return run
 
 
+_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+
+
 def token_pieces(docs: DataFrame, path: str, limit: int, end: int) -> DataFrame:
     """The ids of every whole text, closed by the id `end`, in pieces of at most `limit`.
 
@@ -168,9 +175,14 @@ def token_pieces(docs: DataFrame, path: str, limit: int, end: int) -> DataFrame:
     their own. Other columns are left out.
     """
     narrow = columns_of(docs, doc_id="long", text="string")
-    return narrow.mapInArrow(_cut(path, limit, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return narrow.mapInArrow(_cut(path, limit, end), _PIECES)
 
 
 def pack_documents(docs: DataFrame, path: str, limit: int = 2048, end: int = 0) -> DataFrame:
-    """All documents as token pieces, packed into sequences of at most `limit` tokens."""
-    return pack(token_pieces(docs, path, limit, end), limit)
+    """All documents as token pieces, packed into sequences of at most `limit` tokens.
+
+    Like pack(token_pieces(...)), but pieces are numbered where they are cut: one Python worker a task, not two.
+    """
+    cut = _cut(path, limit, end)
+    narrow = columns_of(docs, doc_id="long", text="string")
+    return _packed(durable(narrow.mapInArrow(lambda batches: _number(cut(batches)), f"{_PIECES}, task int, nth long")), _PIECES, limit)

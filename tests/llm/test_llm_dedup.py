@@ -10,6 +10,7 @@ import pytest
 from conftest import odd_rows
 
 from orebed.llm import common, heavy_dedup, lsh_forest, projection_dedup
+from orebed.session import durable
 
 
 def unite(nodes, links):
@@ -61,6 +62,14 @@ def test_exact_copies(odd, empty):
     assert heavy_dedup.find_copies(empty).count() == 0 and heavy_dedup.drop_copies(empty).count() == 0
 
 
+def test_frequent_digests_need_no_workers_of_their_own(odd, monkeypatch):
+    plans = []
+    monkeypatch.setattr(heavy_dedup, "durable", lambda df: plans.append(df._jdf.queryExecution().analyzed().toString()) or durable(df))
+    heavy_dedup.find_copies(odd)
+    # A list of rows becomes a LogicalRDD, whose rows pass through plain Python workers.
+    assert len(plans) == 2 and "LogicalRDD" not in plans[1]
+
+
 def test_hot_group_of_copies(spark):
     rows = [(i, "hot text" if i % 3 == 0 else f"text {i // 2}") for i in range(9000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)

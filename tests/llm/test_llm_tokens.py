@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from orebed.llm import arrow_ids, min_slack, word_table
 from orebed.llm.words import id_bytes, pieces
-from orebed.session import work_dir
+from orebed.session import durable, work_dir
 
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 LETTERS = list("abcXYZ  's\n\n\t\r're,.!?0129 éÉßÀ×÷ªº²½ſKΣςσ́ͅİı\x1c\x85\xa0 　中한🙂") + ["<|endoftext|>", "'LL", " a", "<|startoftext|>"]
@@ -102,6 +102,13 @@ def test_pack_documents(odd, empty):
     assert not pieces_of and min_slack.pack_documents(empty, WORD, 512, 0).count() == 0
 
 
+def test_pieces_are_cut_and_numbered_by_one_python_worker(odd, monkeypatch):
+    plans = []
+    monkeypatch.setattr(min_slack, "durable", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or durable(df))
+    min_slack.pack_documents(odd, WORD, 512, 0)
+    assert sum("MapInArrow" in line for line in plans[0].splitlines()) == 1
+
+
 def test_pack_ties_and_hot_lengths(spark):
     rng = random.Random(3)
     lengths = [rng.choice([700, 700, 700, 324, 1, 1024, rng.randint(1, 1024)]) for _ in range(4000)]
