@@ -1,7 +1,8 @@
-"""Encoding with a public word-level tokenizer, one whitespace-delimited piece at a time.
+"""Encoding with a public word-level tokenizer, one part of a text at a time.
 
 The vocabulary ends every word at white space, so the ids of a text are those of its
-pieces in order. Most pieces repeat: each worker keeps the id bytes of the pieces it has
+pieces between spaces in order, and those of a piece are the ids of its runs of letters,
+digits and other signs. Most of these repeat: each worker keeps the id bytes of those it has
 met (a bounded cache) and asks the tokenizers library only for new ones.
 """
 
@@ -14,12 +15,12 @@ from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Pieces kept per worker; the cache starts anew beyond this.
-CACHED = 300_000
+#: Parts and pieces kept per worker; those met since half of this many new ones came.
+CACHED = 600_000
 #: Letters whose lower case, composition and class are the same in every library.
 _LETTERS = "a-zß-öø-ÿ"
-_PLAIN = re.compile(f"[!-~À-ÖØ-öø-ÿ]+")
-_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
+_PLAIN = re.compile("[\n -~À-ÖØ-öø-ÿ]*")
+_PARTS = re.compile(f"[{_LETTERS}]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^ \n0-9{_LETTERS}]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -29,13 +30,19 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+@lru_cache(maxsize=256)
+def _packer(n: int):
+    return struct.Struct(f"<{n}I").pack
+
+
 class PieceCache(dict):
-    """Piece without spaces and line ends -> its ids as little-endian unsigned 32-bit integers."""
+    """Part or piece without spaces and line ends -> its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -45,21 +52,30 @@ class PieceCache(dict):
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packer(len(ids))(*ids)
+
+    def parts(self, text: str) -> list[str] | None:
+        """The parts of a text whose lower case, parts and byte letters are plain; None for others."""
+        if not _PLAIN.fullmatch(text) or ("<|" in text and any(s in text for s in self.special)):
+            return None
+        return _PARTS.findall(text.lower())
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) > CACHED:
+        found = self.older.get(piece)
+        if found is None:
+            parts = [piece] if piece.isascii() and piece.isalpha() and piece.islower() else self.parts(piece)
+            if parts is None:
+                found = self.whole(piece)
+            elif parts == [piece]:  # the library's model does the merges
+                letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+                ids = [t.id for t in self.tokenize(letters)]
+                found = _packer(len(ids))(*ids)
+            else:
+                found = b"".join(map(self.__getitem__, parts))
+        if len(self) > CACHED // 2:
+            self.older = dict(self)
             self.clear()
             self[""] = b""
-        if _PLAIN.fullmatch(piece) and not ("<|" in piece and any(s in piece for s in self.special)):
-            # Lower case, parts and byte letters are plain here; the library's model does the merges.
-            ids = []
-            for part in _PARTS.findall(piece.lower()):
-                part = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-                ids += [t.id for t in self.tokenize(part)]
-            found = struct.pack(f"<{len(ids)}I", *ids)
-        else:
-            found = self.whole(piece)
         self[piece] = found
         return found
 
@@ -74,4 +90,7 @@ def id_bytes(cache: PieceCache, text: str | None) -> bytes:
     """All ids of a text as little-endian unsigned 32-bit integers; none for null."""
     if not text:
         return b""
-    return b"".join(map(cache.__getitem__, text.replace("\n", " ").split(" ")))
+    parts = cache.parts(text)
+    if parts is None:
+        parts = text.replace("\n", " ").split(" ")
+    return b"".join(map(cache.__getitem__, parts))

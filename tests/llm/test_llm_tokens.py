@@ -12,7 +12,7 @@ from conftest import odd_rows
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orebed.llm import arrow_ids, min_slack, word_table
+from orebed.llm import arrow_ids, min_slack, word_table, words
 from orebed.llm.words import id_bytes, pieces
 from orebed.session import durable, work_dir
 
@@ -40,6 +40,23 @@ def test_piecewise_ids_are_those_of_the_whole_text(texts):
         assert np.frombuffer(id_bytes(cache, text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_that_differ_in_case_or_marks_are_merged_once():
+    cache, asked = words.PieceCache(WORD), []
+    merge = cache.tokenize
+    cache.tokenize = lambda part: asked.append(part) or merge(part)
+    text = 'Zumbly zumbly, ZUMBLY. (zumbly) "Zumbly!" zumblÿ Zumblÿ'
+    assert np.frombuffer(id_bytes(cache, text), "<u4").tolist() == word_ids(text, 0)[:-1]
+    assert len(asked) == len(set(asked))
+
+
+def test_small_cache_gives_the_same_ids(texts, monkeypatch):
+    monkeypatch.setattr(words, "CACHED", 40)
+    library, cache = Tokenizer.from_file(WORD), words.PieceCache(WORD)
+    for text in texts[:2000]:
+        assert np.frombuffer(id_bytes(cache, text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(cache) + len(cache.older) <= 2 * 40
+
+
 def test_chunk_ids_are_those_of_the_whole_text(texts):
     bpe = word_table.byte_bpe(BYTE)
     for text in texts:
