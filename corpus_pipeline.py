@@ -13,33 +13,38 @@ from orebed.llm import boosted_quality, heavy_dedup, lsh_forest, min_slack, secr
 from orebed.llm.common import ready, table
 from orebed.session import durable
 
+#: Bound of an Arrow batch here: workers go on from stage to stage and keep the room of the largest.
+BATCH_BYTES = 2 << 20
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches 0.3; null texts are scored as empty ones."""
-    return boosted_quality.accepted(docs, table(spark, sf_dir, "labels"), threshold=0.3)
+    labels = table(spark, sf_dir, "labels")
+    ready(spark, BATCH_BYTES)
+    return boosted_quality.accepted(docs, labels, threshold=0.3)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents equal but for white space runs, the one with the smallest doc_id."""
-    ready(spark)
+    ready(spark, BATCH_BYTES)
     return heavy_dedup.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles with similarity 0.8 or more."""
-    ready(spark)
+    ready(spark, BATCH_BYTES)
     return lsh_forest.drop_near(docs, words=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret."""
-    ready(spark)
+    ready(spark, BATCH_BYTES)
     return secret_tokens.without_secrets(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequences of at most 2048 tokens."""
-    ready(spark)
+    ready(spark, BATCH_BYTES)
     return min_slack.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048, end=0)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orebed.llm.common import columns_of, crc32_mod
+from orebed.llm.words import forget
 from orebed.session import durable
 
 #: About this many labelled rows are learned from, by a hash of their id.
@@ -162,6 +163,7 @@ def predict(model: tuple, x: np.ndarray) -> np.ndarray:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         x = matrix(batch.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays(
@@ -217,6 +219,7 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     model = learn(docs.where(~held), labels)
 
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         for batch in texts:
             yield pd.Series(predict(model, matrix(batch.tolist())))
 

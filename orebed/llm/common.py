@@ -20,9 +20,9 @@ BATCH_BYTES, BATCH_ROWS = 8 << 20, 4000
 COUNTERS = 1024
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Bound the Arrow batches of this session in bytes as well as rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
@@ -36,9 +36,9 @@ def _ship(context) -> None:
         context.addPyFile(shutil.make_archive(f"{folder}/orebed", "zip", root, "orebed"))
 
 
-def ready(spark: SparkSession) -> None:
+def ready(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Bound the session's Arrow batches, and see that its workers find this package."""
-    bounded_batches(spark)
+    bounded_batches(spark, batch_bytes)
     _ship(spark.sparkContext)
 
 

@@ -22,12 +22,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orebed.llm.common import columns_of, components
+from orebed.llm.words import forget
 from orebed.session import durable
 
 #: Hash values of a path that neighbours must share, and further ones that order them.
 HEAD, TAIL = 3, 4
 #: Sorted rows that are compared all with all, together with as many before them.
 SPAN = 1024
+#: Shared shingles, and rows of the comparison, that are held as a matrix at once.
+STRIPE = 512
 #: Share of linked pairs at the threshold that no tree may bring together.
 MISSED = 1e-4
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -92,6 +95,7 @@ def set_digest(hashes: np.ndarray) -> str:
 
 def _signatures(words: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             sizes, digests, heads, tails = [], [], [], []
             for text in batch.column("text"):
@@ -133,12 +137,16 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
     column = np.repeat(np.cumsum(counts > 1) - 1, counts)[shared]
     owner = owner[shared]
     both = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
-        a, b = np.searchsorted(column, (at, at + 4096))
-        part = np.zeros((len(sets), 4096), dtype=np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, STRIPE):
+        a, b = np.searchsorted(column, (at, at + STRIPE))
+        part = np.zeros((len(sets), STRIPE), dtype=np.float32)
         part[owner[a:b], column[a:b] - at] = 1
-        both += part @ part.T
-    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+        for k in range(0, len(sets), STRIPE):
+            both[k : k + STRIPE] += part[k : k + STRIPE] @ part.T
+    linked = np.zeros((len(sets), len(sets)), dtype=bool)
+    for k in range(0, len(sets), STRIPE):
+        some = both[k : k + STRIPE].astype(np.int64)
+        linked[k : k + STRIPE] = 100 * some >= percent * (sizes[k : k + STRIPE, None] + sizes[None, :] - some)
     links, waiting = [], np.ones(len(sets), dtype=bool)
     for root in range(len(sets)):
         if waiting[root]:
@@ -153,6 +161,7 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
 
 def _verify(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         region, held = None, {}
 
         def links() -> pa.RecordBatch:

@@ -86,6 +86,11 @@ def pieces(path: str) -> PieceCache:
     return PieceCache(path)
 
 
+def forget() -> None:
+    """Let go of the worker's caches: for steps that do not encode, in workers that come from one that did."""
+    pieces.cache_clear()
+
+
 def id_bytes(cache: PieceCache, text: str | None) -> bytes:
     """All ids of a text as little-endian unsigned 32-bit integers; none for null."""
     if not text:

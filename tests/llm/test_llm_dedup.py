@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -148,6 +149,19 @@ def test_near_copies_across_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in found} == near_by_hand(rows, 3, 85)[1]
 
 
+def test_a_full_block_is_compared_in_bounded_memory():
+    rng = np.random.default_rng(3)
+    common_part = rng.integers(0, 1 << 62, 60).astype(np.uint64)
+    sets = [np.unique(np.append(common_part, rng.integers(0, 1 << 62, 5 + 20 * (i % 2)).astype(np.uint64))) for i in range(2 * lsh_forest.SPAN)]
+    tracemalloc.start()
+    links = lsh_forest.spanning_links(sets, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 60 of 70 are shared by two of the small sets, 60 of 90 by a small and a large one.
+    assert sorted(links) == [(0, i) for i in range(2, len(sets), 2)]
+    assert peak < 64e6
+
+
 def test_near_copies_of_one_template(spark, monkeypatch):
     monkeypatch.setattr(lsh_forest, "SPAN", 32)
     template = [f"w{i}" for i in range(92)]

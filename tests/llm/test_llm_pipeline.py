@@ -7,7 +7,7 @@ import corpus_pipeline
 import pytest
 from test_llm_dedup import near_by_hand
 
-from orebed.llm import boosted_quality, heavy_dedup, secret_tokens
+from orebed.llm import boosted_quality, heavy_dedup, lsh_forest, secret_tokens, words
 from orebed.llm.common import ready, table
 from orebed.session import durable
 
@@ -74,3 +74,18 @@ def test_empty_and_null_documents(spark, stage):
     assert stage(spark, spark.createDataFrame([], schema), SF).count() == 0
     nulls = spark.createDataFrame([(None, None, None, None, None, None), (1, "", "en", "s", 0, "k"), (1, "", "en", "s", 0, "k")], schema)
     assert stage(spark, nulls, SF).count() <= 3
+
+
+@pytest.mark.parametrize("step", [boosted_quality._measure, lsh_forest._signatures(5, 13), lsh_forest._verify(5, 80)])
+def test_workers_let_go_of_the_ids_of_an_earlier_stage(step):
+    words.pieces(corpus_pipeline.public_tokenizers.path("word_bpe_49k.json"))
+    list(step(iter(())))
+    assert words.pieces.cache_info().currsize == 0
+
+
+def test_batches_of_the_stages_are_small(spark):
+    docs = table(spark, SF, "documents")
+    for _, stage in corpus_pipeline.STAGES:
+        ready(spark)
+        stage(spark, docs.limit(50), SF)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 2 << 20
