@@ -229,3 +229,41 @@ def test_landing_a_batch_neither_sorts_nor_shuffles_its_text(spark, tmp_path):
     bronze.write_batch(parse(rows), "b", str(tmp_path / "b"), str(tmp_path / "q"), "gzip")
     assert spark.read.text(str(tmp_path / "b")).count() == 1000
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_consumed_topics_are_deleted_trigger_by_trigger(spark, monkeypatch, tmp_path):
+    from orebed.plans import registry
+
+    monkeypatch.setattr(registry, "TRIGGER_FILES", 2)
+    monkeypatch.setattr(registry, "work_dir", lambda spark, purpose: str(tmp_path / purpose))
+    text = '{"metadata": {"entity_type": "%s", "ingested_at": "2024-01-02"}, "payload": {"order_id": "%d"}}'
+    parts = [
+        spark.range(0, 1000, 1, 4).select(F.lit(f"ecommerce.olist.{e}s.v1").alias("topic"), F.col("id").cast("string").alias("key"), F.format_string(text, F.lit(e), "id").alias("value"))
+        for e in ("order", "payment")
+    ]
+    stream = registry._stream(registry.Lake(spark, str(tmp_path)), parts[0].unionByName(parts[1]), consume=True)
+    topics, left, write = tmp_path / "topics", [], bronze.write_batch
+    files = len([*topics.rglob("*.parquet")])
+
+    def watched(*args):
+        write(*args)
+        left.append(len([*topics.rglob("*.parquet")]))
+
+    monkeypatch.setattr(bronze, "write_batch", watched)
+    root = str(tmp_path / "bronze")
+    bronze.land_bronze(stream, root, str(tmp_path / "q"), str(tmp_path / "o"), trigger=bronze.BACKFILL).awaitTermination()
+    assert files == 8 and len(left) == 4 and left[-1] < files
+    assert len([*topics.rglob("*.parquet")]) == 2  # those of the last trigger
+    for entity in ("order", "payment"):
+        landed = read_bronze(spark, root, entity).agg(F.count("*").alias("n"), F.countDistinct("order_id").alias("ids"))
+        assert landed.first() == (1000, 1000)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_digits_of_ids_are_packed_without_chance_matches(spark, tmp_path):
+    metadata = F.struct(F.lit("order").alias("entity_type"), F.sha2(F.col("id").cast("string"), 256).alias("event_id"))
+    value = F.to_json(F.struct(metadata.alias("metadata"), F.struct(F.sha2((-F.col("id")).cast("string"), 256).alias("order_id")).alias("payload")))
+    rows = spark.range(0, 20_000, 1, 1).select(F.lit("t").alias("topic"), F.lit("k").alias("key"), value.alias("value"), F.lit("2024-01-01").cast("timestamp").alias("timestamp"))
+    bronze.write_batch(parse(rows), "b", str(tmp_path / "b"), str(tmp_path / "q"), "gzip")
+    size = sum(f.stat().st_size for f in (tmp_path / "b").rglob("*.gz"))
+    assert spark.read.text(str(tmp_path / "b")).count() == 20_000 and size / 20_000 < 84
