@@ -21,6 +21,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orebed.session import tidy_shuffles
+
 ROWS = "row_count"
 #: Files of a period's members.
 MEMBER_FILES = 4
@@ -89,16 +91,21 @@ class Rollup:
         task writes a period: its states are as many as its groups, however many rows it has.
         """
         period = self.keys[0]
-        writer = self.states(df).repartition(period).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
+        with tidy_shuffles(df.sparkSession):
+            _replace(self.states(df).repartition(period), period, path)
         for name, c in self.members.items():
             # A period's values are dealt over several tasks, by hash; equal ones meet there. A null stays
             # as a row that is not counted, so a period whose values are gone is replaced too.
             rows = df.select(*self.keys, F.col(c).alias(name))
             part = F.pmod(F.xxhash64(name), F.lit(MEMBER_FILES)).alias("_part")
             once = rows.select("*", part).repartition(period, "_part").dropDuplicates([*self.keys, name, "_part"])
-            writer = once.drop("_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(period).parquet(_members_path(path, name))
+            with tidy_shuffles(df.sparkSession):
+                _replace(once.drop("_part"), period, _members_path(path, name))
+
+
+def _replace(df: DataFrame, period: str, path: str) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(period).parquet(path, compression="zstd")
 
 
 def quantile(state: str | Column, p: float) -> Column:

@@ -29,7 +29,7 @@ from orebed.plans.registry import (
     register,
     run_silver,
 )
-from orebed.session import durable, open_writers, work_dir
+from orebed.session import durable, open_writers, tidy_shuffles, work_dir
 from orebed.sinks import clustered
 from orebed.sinks.audit import append_audit, audit_row, read_audit
 from orebed.sinks.topics import write_topics
@@ -423,20 +423,19 @@ def _refreshed(lake, rollup, rows: DataFrame) -> tuple[DataFrame, dict[str, Data
 def _(lake):
     """The star join from monthly states and members, its distinct counts held against those of the facts."""
     # Written once: states, members and the check read the same rows.
-    rows = durable(
-        rollups.monthly_items(
-            lake.fct_orders("order_id", "customer_unique_id", "order_purchase_timestamp"),
-            lake.customer_places(),
-            lake.staged("order_item"),
-            lake.staged("product"),
-            lake.staged("seller"),
-        )
+    sales = rollups.monthly_items(
+        lake.fct_orders("order_id", "customer_unique_id", "order_purchase_timestamp"),
+        lake.customer_places(),
+        lake.staged("order_item"),
+        lake.staged("product"),
+        lake.staged("seller"),
     )
+    with tidy_shuffles(lake.spark):
+        rows = durable(sales, "zstd")
     groups = rollups.SALES.keys[1:]
     found = rollups.sales_by_place(*_refreshed(lake, rollups.SALES, rows))
-    exact = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in groups]).agg(
-        F.countDistinct("order_id").alias("_orders"), F.countDistinct("customer_unique_id").alias("_customers")
-    )
+    by = [F.col(c).alias(f"_{c}") for c in groups]
+    exact = rollups.distinct_counts(rows, by, {"_orders": "order_id", "_customers": "customer_unique_id"})
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups])
     return found.join(exact, same, "full").select(
         *groups,

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import glob
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from orebed.operators.rollup import ROWS, Rollup, beside_next, in_both, members_kept, read_members, read_states
+from orebed.plans import rollups
 from orebed.session import work_dir
 
 ROLLUP = Rollup(("day", "g"), {"total": "v"}, {"ids": "id"}, {"values": "v"}, lg_entries=10, k=200)
@@ -119,3 +121,56 @@ def test_members_are_counted_exactly_beyond_a_sketch(spark, rows):
     rollup.refresh(rows.where("day = 3").withColumn("id", F.lit(None).cast("bigint")), path)
     left = read_members(spark, path, "ids").groupBy("day").agg(F.count("ids").alias("n"))
     assert {r.day for r in left.collect() if not r.n} == {3}
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for i in range(found.size()) if (n := found.apply(i).getName()).startswith("shuffle_")}
+
+
+def none_left(spark, before):
+    until = time.time() + 20  # files are removed in the background
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return not left
+
+
+def test_a_refresh_leaves_no_shuffle_files(spark, rows):
+    rollup, before = Rollup(("day", "g"), {"total": "v"}, members={"ids": "id"}), shuffle_files(spark)
+    rollup.refresh(rows, work_dir(spark, "states"))
+    assert none_left(spark, before)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_distinct_counts_of_null_groups_and_values_leave_no_shuffle_files(spark, rows):
+    before = shuffle_files(spark)
+    found = rollups.distinct_counts(rows, [F.col("g").alias("_g"), F.col("day").alias("_day")], {"_ids": "id", "_values": "v"})
+    assert none_left(spark, before)
+    assert found.columns == ["_g", "_day", "_ids", "_values"]
+    own = rows.toPandas().groupby(["g", "day"], dropna=False)
+    exact = {(None if g != g or g is None else g, d): (x["id"].nunique(), x["v"].nunique()) for (g, d), x in own}
+    assert {(r[0], r[1]): (r[2], r[3]) for r in found.collect()} == exact
+
+
+def test_customers_do_not_travel_with_items(spark):
+    """An item's shuffles on product and seller carry no customer; each join keeps repeated and drops unknown keys."""
+    orders = spark.createDataFrame([("o1", "c" * 32), ("o2", "c" * 32), ("o3", "d" * 32), ("o4", None)], "order_id string, customer_unique_id string")
+    orders = orders.withColumn("order_purchase_timestamp", F.lit("1995-03-04").cast("timestamp"))
+    customers = spark.createDataFrame([("c" * 32, "ASIA"), ("d" * 32, None)], "customer_unique_id string, customer_state string")
+    items = spark.createDataFrame(
+        [("o1", "p1", "s1", 1), ("o1", "p1", "s1", 1), ("o2", "p2", "s1", 2), ("o3", "p1", None, 3), ("o3", "p2", "s1", 4), ("o4", "p1", "s1", 5), ("o9", "p1", "s1", 6), ("o1", "p9", "s1", 7), (None, "p1", "s1", 8)],
+        "order_id string, product_id string, seller_id string, price int",
+    )
+    products = spark.createDataFrame([("p1", "tools"), ("p2", None)], "product_id string, product_category_name string")
+    sellers = spark.createDataFrame([("s1", "EUROPE")], "seller_id string, seller_state string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        sales = rollups.monthly_items(orders, customers, items, products, sellers)
+        found = sorted(map(repr, sales.select("order_id", "price", "customer_state", "product_category_name", "seller_state").collect()))
+        joins = sales._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert [r.split("price=")[1].split(",")[0] for r in found] == ["1", "1", "2", "4"]
+    # The customer is joined last, so above every join of items with products and sellers.
+    assert joins.index("[order_id") < min(joins.index("[product_id"), joins.index("[seller_id"))
